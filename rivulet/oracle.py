@@ -247,3 +247,75 @@ gold as (
 
 SQL["gold_visao_geral_clientes"] = (with_tables("clientes", "pedidos").rstrip() + ",\n"
                                     + GOLD_CLIENTES + "select * from gold\n")
+
+# ------------------------------------------------------------------ CDC replica (closed form)
+
+_STEP = 10 ** 12
+
+SQL["cdc_replica_clientes"] = with_tables("clientes") + """
+, f as (select *, id % 17 = 0 as del4, id % 34 = 0 as re5, id % 5 = 0 as s7, id % 3 = 0 as s2,
+               id % 7 = 0 as s3 from clientes)
+select id,
+  case when not del4 then nome when re5 then 'reinserido ' || cast(id as varchar) end as nome,
+  case when not del4 then email end as email,
+  case when not del4 and not s3 then telefone end as telefone,
+  case when not del4 then cpf end as cpf,
+  case when not del4 then data_nascimento end as data_nascimento,
+  case when not del4 then endereco end as endereco,
+  case when s7 then 'reativado' when del4 then null when s2 then 'bloqueado' else status end as status,
+  case when not del4 then tipo_cliente end as tipo_cliente,
+  case when not del4 then cast(limite_credito as double) end as limite_credito,
+  case when not del4 then data_cadastro end as data_cadastro,
+  case when s7 then updated_at + interval 2 day when del4 then null
+       when s2 then updated_at + interval 1 day else updated_at end as updated_at,
+  case when not del4 then created_by end as created_by,
+  case when not del4 then version end as version
+from f where not del4 or re5 or s7
+"""
+
+SQL["cdc_stream_replica_clientes"] = SQL["cdc_replica_clientes"]
+
+SQL["cdc_replica_pedidos"] = with_tables("pedidos") + """
+select id, cliente_id, numero_pedido, data_pedido, status, cast(valor_bruto as double) as valor_bruto,
+  cast(desconto as double) as desconto, cast(valor_liquido as double) as valor_liquido,
+  metodo_pagamento, canal_venda, observacoes, data_entrega_prevista, data_entrega_real, updated_at,
+  created_by, version
+from pedidos where id % 13 <> 0
+"""
+
+SQL["cdc_replica_produtos"] = with_tables("produtos") + """
+select id, codigo_produto, nome, categoria, cast(null as varchar) as subcategoria, cast(null as varchar) as marca,
+  cast(preco_custo as double) as preco_custo, cast(preco_venda as double) as preco_venda,
+  cast(margem_lucro as double) as margem_lucro, estoque_atual, cast(null as integer) as estoque_minimo, ativo,
+  cast(null as double) as peso, cast(null as varchar) as dimensoes, cast(null as varchar) as descricao,
+  cast(null as varchar[]) as tags, cast(null as date) as data_lancamento, cast(null as integer) as fornecedor_id,
+  updated_at, cast(null as varchar) as created_by, cast(null as integer) as version
+from produtos
+"""
+
+SQL["cdc_replica_leads"] = with_tables("leads") + """
+select id, nome, email, cast(null as varchar) as telefone, cast(null as varchar) as empresa,
+  cast(null as varchar) as cargo, fonte, cast(null as integer) as campanha_id, score, status, interesse,
+  cast(orcamento_estimado as double) as orcamento_estimado, data_contato, data_conversao,
+  cast(null as varchar) as observacoes, cast(null as varchar[]) as tags,
+  cast(null as timestamp) as ultima_atividade, updated_at, cast(null as varchar) as created_by,
+  cast(null as integer) as version
+from leads
+"""
+
+SQL["cdc_control_table"] = with_tables("clientes", "pedidos", "produtos", "leads") + f"""
+select 'dbserver1.public.clientes' as topic,
+  {7 * _STEP} + max(case when id % 5 = 0 then id end) as last_offset,
+  timestamp '2001-08-01 00:07:00' as last_event,
+  count(*) + count(case when id % 3 = 0 then 1 end) + count(case when id % 7 = 0 then 1 end)
+    + count(case when id % 17 = 0 then 1 end) + count(case when id % 34 = 0 then 1 end)
+    + count(case when id % 5 = 0 then 1 end) + 1 as event_count
+from clientes
+union all
+select 'dbserver1.public.pedidos', {2 * _STEP} + max(case when id % 13 = 0 then id end),
+  timestamp '2001-08-01 00:02:00', count(*) + count(case when id % 13 = 0 then 1 end) from pedidos
+union all
+select 'dbserver1.public.produtos', {_STEP} + max(id), timestamp '2001-08-01 00:01:00', count(*) from produtos
+union all
+select 'dbserver1.public.leads', {_STEP} + max(id), timestamp '2001-08-01 00:01:00', count(*) from leads
+"""

@@ -62,3 +62,56 @@ def _model_query(name: str) -> QueryFn:
 
 for _n in MODEL_NAMES:
     register(_n)(_model_query(_n))
+
+
+# ---------------------------------------------------------------- CDC
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.streaming.changelog import change_log
+    ensure_conf(spark)
+    return change_log(fixture_root(spark, sf_dir))
+
+
+def _replica(table: str) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from rivulet.streaming.cdc import apply_changes
+        return comparable(apply_changes(_log(spark, sf_dir))[table])
+    run.__name__ = f"cdc_replica_{table}"
+    return run
+
+
+for _t in ("clientes", "pedidos", "produtos", "leads"):
+    register(f"cdc_replica_{_t}")(_replica(_t))
+
+
+@register("cdc_control_table")
+def cdc_control_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.streaming.cdc import control_counts
+    return comparable(control_counts(_log(spark, sf_dir)))
+
+
+@register("cdc_quarantine")
+def cdc_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.streaming.cdc import quarantine
+    return quarantine(_log(spark, sf_dir))
+
+
+@register("cdc_stream_replica_clientes")
+def cdc_stream_replica_clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log through Structured Streaming in several micro-batches,
+    applied by the bucketed snapshot sink; must equal the one-batch fold."""
+    import uuid
+
+    from rivulet.session import checkpoint_dir
+    from rivulet.streaming.changelog import change_log_steps
+    from rivulet.streaming.cdc import SnapshotSink
+    from rivulet.streaming.replication import read_changes, stage_log, start
+
+    ensure_conf(spark)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/cdc-{uuid.uuid4().hex}"
+    stage_log(change_log_steps(fixture_root(spark, sf_dir)), f"{base}/log")
+    sink = SnapshotSink(spark, f"{base}/replica", buckets=16)
+    q = start(read_changes(spark, "files", f"{base}/log", max_per_trigger=4), sink,
+              f"{base}/checkpoint", available_now=True)
+    q.awaitTermination()
+    return comparable(sink.state("clientes"))
