@@ -319,3 +319,201 @@ select 'dbserver1.public.produtos', {_STEP} + max(id), timestamp '2001-08-01 00:
 union all
 select 'dbserver1.public.leads', {_STEP} + max(id), timestamp '2001-08-01 00:01:00', count(*) from leads
 """
+
+# ------------------------------------------------------------------ serving (Q1-Q12)
+
+def sub(name: str) -> str:
+    """An oracle query as a subquery."""
+    return f"({SQL[name].strip()})"
+
+
+_PED_R = "(select * from pedidos where id % 13 <> 0)"
+
+SQL["q1_replication_lag"] = with_tables("clientes", "pedidos") + f"""
+, counts as (
+  select 'clientes' as tabela, (select count(*) from clientes) as source_rows,
+         (select count(*) from {sub('cdc_replica_clientes')} r) as target_rows
+  union all
+  select 'pedidos', (select count(*) from pedidos), (select count(*) from {_PED_R} r))
+select tabela, source_rows, target_rows, source_rows - target_rows as lag,
+  case when sum(source_rows - target_rows) over () = 0 then 'em dia'
+       when sum(source_rows - target_rows) over () < 10 then 'replicando' else 'na fila' end as estado
+from counts
+"""
+
+SQL["q2_total_revenue"] = with_tables("pedidos") + f"""
+select cast(coalesce(sum(valor_bruto), 0) as double) as receita_total from {_PED_R} r
+"""
+
+SQL["q3_average_ticket"] = with_tables("pedidos") + f"""
+select coalesce(cast(sum(valor_liquido) as double) / count(valor_liquido), 0.0) as ticket_medio
+from {_PED_R} r
+"""
+
+SQL["q4_counts_long"] = f"""
+select tabela, 'Source' as camada, source_rows as registros from {sub('q1_replication_lag')} a
+union all
+select tabela, 'Target', target_rows from {sub('q1_replication_lag')} b
+"""
+
+SQL["q5_latest_customers"] = f"""
+select id, nome, email, tipo_cliente, status, strftime(data_cadastro, '%d/%m %H:%M') as cadastro,
+  strftime(updated_at, '%H:%M:%S') as updated
+from {sub('cdc_replica_clientes')} r
+order by updated_at desc nulls last, id desc limit 10
+"""
+
+SQL["q6_latest_orders"] = with_tables("pedidos") + f"""
+select id, numero_pedido, status, metodo_pagamento,
+  cast(cast(cast(valor_bruto as double) as decimal(10,2)) as double) as valor_bruto,
+  cast(cast(cast(valor_liquido as double) as decimal(10,2)) as double) as valor_liq,
+  canal_venda, strftime(updated_at, '%H:%M:%S') as updated
+from {_PED_R} r order by updated_at desc nulls last, id desc limit 10
+"""
+
+SQL["q7_top_customers"] = f"""
+select cliente_id_origem, nome_completo as nome, total_pedidos_realizados as total_pedidos,
+  valor_total_gasto_cliente as receita
+from {sub('gold_visao_geral_clientes')} g
+order by receita desc nulls first, cliente_id_origem limit 10
+"""
+
+SQL["q8_revenue_by_status"] = with_tables("pedidos") + f"""
+select status, count(*) as n, cast(sum(valor_bruto) as double) as receita
+from {_PED_R} r group by status
+"""
+
+SQL["q9_control_by_count"] = f"""
+select topic, event_count, last_event from {sub('cdc_control_table')} c
+"""
+
+SQL["q10_items_revenue"] = with_tables("itens_pedido") + """
+select cast(sum(quantidade * preco_unitario) as double) as receita_total from itens_pedido
+"""
+
+SQL["q11_latest_item_with_customer"] = with_tables("itens_pedido", "pedidos", "clientes") + """
+select i.id as item_id, i.pedido_id, c.nome, i.produto_id,
+  cast(i.quantidade * i.preco_unitario as double) as valor_total
+from itens_pedido i join pedidos p on i.pedido_id = p.id join clientes c on p.cliente_id = c.id
+order by i.id desc limit 1
+"""
+
+SQL["q12_stacked_metrics"] = with_tables("clientes", "pedidos") + """
+select 'clientes' as metrica, cast(count(*) as double) as valor from clientes
+union all select 'pedidos', cast(count(*) as double) from pedidos
+union all select 'receita_total', cast(coalesce(sum(valor_bruto), 0) as double) from pedidos
+union all select 'ticket_medio', coalesce(cast(sum(valor_liquido) as double) / count(valor_liquido), 0.0)
+  from pedidos
+"""
+
+# ------------------------------------------------------------------ services
+
+_AMOUNT = ("cast(case when desconto > 0 then round(quantidade * preco_unitario * (1 - desconto), 2) "
+           "else quantidade * preco_unitario end as decimal(18,2))")
+
+SQL["m1_products_page"] = with_tables("produtos") + """
+, page as (select * from produtos order by id limit 100),
+f as (select * from page where lower(categoria) = lower('Economy'))
+select id, nome, categoria, cast(preco_venda as double) as preco_venda, estoque_atual, ativo,
+  (select count(*) from f) as total
+from f
+"""
+
+SQL["m2_sales_page"] = with_tables("vendas") + f"""
+select id, cliente_id, produto_id, quantidade, cast(preco_unitario as double) as preco_unitario,
+  cast(desconto as double) as desconto, status, data_venda, cast({_AMOUNT} as double) as valor_total
+from vendas where data_venda >= timestamp '1998-01-01 00:00:00'
+order by id desc limit 100
+"""
+
+SQL["m3_vip_customers_page"] = with_tables("clientes") + """
+select id, nome, email, status, true as vip from clientes where status = 'premium' order by id limit 100
+"""
+
+SQL["m4_sales_summary"] = with_tables("vendas", "produtos", "clientes") + f"""
+, s as (select count(*) as n, sum({_AMOUNT}) as receita from vendas)
+select n as total_vendas, cast(round(receita, 2) as double) as receita_total,
+  round(cast(receita as double) / greatest(1, n), 2) as ticket_medio,
+  (select count(*) from produtos) as total_produtos, (select count(*) from clientes) as total_clientes,
+  (select count(*) from clientes where status = 'premium') as clientes_vip
+from s
+"""
+
+SQL["m5_sales_per_status"] = with_tables("vendas") + """
+select status, count(*) as quantidade from vendas group by status
+"""
+
+SQL["m6_units_per_product"] = with_tables("vendas") + """
+select produto_id, sum(quantidade) as unidades from vendas group by produto_id
+"""
+
+SQL["m7_sale_amounts"] = with_tables("vendas") + f"""
+select id, cast({_AMOUNT} as double) as valor_total from vendas
+"""
+
+SQL["m8_stock_after_sales"] = with_tables("produtos", "vendas") + """
+, sold as (select produto_id, sum(quantidade) as unidades from vendas group by produto_id)
+select p.id, p.estoque_atual, coalesce(s.unidades, 0) as unidades,
+  greatest(0, p.estoque_atual - coalesce(s.unidades, 0)) as estoque_final
+from produtos p left join sold s on p.id = s.produto_id
+"""
+
+SQL["m9_customer_lifetime"] = with_tables("vendas") + f"""
+select cliente_id, count(*) as total_compras, cast(sum({_AMOUNT}) as double) as valor_total_gasto
+from vendas group by cliente_id
+"""
+
+SQL["m10_leads_page"] = with_tables("leads") + """
+select id, nome, email, status, score from leads where lower(status) = 'novo' order by id desc limit 100
+"""
+
+SQL["m11_campaigns_page"] = with_tables("campanhas_marketing") + """
+select id, nome, tipo, cast(orcamento as double) as orcamento, status,
+  (select count(*) from campanhas_marketing) as total
+from campanhas_marketing order by id desc limit 5
+"""
+
+SQL["m12_activities_page"] = with_tables("atividades") + """
+select * from atividades order by id desc limit 100
+"""
+
+SQL["m13_crm_summary"] = with_tables("leads", "campanhas_marketing", "atividades") + """
+, l as (select count(*) as total_leads, count(case when status = 'Convertido' then 1 end) as conv,
+               sum(score) as s from leads)
+select total_leads, conv as leads_convertidos,
+  round(cast(conv as double) / cast(greatest(1, total_leads) as double) * 100, 2) as taxa_conversao,
+  round(cast(coalesce(s, 0) as double) / cast(greatest(1, total_leads) as double), 1) as score_medio,
+  (select count(*) from campanhas_marketing) as total_campanhas,
+  (select count(*) from atividades) as total_atividades
+from l
+"""
+
+SQL["m14_leads_per_status"] = with_tables("leads") + """
+select status, count(*) as quantidade from leads group by status
+"""
+
+SQL["m15_activities_per_type"] = with_tables("atividades") + """
+select tipo, count(*) as quantidade from atividades group by tipo
+"""
+
+SQL["m16_leads_per_campaign"] = with_tables("campanhas_marketing", "leads") + """
+select c.id, c.nome, c.meta_leads, count(l.id) as leads_gerados
+from campanhas_marketing c left join leads l on l.campanha_id = c.id
+group by c.id, c.nome, c.meta_leads
+"""
+
+SQL["m17_last_contact"] = with_tables("leads", "atividades") + """
+select l.id, coalesce(a.ultima, l.ultima_atividade) as ultimo_contato
+from leads l left join (select lead_id, max(data_atividade) as ultima from atividades group by lead_id) a
+  on a.lead_id = l.id
+"""
+
+SQL["m18_funnel_check"] = with_tables("lead_historico") + """
+, h as (select *, lag(status) over (partition by lead_id order by ts, id) as status_anterior
+        from lead_historico)
+select id, lead_id, ts, status_anterior, status,
+  (status_anterior, status) in (('Novo','Contactado'), ('Contactado','Qualificado'),
+     ('Contactado','Perdido'), ('Qualificado','Convertido'), ('Qualificado','Perdido'))
+  or status_anterior = status as legal
+from h where status_anterior is not null
+"""

@@ -115,3 +115,132 @@ def cdc_stream_replica_clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
               f"{base}/checkpoint", available_now=True)
     q.awaitTermination()
     return comparable(sink.state("clientes"))
+
+
+# ---------------------------------------------------------------- serving (Q1-Q12)
+
+def _source(spark: SparkSession, sf_dir: str):
+    ensure_conf(spark)
+    return fixture_root(spark, sf_dir)
+
+
+def _replica_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from rivulet.streaming.cdc import apply_changes
+    return apply_changes(_log(spark, sf_dir))
+
+
+@register("q1_replication_lag")
+def q1_replication_lag(spark, sf_dir):
+    from rivulet.operators import serving
+    src, rep = _source(spark, sf_dir), _replica_tables(spark, sf_dir)
+    names = ("clientes", "pedidos")
+    return serving.row_counts({n: src.table(n) for n in names}, {n: rep[n] for n in names})
+
+
+@register("q2_total_revenue")
+def q2_total_revenue(spark, sf_dir):
+    from rivulet.operators import serving
+    return serving.total_revenue(_replica_tables(spark, sf_dir)["pedidos"])
+
+
+@register("q3_average_ticket")
+def q3_average_ticket(spark, sf_dir):
+    from rivulet.operators import serving
+    return serving.average_ticket(_replica_tables(spark, sf_dir)["pedidos"])
+
+
+@register("q4_counts_long")
+def q4_counts_long(spark, sf_dir):
+    from rivulet.operators import serving
+    return serving.counts_long(q1_replication_lag(spark, sf_dir))
+
+
+@register("q5_latest_customers")
+def q5_latest_customers(spark, sf_dir):
+    from rivulet.operators import serving
+    return serving.latest_customers(_replica_tables(spark, sf_dir)["clientes"])
+
+
+@register("q6_latest_orders")
+def q6_latest_orders(spark, sf_dir):
+    from rivulet.operators import serving
+    return comparable(serving.latest_orders(_replica_tables(spark, sf_dir)["pedidos"]))
+
+
+@register("q7_top_customers")
+def q7_top_customers(spark, sf_dir):
+    from rivulet.operators import serving
+    return serving.top_customers(models(spark, sf_dir)["gold_visao_geral_clientes"])
+
+
+@register("q8_revenue_by_status")
+def q8_revenue_by_status(spark, sf_dir):
+    from rivulet.operators import serving
+    return serving.revenue_by_status(_replica_tables(spark, sf_dir)["pedidos"])
+
+
+@register("q9_control_by_count")
+def q9_control_by_count(spark, sf_dir):
+    from rivulet.operators import serving
+    from rivulet.streaming.cdc import control_counts
+    return comparable(serving.control_by_count(control_counts(_log(spark, sf_dir))))
+
+
+@register("q10_items_revenue")
+def q10_items_revenue(spark, sf_dir):
+    from rivulet.operators import serving
+    return serving.items_revenue(_source(spark, sf_dir).table("itens_pedido"))
+
+
+@register("q11_latest_item_with_customer")
+def q11_latest_item_with_customer(spark, sf_dir):
+    from rivulet.operators import serving
+    src = _source(spark, sf_dir)
+    return serving.latest_item_with_customer(src.table("itens_pedido"), src.table("pedidos"),
+                                             src.table("clientes"))
+
+
+@register("q12_stacked_metrics")
+def q12_stacked_metrics(spark, sf_dir):
+    from rivulet.operators import serving
+    src = _source(spark, sf_dir)
+    c, p = src.table("clientes"), src.table("pedidos")
+    return serving.stack_metrics({
+        "clientes": c.agg(F.count(F.lit(1))),
+        "pedidos": p.agg(F.count(F.lit(1))),
+        "receita_total": serving.total_revenue(p),
+        "ticket_medio": serving.average_ticket(p),
+    })
+
+
+# ---------------------------------------------------------------- services
+
+def _svc(name: str, build):
+    def run(spark, sf_dir):
+        from rivulet.operators import services as S
+        return comparable(build(S, _source(spark, sf_dir)))
+    run.__name__ = name
+    register(name)(run)
+
+
+_svc("m1_products_page", lambda S, r: S.products_page(r.table("produtos"), 100, "Economy"))
+_svc("m2_sales_page", lambda S, r: S.sales_page(r.table("vendas"), 100, "1998-01-01"))
+_svc("m3_vip_customers_page", lambda S, r: S.customers_page(r.table("clientes"), 100, True))
+_svc("m4_sales_summary", lambda S, r: S.sales_summary(r.table("vendas"), r.table("produtos"),
+                                                      r.table("clientes")))
+_svc("m5_sales_per_status", lambda S, r: S.count_by(r.table("vendas"), "status"))
+_svc("m6_units_per_product", lambda S, r: S.units_per_product(r.table("vendas")))
+_svc("m7_sale_amounts", lambda S, r: S.with_amount(r.table("vendas")).select("id", "valor_total"))
+_svc("m8_stock_after_sales", lambda S, r: S.stock_after_sales(r.table("produtos"), r.table("vendas")))
+_svc("m9_customer_lifetime", lambda S, r: S.customer_lifetime(r.table("vendas")))
+_svc("m10_leads_page", lambda S, r: S.leads_page(r.table("leads"), 100, "novo"))
+_svc("m11_campaigns_page", lambda S, r: S.campaigns_page(r.table("campanhas_marketing"), 5))
+_svc("m12_activities_page", lambda S, r: S.activities_page(r.table("atividades"), 100))
+_svc("m13_crm_summary", lambda S, r: S.crm_summary(r.table("leads"), r.table("campanhas_marketing"),
+                                                   r.table("atividades")))
+_svc("m14_leads_per_status", lambda S, r: S.count_by(r.table("leads"), "status"))
+_svc("m15_activities_per_type", lambda S, r: S.count_by(r.table("atividades"), "tipo"))
+_svc("m16_leads_per_campaign", lambda S, r: S.leads_per_campaign(r.table("campanhas_marketing"),
+                                                                 r.table("leads")))
+_svc("m17_last_contact", lambda S, r: S.last_contact(r.table("leads"), r.table("atividades")))
+_svc("m18_funnel_check", lambda S, r: S.funnel_check(r.table("lead_historico")))
