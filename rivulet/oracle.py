@@ -517,3 +517,66 @@ select id, lead_id, ts, status_anterior, status,
   or status_anterior = status as legal
 from h where status_anterior is not null
 """
+
+# ------------------------------------------------------------------ data quality
+
+_DOMAIN = ("clientes", "pedidos", "produtos", "itens_pedido", "campanhas_marketing", "leads")
+# Declared test columns that the models do not have.
+_MISSING = {("dim_clientes", "email"), ("fct_pedidos", "produto"), ("fct_pedidos", "quantidade"),
+            ("fct_pedidos", "preco_unitario"), ("fct_pedidos", "valor_total_pedido"),
+            ("silver_pedidos", "quantidade")}
+
+
+def _rel(model: str) -> str:
+    return model if model in _DOMAIN else f"m_{model}"
+
+
+def checks_sql(checks) -> str:
+    models = sorted({c.model for c in checks} | {c.to for c in checks if c.to})
+    derived = [m for m in models if m not in _DOMAIN]
+    head = with_tables(*_DOMAIN).rstrip()
+    for m in derived:
+        head += f",\nm_{m} as ({SQL[m].strip()})"
+    parts = []
+    for c in checks:
+        t = _rel(c.model)
+        if (c.model, c.column) in _MISSING:
+            parts.append(f"select '{c.name}' as test, '{c.model}' as model, '{c.column}' as \"column\", "
+                         f"cast(null as bigint) as failures, 'error' as status")
+            continue
+        col = c.column
+        if c.kind == "not_null":
+            f = f"(select count(*) from {t} where {col} is null)"
+        elif c.kind == "unique":
+            f = (f"(select count(*) from (select {col} from {t} where {col} is not null "
+                 f"group by {col} having count(*) > 1) d)")
+        elif c.kind == "relationships":
+            f = (f"(select count(*) from {t} x where x.{col} is not null and not exists "
+                 f"(select 1 from {_rel(c.to)} p where p.{c.field} = x.{col}))")
+        elif c.kind == "range":
+            conds = []
+            if c.low is not None:
+                conds.append(f"{col} < {c.low}")
+            if c.high is not None:
+                conds.append(f"{col} > {c.high}")
+            f = f"(select count(*) from {t} where {' or '.join(conds)})"
+        elif c.kind == "max_length":
+            f = f"(select count(*) from {t} where length({col}) > {c.max_len})"
+        parts.append(f"select '{c.name}' as test, '{c.model}' as model, '{c.column}' as \"column\", "
+                     f"{f} as failures, case when {f} = 0 then 'pass' else '{c.severity}' end as status")
+    return head + "\n" + "\nunion all\n".join(parts) + "\n"
+
+
+def _quality_sql():
+    from rivulet.operators.quality import DDL, DECLARED
+    SQL["dq_declared_tests"] = checks_sql(DECLARED)
+    SQL["o2_refresh_then_test"] = SQL["dq_declared_tests"]
+    SQL["dq_ddl_constraints"] = checks_sql(DDL)
+    SQL["o1_refresh_silver_gold"] = SQL["gold_visao_geral_clientes"]
+    SQL["dq_non_empty"] = with_tables("clientes", "pedidos") + """
+select (select count(*) from clientes) > 0 as has_clientes, (select count(*) from pedidos) > 0 as has_pedidos,
+  (select count(*) from clientes) > 0 or (select count(*) from pedidos) > 0 as ok
+"""
+
+
+_quality_sql()

@@ -133,3 +133,14 @@ def refresh(models: Models, select_tags: Iterable[str] | None = None,
             df.createOrReplaceTempView(m.name)
             out[m.name] = f"view:{m.name}"
     return out
+
+
+def refresh_and_test(models: Models, lake_root: str | None = None,
+                     select_tags: Iterable[str] | None = None, checks=None):  # O2
+    """Refresh the layers (O1), then run the data tests (D1-D7) on what was
+    written.  Raw tables resolve through the models' root."""
+    from rivulet.operators import quality
+
+    refresh(models, select_tags, lake_root=lake_root)
+    checks = quality.DECLARED if checks is None else checks
+    return quality.run_checks(models.root.spark, checks, models.ref)

@@ -244,3 +244,52 @@ _svc("m16_leads_per_campaign", lambda S, r: S.leads_per_campaign(r.table("campan
                                                                  r.table("leads")))
 _svc("m17_last_contact", lambda S, r: S.last_contact(r.table("leads"), r.table("atividades")))
 _svc("m18_funnel_check", lambda S, r: S.funnel_check(r.table("lead_historico")))
+
+
+# ---------------------------------------------------------------- data quality (D1-D9), O1, O2
+
+@register("dq_declared_tests")
+def dq_declared_tests(spark, sf_dir):
+    from rivulet.operators import quality
+    return quality.run_checks(spark, quality.DECLARED, models(spark, sf_dir).ref)
+
+
+@register("dq_ddl_constraints")
+def dq_ddl_constraints(spark, sf_dir):
+    from rivulet.operators import quality
+    return quality.run_checks(spark, quality.DDL, models(spark, sf_dir).ref)
+
+
+@register("dq_schema_contract")
+def dq_schema_contract(spark, sf_dir):
+    from rivulet.operators import quality
+    from rivulet.sources.tables import DOMAIN_TABLES
+    return quality.schema_contract(spark, DOMAIN_TABLES, _source(spark, sf_dir).table)
+
+
+@register("dq_non_empty")
+def dq_non_empty(spark, sf_dir):
+    from rivulet.operators import quality
+    return quality.non_empty(_source(spark, sf_dir).table)
+
+
+def _lake(spark) -> str:
+    import uuid
+
+    from rivulet.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex}"
+
+
+@register("o1_refresh_silver_gold")
+def o1_refresh_silver_gold(spark, sf_dir):
+    """Refresh the silver and gold layers into the lake, read gold back."""
+    from rivulet.plans.medallion import refresh
+    m = models(spark, sf_dir)
+    refresh(m, ("silver", "gold"), lake_root=_lake(spark))
+    return comparable(m.ref("gold_visao_geral_clientes"))
+
+
+@register("o2_refresh_then_test")
+def o2_refresh_then_test(spark, sf_dir):
+    from rivulet.plans.medallion import refresh_and_test
+    return refresh_and_test(models(spark, sf_dir), lake_root=_lake(spark))
