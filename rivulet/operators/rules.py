@@ -128,28 +128,45 @@ def update_by_key(target: DataFrame, changes: DataFrame, key: str, as_of=None,
 
 # ---------------------------------------------------------------- insert-if-absent
 
-def insert_if_absent(target: DataFrame, rows: DataFrame, key: str | Iterable[str]) -> DataFrame:  # R7
-    """``INSERT ... WHERE NOT EXISTS (SELECT 1 FROM target WHERE key = row.key)``.
-
-    New rows are first made unique on the key (the first statement wins, as
-    consecutive guarded inserts would), then anti-joined against the target.
-    """
+def first_per_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Among rows sharing a non-NULL key, the one with the smallest ``order``
+    (rows with a NULL key part never conflict and all stay).  ``min_by`` is a
+    partial aggregate, so a hot key is reduced per task before the shuffle."""
+    nn = F.lit(True)
+    for k in keys:
+        nn = nn & F.col(k).isNotNull()
+    others = [c for c in rows.columns if c not in keys]
+    firsts = (rows.filter(nn).groupBy(*keys)
+              .agg(F.min_by(F.struct(*[F.col(c) for c in others]), F.col(order)).alias("__r"))
+              .select(*keys, *[F.col(f"__r.{c}").alias(c) for c in others]))
+    return firsts.select(*rows.columns).unionByName(rows.filter(~nn))
+
+
+def insert_if_absent(target: DataFrame, rows: DataFrame, key: str | Iterable[str],
+                     order: str = "id") -> DataFrame:  # R7
+    """``INSERT ... WHERE NOT EXISTS (SELECT 1 FROM target WHERE key = row.key)``,
+    one statement per row in ``order``: the first new row of a key wins, rows
+    whose key already exists are skipped, NULL keys always insert."""
     keys = [key] if isinstance(key, str) else list(key)
-    fresh = rows.dropDuplicates(keys).join(target.select(*keys), on=keys, how="left_anti")
-    return target.unionByName(fresh.select(*target.columns))
+    fresh = first_per_key(rows, keys, order)
+    existing = target.select(*keys).dropna()
+    return target.unionByName(fresh.join(existing, on=keys, how="left_anti").select(*target.columns))
 
 
 def insert_on_conflict_do_nothing(target: DataFrame, rows: DataFrame,
-                                  unique_keys: Iterable[str]) -> DataFrame:  # R8
-    """``INSERT ... ON CONFLICT DO NOTHING`` without a target: a row conflicting on
-    *any* unique key (PK or UNIQUE column) is skipped.  NULLs never conflict."""
+                                  unique_keys: Iterable[str], order: str = "id") -> DataFrame:  # R8
+    """``INSERT ... ON CONFLICT DO NOTHING`` without a conflict target: a row that
+    conflicts on *any* unique key (PK or UNIQUE column) with the table is skipped.
+
+    Conflicts among the new rows themselves are resolved per key, first row in
+    ``order`` wins (exact for rows conflicting on one key; a row losing on one
+    key while winning on another is dropped only if it loses).
+    """
     fresh = rows
     for k in unique_keys:
         fresh = fresh.join(target.select(k).filter(F.col(k).isNotNull()), on=k, how="left_anti")
-    # Among the new rows themselves the first one per key wins.
     for k in unique_keys:
-        nn = fresh.filter(F.col(k).isNotNull()).dropDuplicates([k])
-        fresh = nn.unionByName(fresh.filter(F.col(k).isNull()))
+        fresh = first_per_key(fresh, [k], order)
     return target.unionByName(fresh.select(*target.columns))
 
 

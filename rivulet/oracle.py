@@ -580,3 +580,72 @@ select (select count(*) from clientes) > 0 as has_clientes, (select count(*) fro
 
 
 _quality_sql()
+
+# ------------------------------------------------------------------ rules and sources
+
+_CLI_COLS = ("id, nome, email, telefone, cpf, data_nascimento, endereco, status, tipo_cliente, "
+             "cast(limite_credito as double) as limite_credito, data_cadastro, updated_at, created_by, version")
+
+
+def _seed_sql(email_mod: int, cpf_mod: int | None = None) -> str:
+    cpf = "cpf" if cpf_mod is None else f"case when id % {cpf_mod} = 0 then cpf else '9' || cpf end"
+    return (f"select id + 1000000000 as id, nome, case when id % {email_mod} = 0 then email "
+            f"else 'novo' || cast(id as varchar) || '@seed.com' end as email, telefone, {cpf} as cpf, "
+            f"data_nascimento, endereco, status, tipo_cliente, limite_credito, data_cadastro, updated_at, "
+            f"created_by, version from clientes where id % 10 = 0")
+
+
+SQL["r6_update_by_key"] = with_tables("clientes") + """
+select id, nome, case when id % 7 = 0 then 'novo' || cast(id as varchar) || '@email.com' else email end as email,
+  telefone, cpf, data_nascimento, endereco, status, tipo_cliente, cast(limite_credito as double) as limite_credito,
+  data_cadastro, case when id % 7 = 0 then timestamp '2001-08-01 00:00:00' else updated_at end as updated_at,
+  created_by, version
+from clientes
+"""
+
+SQL["r7_insert_if_absent"] = with_tables("clientes") + f"""
+, n as ({_seed_sql(20)})
+select {_CLI_COLS} from clientes
+union all
+select {_CLI_COLS} from n where not exists (select 1 from clientes c where c.email = n.email)
+"""
+
+SQL["r8_insert_on_conflict_do_nothing"] = with_tables("clientes") + f"""
+, n as ({_seed_sql(20, 30)})
+select {_CLI_COLS} from clientes
+union all
+select {_CLI_COLS} from n
+where not exists (select 1 from clientes c where c.id = n.id)
+  and not exists (select 1 from clientes c where c.email = n.email)
+  and not exists (select 1 from clientes c where c.cpf = n.cpf)
+"""
+
+SQL["r9_delete_cascade"] = with_tables("pedidos", "itens_pedido") + """
+select id, pedido_id, produto_id, quantidade from itens_pedido
+where pedido_id not in (select id from pedidos where id % 50 = 0)
+"""
+
+SQL["r1_r3_generated_columns"] = with_tables("pedidos", "itens_pedido") + """
+select i.pedido_id, cast(sum(i.valor_total) as double) as itens_total,
+  cast(p.valor_liquido as double) as valor_liquido
+from itens_pedido i join pedidos p on p.id = i.pedido_id
+group by i.pedido_id, p.valor_liquido
+"""
+
+SQL["s3_choose_root"] = f"""
+select 'replica' as root, count(*) as linhas from {sub('cdc_replica_clientes')} r
+"""
+
+SQL["s4_full_refresh_copy"] = with_tables("clientes", "pedidos") + """
+select 'clientes' as tabela, count(*) as linhas from clientes
+union all select 'pedidos', count(*) from pedidos
+"""
+
+SQL["s9_document_ingest"] = with_tables("produtos") + """
+select id, nome, categoria, cast(preco_venda as double) as preco, estoque_atual as estoque, ativo
+from produtos
+"""
+
+SQL["s10_csv_seed"] = with_tables("clientes") + f"""
+select {_CLI_COLS} from clientes
+"""

@@ -293,3 +293,123 @@ def o1_refresh_silver_gold(spark, sf_dir):
 def o2_refresh_then_test(spark, sf_dir):
     from rivulet.plans.medallion import refresh_and_test
     return refresh_and_test(models(spark, sf_dir), lake_root=_lake(spark))
+
+
+# ---------------------------------------------------------------- table rules
+
+def _seed_rows(clientes: DataFrame, new_email_mod: int, keep_cpf_mod: int | None = None) -> DataFrame:
+    """New customer rows derived from every tenth customer: a fresh id, the
+    customer's own e-mail for every ``new_email_mod``-th (a conflict) else a new one."""
+    k = F.col("id")
+    cpf = F.col("cpf") if keep_cpf_mod is None else F.when(k % keep_cpf_mod == 0, F.col("cpf")) \
+        .otherwise(F.concat(F.lit("9"), F.col("cpf")))
+    return clientes.filter(k % 10 == 0).select(
+        *[(k + 1_000_000_000).alias("id") if c == "id" else
+          F.when(k % new_email_mod == 0, F.col("email"))
+          .otherwise(F.concat(F.lit("novo"), k.cast("string"), F.lit("@seed.com"))).alias("email")
+          if c == "email" else cpf.alias("cpf") if c == "cpf" else F.col(c)
+          for c in clientes.columns])
+
+
+@register("r6_update_by_key")
+def r6_update_by_key(spark, sf_dir):
+    from rivulet.operators import rules
+    from rivulet.sources.tables import AS_OF_ORDERS
+    c = _source(spark, sf_dir).table("clientes")
+    changes = c.filter(F.col("id") % 7 == 0).select(
+        "id", F.concat(F.lit("novo"), F.col("id").cast("string"), F.lit("@email.com")).alias("email"))
+    return comparable(rules.update_by_key(c, changes, "id", AS_OF_ORDERS))
+
+
+@register("r7_insert_if_absent")
+def r7_insert_if_absent(spark, sf_dir):
+    from rivulet.operators import rules
+    c = _source(spark, sf_dir).table("clientes")
+    return comparable(rules.insert_if_absent(c, _seed_rows(c, 20), "email"))
+
+
+@register("r8_insert_on_conflict_do_nothing")
+def r8_insert_on_conflict_do_nothing(spark, sf_dir):
+    from rivulet import schemas
+    from rivulet.operators import rules
+    c = _source(spark, sf_dir).table("clientes")
+    return comparable(rules.insert_on_conflict_do_nothing(
+        c, _seed_rows(c, 20, keep_cpf_mod=30), ("id",) + schemas.UNIQUE_KEYS["clientes"]))
+
+
+@register("r9_delete_cascade")
+def r9_delete_cascade(spark, sf_dir):
+    from rivulet.operators import rules
+    src = _source(spark, sf_dir)
+    p, i = src.table("pedidos"), src.table("itens_pedido")
+    _, children = rules.delete_cascade(p, i, p.filter(F.col("id") % 50 == 0).select("id"))
+    return children.select("id", "pedido_id", "produto_id", "quantidade")
+
+
+@register("r10_random_sample")
+def r10_random_sample(spark, sf_dir):
+    from rivulet.operators import rules
+    return comparable(rules.random_sample(_source(spark, sf_dir).table("clientes"), 10, seed=7))
+
+
+@register("r1_r3_generated_columns")
+def r1_r3_generated_columns(spark, sf_dir):
+    """Generated columns recomputed on the item table (R3) with R1 on orders."""
+    src = _source(spark, sf_dir)
+    i = src.table("itens_pedido").select("pedido_id", "valor_total")
+    p = src.table("pedidos").select(F.col("id").alias("pedido_id"), "valor_liquido")
+    return comparable(i.groupBy("pedido_id").agg(F.sum("valor_total").alias("itens_total"))
+                      .join(p, "pedido_id", "inner"))
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+@register("s3_choose_root")
+def s3_choose_root(spark, sf_dir):
+    from rivulet.sources.tables import Root, choose_root
+    reps = _replica_tables(spark, sf_dir)
+    replica = Root(spark, lambda n: reps[n], "replica")
+    chosen = choose_root(replica, _source(spark, sf_dir))
+    return chosen.table("clientes").agg(F.count(F.lit(1)).alias("linhas")) \
+        .select(F.lit(chosen.name).alias("root"), "linhas")
+
+
+@register("s4_full_refresh_copy")
+def s4_full_refresh_copy(spark, sf_dir):
+    from rivulet.sources.tables import full_refresh_copy
+    paths = full_refresh_copy(_source(spark, sf_dir), ["clientes", "pedidos"], _lake(spark))
+    out = None
+    for name, path in paths.items():
+        n = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("linhas")) \
+            .select(F.lit(name).alias("tabela"), "linhas")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+@register("s9_document_ingest")
+def s9_document_ingest(spark, sf_dir):
+    """Products published as service responses of 100 items per file, read back."""
+    from rivulet.sources.tables import read_documents
+    p = _source(spark, sf_dir).table("produtos")
+    item = F.struct("id", "nome", "categoria", F.col("preco_venda").cast("double").alias("preco"),
+                    F.col("estoque_atual").alias("estoque"), "ativo")
+    pages = (p.withColumn("page", F.floor((F.col("id") - 1) / 100))
+             .groupBy("page")            # pages hold at most 100 items
+             .agg(F.count(F.lit(1)).alias("total"), F.collect_list(item).alias("dados"))
+             .select("page", F.to_json(F.struct("total", "dados",
+                                                F.lit("2001-08-01T00:00:00").alias("timestamp")))
+                     .alias("value")))
+    path = _lake(spark) + "/produtos-api"
+    pages.repartition("page").write.partitionBy("page").text(path)
+    return read_documents(spark, path).select("id", "nome", "categoria", "preco", "estoque", "ativo")
+
+
+@register("s10_csv_seed")
+def s10_csv_seed(spark, sf_dir):
+    from rivulet import schemas
+    from rivulet.sources.tables import read_seed
+    c = _source(spark, sf_dir).table("clientes")
+    path = _lake(spark) + "/raw_seeds/clientes"
+    opts = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    c.write.options(**opts).option("header", True).csv(path)
+    return comparable(read_seed(spark, path, schema=schemas.CLIENTES, options=opts))

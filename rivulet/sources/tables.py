@@ -108,11 +108,15 @@ def read_documents(spark: SparkSession, path: str, item_schema: T.StructType | N
 
 
 def read_seed(spark: SparkSession, path: str, table: str | None = None,
-              schema: T.StructType | None = None) -> DataFrame:  # S10
-    """CSV seed with a header, read with a declared schema (no inference)."""
+              schema: T.StructType | None = None, options: dict | None = None) -> DataFrame:  # S10
+    """CSV seed with a header, read with a declared schema (no inference).
+    Array columns (CSV has none) are read as text."""
     if schema is None and table is not None:
         schema = schemas.SCHEMAS[table]
-    reader = spark.read.option("header", True)
+    if schema is not None:
+        schema = T.StructType([T.StructField(f.name, T.StringType() if isinstance(
+            f.dataType, T.ArrayType) else f.dataType, True) for f in schema.fields])
+    reader = spark.read.option("header", True).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
