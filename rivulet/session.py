@@ -30,8 +30,16 @@ SCALE_CONF = {
     # broadcast in the library: no hint forces one on an unbounded side.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # Generated methods above 8000 bytecode bytes are never JIT-compiled by
+    # HotSpot; above this size Spark falls back to smaller per-operator code.
+    # The wide CDC projections (one typed column per table column) need it.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Performance settings also applied to a caller's session, unless its launch
+# configuration names them.
+SESSION_PERF_CONF = ("spark.sql.codegen.hugeMethodLimit",)
+
 
 def ensure_conf(spark: SparkSession) -> SparkSession:
     """Set the required session confs where the session left them unset."""
@@ -43,6 +51,10 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
             continue
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
+    launch = spark.sparkContext.getConf()
+    for key in SESSION_PERF_CONF:
+        if not launch.contains(key):
+            spark.conf.set(key, SCALE_CONF[key])
     return spark
 
 

@@ -117,29 +117,38 @@ def coerce(raw: Column, column: str, dtype: T.DataType, ts_unit: str = "micros")
 
 def typed_events(parsed: DataFrame, route: schemas.Route, ts_unit: str = "micros") -> DataFrame:
     """Events of one table with, per whitelisted column, ``p_<c>`` (present) and
-    ``v_<c>`` (typed value).  ``reason`` is set when the event cannot apply."""
+    ``v_<c>`` (typed value).  ``reason`` is set when the event cannot apply.
+
+    Two projections: the first extracts and types every column once, the second
+    derives ``reason`` from those columns.  Written as one projection, the
+    reason would repeat every coercion inside one very large expression.
+    """
     schema = {f.name: f.dataType for f in schemas.SCHEMAS[route.table].fields}
     lengths = REPLICA_LENGTHS.get(route.table, {})
     ev = parsed.filter(F.col("table") == route.table)
     m = F.col("payload")
-    cols, bad = [], F.lit(False)
+    cols = []
     for c in route.columns:
         raw = m[c]
-        val = coerce(raw, c, schema[c], ts_unit)
-        cols += [F.map_contains_key(m, c).alias(f"p_{c}"), val.alias(f"v_{c}")]
-        bad = bad | (raw.isNotNull() & val.isNull())
+        cols += [F.map_contains_key(m, c).alias(f"p_{c}"), raw.alias(f"r_{c}"),
+                 coerce(raw, c, schema[c], ts_unit).alias(f"v_{c}")]
+    step = ev.select("topic", "partition", "offset", "timestamp", "value", "op",
+                     F.col("reason").alias("parse_reason"), *cols)
+    bad = F.lit(False)
+    for c in route.columns:
+        bad = bad | (F.col(f"r_{c}").isNotNull() & F.col(f"v_{c}").isNull())
         if c in lengths:
-            bad = bad | (F.length(val) > lengths[c])
+            bad = bad | (F.length(F.col(f"v_{c}")) > lengths[c])
     is_delete = F.col("op") == "d"
-    key_raw = m[route.pk]
-    key_val = coerce(key_raw, route.pk, schema[route.pk])
-    reason = (F.when(F.col("reason").isNotNull(), F.col("reason"))
+    key_raw, key_val = F.col(f"r_{route.pk}"), F.col(f"v_{route.pk}")
+    reason = (F.when(F.col("parse_reason").isNotNull(), F.col("parse_reason"))
               .when(is_delete & key_raw.isNotNull() & key_val.isNull(), "bad_key")
               .when(is_delete, F.lit(None))
               .when(key_val.isNull(), "null_key")
               .when(bad, "bad_value"))
-    return ev.select("topic", "partition", "offset", "timestamp", "value", "op",
-                     key_val.alias("key"), *cols, reason.alias("reason"))
+    keep = [x for c in route.columns for x in (f"p_{c}", f"v_{c}")]
+    return step.select("topic", "partition", "offset", "timestamp", "value", "op",
+                       key_val.alias("key"), *keep, reason.alias("reason"))
 
 
 # ---------------------------------------------------------------- 3. fold
