@@ -649,3 +649,20 @@ from produtos
 SQL["s10_csv_seed"] = with_tables("clientes") + f"""
 select {_CLI_COLS} from clientes
 """
+
+# Events of the change log that must not apply: the malformed ones of step 6
+# (every event derived from the tables applies).  The tombstone is dropped
+# silently and the null-id delete counts as applied, so neither is listed.
+SQL["cdc_quarantine"] = f"""
+select topic, 0 as partition, cast({6 * _STEP} + i as bigint) as "offset", value, reason from (values
+  ('dbserver1.public.clientes', 0, '{{bad json', 'invalid_json'),
+  ('dbserver1.public.clientes', 1, 'null', 'empty'),
+  ('dbserver1.public.clientes', 2, '{{"payload":null}}', 'empty'),
+  ('dbserver1.public.clientes', 3, '{{"payload":{{}}}}', 'empty'),
+  ('dbserver1.public.clientes', 4, '[1]', 'not_object'),
+  ('dbserver1.public.clientes', 5, '{{"nome":"sem id","__op":"c"}}', 'missing_pk'),
+  ('dbserver1.public.clientes', 6, '{{"id":null,"nome":"id nulo","__op":"c"}}', 'null_key'),
+  ('dbserver1.public.outra', 7, '{{"id":1,"nome":"outra"}}', 'unknown_topic'),
+  ('dbserver1.public.clientes', 8, '{{"id":1,"limite_credito":"abc","__op":"u"}}', 'bad_value')
+) t(topic, i, value, reason)
+"""
