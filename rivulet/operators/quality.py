@@ -9,7 +9,8 @@ Failures never stop the run (severity ``warn``, D4).  A check on a column the
 model does not have reports ``error`` with NULL failures instead of raising.
 All not-null checks of one model share one scan (conditional counts); unique
 checks are a grouped count on the column (map-side combined, so a hot value is
-pre-counted per task); relationships are a left-anti join.
+pre-counted per task); relationships count child rows per key, then left-anti
+join the distinct keys against the parent.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ class Check:
     @property
     def name(self) -> str:
         extra = f"_{self.to}_{self.field}" if self.kind == "relationships" else ""
+        if self.kind == "max_length":
+            extra = f"_{self.max_len}"
         return f"{self.kind}_{self.model}_{self.column}{extra}"
 
 
@@ -92,10 +95,12 @@ DDL: list[Check] = [
     Check("relationships", "leads", "campanha_id", to="campanhas_marketing", field="id"),
 ]
 
-# Replica VARCHAR(200) limit for the same columns.
+# Replica VARCHAR(200) limit for the same columns (D6): source
+# rows longer than this fail to replicate.
 REPLICA_LENGTH_CHECKS: list[Check] = [
     Check("max_length", "clientes", "nome", max_len=200),
     Check("max_length", "clientes", "email", max_len=200),
+    Check("max_length", "leads", "nome", max_len=200),
 ]
 
 REPORT_DDL = "test string, model string, column string, failures long, status string"
@@ -126,9 +131,12 @@ def failures_of(check: Check, resolve: Callable[[str], DataFrame]) -> DataFrame
         parent = resolve(check.to)
         if check.field not in parent.columns:
             return None
+        # Count child rows per key first (map-side combined: a hot key becomes
+        # one row per task), then anti-join one row per distinct key.
+        per_key = df.filter(c.isNotNull()).groupBy(c.alias("__c")).agg(F.count(F.lit(1)).alias("n"))
         p = parent.select(F.col(check.field).alias("__k")).filter(F.col("__k").isNotNull())
-        orphans = df.filter(c.isNotNull()).join(p, c == F.col("__k"), "left_anti")
-        return orphans.agg(F.count(F.lit(1)).alias("failures"))
+        orphans = per_key.join(p, F.col("__c") == F.col("__k"), "left_anti")
+        return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
     if check.kind == "range":
         bad = F.lit(False)
         if check.low is not None:

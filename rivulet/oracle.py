@@ -568,10 +568,10 @@ def checks_sql(checks) -> str:
 
 
 def _quality_sql():
-    from rivulet.operators.quality import DDL, DECLARED
+    from rivulet.operators.quality import DDL, DECLARED, REPLICA_LENGTH_CHECKS
     SQL["dq_declared_tests"] = checks_sql(DECLARED)
     SQL["o2_refresh_then_test"] = SQL["dq_declared_tests"]
-    SQL["dq_ddl_constraints"] = checks_sql(DDL)
+    SQL["dq_ddl_constraints"] = checks_sql(DDL + REPLICA_LENGTH_CHECKS)
     SQL["o1_refresh_silver_gold"] = SQL["gold_visao_geral_clientes"]
     SQL["dq_non_empty"] = with_tables("clientes", "pedidos") + """
 select (select count(*) from clientes) > 0 as has_clientes, (select count(*) from pedidos) > 0 as has_pedidos,

@@ -257,7 +257,8 @@ def dq_declared_tests(spark, sf_dir):
 @register("dq_ddl_constraints")
 def dq_ddl_constraints(spark, sf_dir):
     from rivulet.operators import quality
-    return quality.run_checks(spark, quality.DDL, models(spark, sf_dir).ref)
+    return quality.run_checks(spark, quality.DDL + quality.REPLICA_LENGTH_CHECKS,
+                              models(spark, sf_dir).ref)
 
 
 @register("dq_schema_contract")
