@@ -58,27 +58,36 @@ def parse_events(events: DataFrame, routes: dict[str, schemas.Route] = schemas.R
 
     Output: topic, partition, offset, timestamp, value, table, payload
     (map<string,string>), op, reason (NULL when the event is applicable).
+
+    Each value is parsed once as a map; only enveloped events parse their
+    ``payload`` text a second time, and only values that fail to parse are
+    looked at again to tell invalid JSON from ``null`` or a non-object.
     """
     v = F.col("value")
-    keys = F.json_object_keys(v)                       # NULL unless a JSON object
-    enveloped = F.array_contains(keys, "payload")
-    body = F.when(enveloped, F.get_json_object(v, "$.payload")).otherwise(v)
-    payload = F.from_json(body, "map<string,string>")
+    top = F.col("__top")
+    enveloped = F.map_contains_key(top, "payload")
+    body = top["payload"]                      # nested JSON text, or NULL
+    payload = F.when(enveloped, F.from_json(body, "map<string,string>")).otherwise(top)
     table = _route_map(routes.values())[F.col("topic")]
+    p = F.col("__payload")
+    root = F.get_json_object(v, "$")            # only evaluated for unparsable values
     reason = (
         F.when(v.isNull(), "tombstone")
-        .when(F.get_json_object(v, "$").isNull(), "invalid_json")
-        .when(F.col("__payload").isNull() & (body.isNull() | (body == "null")), "empty")
-        .when(F.col("__payload").isNull(), "not_object")
-        .when(F.size("__payload") == 0, "empty")
+        .when(top.isNull() & root.isNull(), "invalid_json")
+        .when(top.isNull() & (root == "null"), "empty")
+        .when(top.isNull(), "not_object")
+        .when(enveloped & (body.isNull() | (body == "null")), "empty")
+        .when(p.isNull(), "not_object")
+        .when(F.size(p) == 0, "empty")
         .when(table.isNull(), "unknown_topic")
-        .when(~F.map_contains_key("__payload", "id"), "missing_pk")
+        .when(~F.map_contains_key(p, "id"), "missing_pk")
     )
     return (events
+            .withColumn("__top", F.from_json(v, "map<string,string>"))
             .withColumn("__payload", payload)
             .select("topic", "partition", "offset", "timestamp", "value",
-                    table.alias("table"), F.col("__payload").alias("payload"),
-                    F.coalesce(F.col("__payload")["__op"], F.lit("r")).alias("op"),
+                    table.alias("table"), p.alias("payload"),
+                    F.coalesce(p["__op"], F.lit("r")).alias("op"),
                     reason.alias("reason")))
 
 
