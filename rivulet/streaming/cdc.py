@@ -304,6 +304,11 @@ class SnapshotSink:
                  routes: dict[str, schemas.Route] = schemas.ROUTES, ts_unit: str = "micros"):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self.routes, self.ts_unit = routes, ts_unit
+        # Last committed manifest per table and last control rows, as written by
+        # this sink (bounded by the bucket and topic counts).  Valid for batch
+        # ids after them; a replay or a restarted process reads the files.
+        self._committed: dict[str, tuple[int, dict[int, int]]] = {}
+        self._control_rows: tuple[int, list] | None = None
 
     # -- reading
     def _manifest_version(self, table: str, before: int | None) -> int | None:
@@ -321,17 +326,26 @@ class SnapshotSink:
         return (self.spark.read.schema("bucket int, src long")
                 .json(f"{self.root}/{table}/_manifest/v={version}"))
 
+    def _entries(self, table: str, before: int | None) -> tuple[int | None, dict[int, int]]:
+        """(version, bucket -> source version) of the newest manifest before ``before``."""
+        cached = self._committed.get(table)
+        if cached is not None and (before is None or cached[0] < before):
+            return cached
+        version = self._manifest_version(table, before)
+        if version is None:
+            return None, {}
+        # One row per bucket: bounded by the bucket count.
+        return version, {r["bucket"]: r["src"] for r in self._manifest(table, version).collect()}
+
     def state(self, table: str, before: int | None = None,
               only_buckets: list[int] | None = None) -> DataFrame:
         """Replica rows as of the newest committed batch (older than ``before``)."""
         schema = schemas.SCHEMAS[table]
-        version = self._manifest_version(table, before)
+        version, entries = self._entries(table, before)
         if version is None:
             return self.spark.createDataFrame([], schema)
-        entries = self._manifest(table, version)
-        if only_buckets is not None:
-            entries = entries.filter(F.col("bucket").isin(only_buckets))
-        pairs = [(r["bucket"], r["src"]) for r in entries.collect()]  # <= buckets rows
+        pairs = [(b, src) for b, src in entries.items()
+                 if only_buckets is None or b in only_buckets]
         if not pairs:
             return self.spark.createDataFrame([], schema)
         versions = sorted({src for _, src in pairs})
@@ -348,6 +362,8 @@ class SnapshotSink:
         return df.filter(cond).select(*[f.name for f in schema.fields])
 
     def control(self, before: int | None = None) -> DataFrame | None:
+        if self._control_rows is not None and (before is None or self._control_rows[0] < before):
+            return self.spark.createDataFrame(self._control_rows[1], CONTROL_DDL)
         path = f"{self.root}/_control"
         try:
             c = self.spark.read.schema(
@@ -391,6 +407,7 @@ class SnapshotSink:
         # Collected (one row per topic) so the write never overwrites a path it reads.
         (self.spark.createDataFrame(rows, CONTROL_DDL).coalesce(1).write.mode("overwrite")
          .parquet(f"{self.root}/_control/v={batch_id}"))
+        self._control_rows = (batch_id, [tuple(r) for r in rows])
         for t in typed.values():
             t.unpersist()
         parsed.unpersist()
@@ -403,27 +420,34 @@ class SnapshotSink:
         touched = sorted(r["bucket"] for r in ev.groupBy("bucket").count().collect())
         if not touched:
             return      # nothing for this table: the previous manifest stays current
-        prev_version = self._manifest_version(table, before=batch_id)
+        prev_version, prev_entries = self._entries(table, before=batch_id)
         cols = ["offset", "op", "key", "reason"] + [x for c in route.columns
                                                    for x in (f"p_{c}", f"v_{c}")]
         events = ev.select(*cols)
+        keep = None
         if prev_version is not None:
+            # Rows of the touched buckets whose key the batch does not mention are
+            # written back unchanged; only the keys it mentions are re-folded.
             old = self.state(table, before=batch_id, only_buckets=touched)
-            events = (state_as_events(old, route)
+            keys = events.select(F.col("key").alias(route.pk)).distinct()
+            keep = old.join(keys, route.pk, "left_anti")
+            redo = old.join(keys, route.pk, "left_semi")
+            events = (state_as_events(redo, route)
                       .withColumn("reason", F.lit(None).cast("string")).select(*cols)
                       .unionByName(events))
-        new_state = fold(events, route).withColumn("bucket", bucket_of(F.col(route.pk), B))
+        new_state = fold(events, route)
+        if keep is not None:
+            new_state = new_state.unionByName(keep.select(*new_state.columns))
+        new_state = new_state.withColumn("bucket", bucket_of(F.col(route.pk), B))
         base = f"{self.root}/{table}"
         (new_state.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
          .parquet(f"{base}/v={batch_id}"))
         # New manifest: touched buckets point at this batch, the rest are carried.
-        entries = [(b, batch_id) for b in touched]
-        if prev_version is not None:
-            for r in self._manifest(table, prev_version).collect():  # <= B rows
-                if r["bucket"] not in touched:
-                    entries.append((r["bucket"], r["src"]))
-        (self.spark.createDataFrame(entries, "bucket int, src long").coalesce(1)
+        entries = dict(prev_entries)
+        entries.update({b: batch_id for b in touched})
+        (self.spark.createDataFrame(sorted(entries.items()), "bucket int, src long").coalesce(1)
          .write.mode("overwrite").json(f"{base}/_manifest/v={batch_id}"))
+        self._committed[table] = (batch_id, entries)
 
     def foreach_batch(self, batch_df: DataFrame, batch_id: int) -> None:
         self.write_batch(batch_df, batch_id)

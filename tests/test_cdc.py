@@ -90,7 +90,10 @@ def test_snapshot_sink_batches_and_replay(spark, tmp_path):
     # Replaying the last batch id changes nothing.
     sink.write_batch(events_df(spark, chunks[-1]), len(chunks) - 1)
     assert state_dict(sink.state("pedidos")) == want
-    ctl = {r["topic"]: r["event_count"] for r in sink.control().collect()}
+    # A new sink over the same folder (a restarted query) reads the files.
+    again = cdc.SnapshotSink(spark, sink.root, buckets=4, routes={TOPIC: ROUTE})
+    assert state_dict(again.state("pedidos")) == want
+    ctl = {r["topic"]: r["event_count"] for r in again.control().collect()}
     applied = sum(1 for _, v in log if "id" in json.loads(v).get("payload", json.loads(v)))
     assert ctl[TOPIC] == applied
 
