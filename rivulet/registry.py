@@ -109,9 +109,12 @@ def cdc_stream_replica_clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ensure_conf(spark)
     base = f"{checkpoint_dir(spark).rstrip('/')}/cdc-{uuid.uuid4().hex}"
-    stage_log(change_log_steps(fixture_root(spark, sf_dir)), f"{base}/log")
+    steps = change_log_steps(fixture_root(spark, sf_dir))
+    stage_log(steps, f"{base}/log")
+    # At most one file per step partition: about four micro-batches in all.
+    files = sum(s.rdd.getNumPartitions() for s in steps)
     sink = SnapshotSink(spark, f"{base}/replica", buckets=16)
-    q = start(read_changes(spark, "files", f"{base}/log", max_per_trigger=4), sink,
+    q = start(read_changes(spark, "files", f"{base}/log", max_per_trigger=-(-files // 4)), sink,
               f"{base}/checkpoint", available_now=True)
     q.awaitTermination()
     return comparable(sink.state("clientes"))

@@ -9,7 +9,7 @@ Pipeline per micro-batch, all on executors:
    event to quarantine instead (C13).
 3. ``fold``: ONE aggregation per key computes the state after the events
    (C5, C6): for every column the last *present* value, unless a delete came
-   later.  ``max_by`` is a partial aggregate, so a key holding a third of the
+   later.  ``max`` is a partial aggregate, so a key holding a third of the
    events is pre-folded in every map task before the shuffle.
 4. ``SnapshotSink``: copy-on-write state split into hash buckets; a batch
    rewrites only the buckets it touches and publishes a new manifest (S7, C16).
@@ -17,7 +17,7 @@ Pipeline per micro-batch, all on executors:
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -182,9 +182,13 @@ def fold(applied: DataFrame, route: schemas.Route, order: str = "offset") -> Dat
     for c in route.columns:
         if c == route.pk:
             continue
-        when_present = F.when(is_up & F.col(f"p_{c}"), o)
-        # struct(...) keeps an explicit NULL as a value that can win.
-        aggs.append(F.max_by(F.struct(F.col(f"v_{c}").alias("v"), o.alias("o")), when_present)
+        # The newest present value is the max of (offset, value) over the events
+        # where the column is present: offsets are unique per key, so the value
+        # never decides, and an explicit NULL wins as a non-null struct.  A plain
+        # max over a struct folds about 2.5x faster than max_by with a struct
+        # value (sf0.1 pedidos: 4.0 s vs 10.6 s).
+        aggs.append(F.max(F.when(is_up & F.col(f"p_{c}"),
+                                 F.struct(o.alias("o"), F.col(f"v_{c}").alias("v"))))
                     .alias(f"s_{c}"))
     st = applied.groupBy("key").agg(*aggs).filter(F.col("key").isNotNull())
     floor = F.coalesce(F.col("__ld"), F.lit(NO_DELETE))
@@ -213,11 +217,39 @@ def state_as_events(state: DataFrame, route: schemas.Route) -> DataFrame:
                         F.col(route.pk).alias("key"), *cols)
 
 
+class TableStates(Mapping[str, DataFrame]):
+    """table -> folded state, each plan built on first access.
+
+    A caller that reads one replica table does not pay for building (and
+    analysing) the typed projections and folds of the others.
+    """
+
+    def __init__(self, events: DataFrame, routes: dict[str, schemas.Route], ts_unit: str):
+        self._all = routes
+        self._routes = {r.table: r for r in routes.values()}
+        self._events, self._ts_unit = events, ts_unit
+        self._parsed: DataFrame | None = None
+        self._states: dict[str, DataFrame] = {}
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._states:
+            route = self._routes[table]
+            if self._parsed is None:
+                self._parsed = parse_events(self._events, self._all)
+            self._states[table] = fold(typed_events(self._parsed, route, self._ts_unit), route)
+        return self._states[table]
+
+    def __iter__(self):
+        return iter(self._routes)
+
+    def __len__(self) -> int:
+        return len(self._routes)
+
+
 def apply_changes(events: DataFrame, routes: dict[str, schemas.Route] = schemas.ROUTES,
-                  ts_unit: str = "micros") -> dict[str, DataFrame]:
-    """Batch form: fold a whole change log into one state per table."""
-    parsed = parse_events(events, routes)
-    return {r.table: fold(typed_events(parsed, r, ts_unit), r) for r in routes.values()}
+                  ts_unit: str = "micros") -> Mapping[str, DataFrame]:
+    """Batch form: fold a whole change log into one state per table (lazily per table)."""
+    return TableStates(events, routes, ts_unit)
 
 
 def rows_where(df: DataFrame, cond: Column, cols: list[str]) -> DataFrame:

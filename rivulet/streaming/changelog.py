@@ -122,14 +122,27 @@ def pedidos_log(pedidos: DataFrame, ts_unit: str = "micros") -> list[DataFrame]:
     ]
 
 
+def spread(df: DataFrame, key: str = "id") -> DataFrame:
+    """Rows hash-spread by ``key`` over the cluster's cores, as a keyed producer
+    spreads them over topic partitions, when the input has fewer splits than
+    cores (a one-row-group file is read by a single task).  An input with
+    enough splits is returned as it is: no extra shuffle at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def change_log_steps(root: Root, ts_unit: str = "micros") -> list[DataFrame]:
     """All topics' events grouped by step (a step may mix topics)."""
     spark = root.spark
-    cl = clientes_log(root.table("clientes"), spark, ts_unit)
-    pl = pedidos_log(root.table("pedidos"), ts_unit)
+    cl = clientes_log(spread(root.table("clientes")), spark, ts_unit)
+    pl = pedidos_log(spread(root.table("pedidos")), ts_unit)
     steps = [cl[0].unionByName(pl[0])
-             .unionByName(snapshot_events(root.table("produtos"), "produtos", 1, "r", ts_unit))
-             .unionByName(snapshot_events(root.table("leads"), "leads", 1, "r", ts_unit)),
+             .unionByName(snapshot_events(spread(root.table("produtos")), "produtos", 1, "r",
+                                          ts_unit))
+             .unionByName(snapshot_events(spread(root.table("leads")), "leads", 1, "r", ts_unit)),
              cl[1].unionByName(pl[1])] + cl[2:]
     return steps
 
