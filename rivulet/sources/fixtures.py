@@ -32,7 +32,7 @@ from customer
 """
 
 PEDIDOS_SQL = """
-select o_orderkey as id, o_custkey as cliente_id, ' PED-' || cast(o_orderkey as string) || ' ' as numero_pedido,
+select o_orderkey as id, case when o_custkey % 10 = 0 then null else o_custkey end as cliente_id, ' PED-' || cast(o_orderkey as string) || ' ' as numero_pedido,
   cast(o_orderdate as timestamp) as data_pedido,
   case o_orderstatus when 'F' then 'concluido' when 'O' then 'enviado' else 'pendente' end as status,
   case when o_orderkey % 101 = 0 then cast(0 as decimal(15,2)) else cast(o_totalprice as decimal(15,2)) end as valor_bruto,
@@ -44,7 +44,7 @@ select o_orderkey as id, o_custkey as cliente_id, ' PED-' || cast(o_orderkey as
   case when o_orderstatus = 'P' then null else cast(o_orderdate as date) + cast(o_orderkey % 15 as int) end as data_entrega_real,
   cast(cast(o_orderdate as date) + cast(o_orderkey % 20 as int) as timestamp) as updated_at,
   'sistema' as created_by, 1 as version
-from orders where o_custkey % 10 <> 0
+from orders
 """
 
 PRODUTOS_SQL = """
