@@ -2,39 +2,94 @@
 
 ``Window.partitionBy(key)`` sends every row of a key to one task; a key with a
 third of all rows then runs in a single task.  Here rows are range-partitioned
-on (key, order...) so a hot key is spread over many partitions, the window runs
-per (key, partition) slice, and each slice's first row is fixed up from the
-slice before it.  The fix-up tables have one row per (key, partition) slice, so
-even for a hot key they hold at most one row per partition.
+on (key, order...) so a hot key is spread over many partitions, and the window
+runs per (key, partition) slice.
+
+Range partitioning keeps keys sorted across partitions, so only the *first*
+key of a partition can continue from earlier partitions, and it can only
+continue from partitions whose *last* key it is.  The fix-up therefore needs
+one summary row per partition (first key, last key, rows and last value of
+the last key), not one row per key: the fix-up tables are bounded by the
+partition count whatever the data size, which is what makes broadcasting them
+safe.  Keys are compared null-safely and ordered nulls first, as the range
+partitioning orders them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
 def _sliced(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     # Range partitioning over (key, order) splits hot keys; the partition id
-    # names the slice.  Both consumers below read the same exchange (reused).
+    # names the slice.  The summary below and the rows read the same exchange
+    # (reused), so both see the same partition ids.
     return df.repartitionByRange(key, *order).withColumn("__pid", F.spark_partition_id())
 
 
+def _partition_summary(r: DataFrame, key: str, last_value: Column | None = None) -> DataFrame:
+    """One row per non-empty partition: ``__pid, __first, __last, __n_last[, __v_last]``.
+
+    ``r`` carries ``__rn`` (row number inside the (key, partition) slice), so the
+    greatest (key, __rn) is the partition's last row and its ``__rn`` is the
+    number of rows the last key has in the partition.
+    """
+    k = F.col(key)
+    fields = [k.alias("k"), F.col("__rn").alias("n")]
+    if last_value is not None:
+        fields.append(last_value.alias("v"))
+    s = r.groupBy("__pid").agg(F.min(F.struct(k.alias("k"))).alias("__f"),
+                               F.max(F.struct(*fields)).alias("__l"))
+    cols = [F.col("__pid"), F.col("__f.k").alias("__first"), F.col("__l.k").alias("__last"),
+            F.col("__l.n").alias("__n_last")]
+    if last_value is not None:
+        cols.append(F.col("__l.v").alias("__v_last"))
+    return s.select(*cols)
+
+
+def _earlier_partitions_of_first_key(summary: DataFrame) -> DataFrame:
+    """Pairs (partition p, earlier partition q) where q ends with p's first key.
+
+    Keys are sorted across partitions, so these q are exactly the partitions
+    before p that hold p's first key.  Both sides have one row per partition.
+    """
+    q = summary.select(*[F.col(c).alias("__q" + c[2:]) for c in summary.columns])
+    p = summary.select("__pid", "__first")
+    return p.join(q, F.col("__qlast").eqNullSafe(F.col("__first")) & (F.col("__qpid") < F.col("__pid")))
+
+
+def _attach(r: DataFrame, key: str, fix: DataFrame) -> DataFrame:
+    """Left-join the per-partition fix-up (``__fpid``, ``__fkey``, ...) onto the rows.
+
+    ``fix`` holds at most one row per partition (see module doc), so it is
+    broadcast: its size is bounded by the partition count, not by the data.
+    """
+    cond = (F.col("__pid") == F.col("__fpid")) & F.col(key).eqNullSafe(F.col("__fkey"))
+    return r.join(F.broadcast(fix), cond, "left")
+
+
 def lag_skew_safe(df: DataFrame, key: str, order: Sequence[str], value: str, out: str) -> DataFrame:
     """``lag(value) over (partition by key order by order...)`` as column ``out``."""
     o = [F.col(c) for c in order]
     r = _sliced(df, key, order)
     w = Window.partitionBy(key, "__pid").orderBy(*o)
     r = r.withColumn(out, F.lag(value).over(w)).withColumn("__rn", F.row_number().over(w))
-    ends = r.groupBy(key, "__pid").agg(F.max_by(F.col(value), F.struct(*o)).alias("__last"))
-    prev = (ends.withColumn("__prev", F.lag("__last").over(Window.partitionBy(key).orderBy("__pid")))
-            .select(key, "__pid", "__prev"))
-    return (r.join(prev, [key, "__pid"], "left")
-            .withColumn(out, F.when(F.col("__rn") == 1, F.col("__prev")).otherwise(F.col(out)))
-            .drop("__pid", "__rn", "__prev"))
+    summary = _partition_summary(r, key, F.col(value))
+    # The value before a partition's first row is the last value of the nearest
+    # earlier partition that ends with the same key.
+    fix = (_earlier_partitions_of_first_key(summary)
+           .groupBy("__pid", "__first")
+           .agg(F.max(F.struct(F.col("__qpid"), F.col("__qv_last").alias("v")))["v"].alias("__prev"))
+           .select(F.col("__pid").alias("__fpid"), F.col("__first").alias("__fkey"), "__prev",
+                   F.lit(True).alias("__hit")))
+    return (_attach(r, key, fix)
+            .withColumn(out, F.when((F.col("__rn") == 1) & F.col("__hit"), F.col("__prev"))
+                        .otherwise(F.col(out)))
+            .drop("__pid", "__rn", "__fpid", "__fkey", "__prev", "__hit"))
 
 
 def row_number_skew_safe(df: DataFrame, key: str, order: Sequence[str], out: str) -> DataFrame:
@@ -42,10 +97,12 @@ def row_number_skew_safe(df: DataFrame, key: str, order: Sequence[str], out: str
     o = [F.col(c) for c in order]
     r = _sliced(df, key, order)
     r = r.withColumn("__rn", F.row_number().over(Window.partitionBy(key, "__pid").orderBy(*o)))
-    sizes = r.groupBy(key, "__pid").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(key).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))) \
-        .select(key, "__pid", "__off")
-    return (r.join(offsets, [key, "__pid"], "left")
-            .withColumn(out, F.col("__rn") + F.col("__off"))
-            .drop("__pid", "__rn", "__off"))
+    summary = _partition_summary(r, key)
+    # Rows of a partition's first key in earlier partitions: the last-key counts
+    # of the partitions before it that end with that key.
+    fix = (_earlier_partitions_of_first_key(summary)
+           .groupBy("__pid", "__first").agg(F.sum("__qn_last").alias("__off"))
+           .select(F.col("__pid").alias("__fpid"), F.col("__first").alias("__fkey"), "__off"))
+    return (_attach(r, key, fix)
+            .withColumn(out, F.col("__rn") + F.coalesce(F.col("__off"), F.lit(0)))
+            .drop("__pid", "__rn", "__fpid", "__fkey", "__off"))
