@@ -411,45 +411,97 @@ class SnapshotSink:
         return c.filter(F.col("v") == top).drop("v")
 
     # -- writing
+    def _batch_stats(self, parsed: DataFrame, typed: dict[str, DataFrame]) -> list:
+        """One job over the persisted batch: per (table, topic, bucket) the applied
+        count, last offset and last event, and the rejected count.
+
+        Rows are bounded by tables x topics x buckets, not by the batch size.
+        Parse-level rejects come from ``parsed`` (their table may be unknown);
+        value-level rejects from the typed rows.
+        """
+        parts = [parsed.select(F.lit(None).cast("string").alias("table"), "topic",
+                               F.lit(None).cast("int").alias("bucket"),
+                               F.lit(None).cast("long").alias("ok_offset"),
+                               F.lit(None).cast("timestamp").alias("ok_ts"),
+                               (F.col("reason").isNotNull() & (F.col("reason") != "tombstone"))
+                               .alias("bad"))]
+        for table, t in typed.items():
+            ok = F.col("reason").isNull()
+            parts.append(t.select(F.lit(table).alias("table"), "topic",
+                                  bucket_of(F.col("key"), self.buckets).alias("bucket"),
+                                  F.when(ok, F.col("offset")).alias("ok_offset"),
+                                  F.when(ok, F.col("timestamp")).alias("ok_ts"),
+                                  F.coalesce(F.col("reason").isin(*TYPED_REASONS), F.lit(False))
+                                  .alias("bad")))
+        rows = parts[0]
+        for p in parts[1:]:
+            rows = rows.unionByName(p)
+        return (rows.groupBy("table", "topic", "bucket")
+                .agg(F.count("ok_offset").alias("applied"), F.max("ok_offset").alias("last_offset"),
+                     F.max("ok_ts").alias("last_event"),
+                     F.count(F.when(F.col("bad"), 1)).alias("rejected"))
+                .collect())
+
     def write_batch(self, events: DataFrame, batch_id: int) -> dict[str, int]:
         """Apply one micro-batch of change events; returns applied events per topic.
 
-        Events are parsed and typed once (persisted), then every table folds
-        only the buckets its events touch.  Quarantine and accounting come
-        from the same persisted rows.
+        Events are parsed and typed once (persisted).  One statistics job gives
+        the buckets each table's events touch, the per-topic accounting and the
+        reject count; then every table folds only its touched buckets.
         """
         parsed = parse_events(events, self.routes).persist()
         typed = {r.table: typed_events(parsed, r, self.ts_unit).persist()
                  for r in self.routes.values()}
+        stats = self._batch_stats(parsed, typed)
         for route in self.routes.values():
-            self._apply_table(route, typed[route.table], batch_id)
+            # Skipped events with a key still count as touching their bucket.
+            touched = sorted({r["bucket"] for r in stats
+                              if r["table"] == route.table and r["bucket"] is not None})
+            self._apply_table(route, typed[route.table], batch_id, touched)
         # Quarantine of this batch: parse-level and value-level rejects.
-        (rejected(parsed, typed.values()).write.mode("overwrite")
-         .parquet(f"{self.root}/_quarantine/v={batch_id}"))
-        # Accounting (C12): one row per topic.
-        applied = None
-        for t in typed.values():
-            a = t.filter(F.col("reason").isNull()).select("topic", "offset", "timestamp")
-            applied = a if applied is None else applied.unionByName(a)
-        batch_rows = applied.groupBy("topic").agg(
-            F.max("offset").alias("last_offset"), F.max("timestamp").alias("last_event"),
-            F.count(F.lit(1)).alias("event_count")).collect()          # <= #topics rows
-        batch_ctl = self.spark.createDataFrame(batch_rows, CONTROL_DDL)
-        rows = merge_control(self.control(before=batch_id), batch_ctl).collect()
-        # Collected (one row per topic) so the write never overwrites a path it reads.
+        if sum(r["rejected"] for r in stats) > 0:
+            (rejected(parsed, typed.values()).write.mode("overwrite")
+             .parquet(f"{self.root}/_quarantine/v={batch_id}"))
+        # Accounting (C12): one row per topic, merged with the previous control
+        # rows on the driver (both bounded by the topic count).
+        batch: dict[str, list] = {}
+        for r in stats:
+            if r["table"] is None or r["applied"] == 0:
+                continue
+            b = batch.setdefault(r["topic"], [None, None, 0])
+            b[0] = r["last_offset"] if b[0] is None else max(b[0], r["last_offset"])
+            b[1] = r["last_event"] if b[1] is None else max(b[1], r["last_event"])
+            b[2] += r["applied"]
+        merged = {}
+        cached = self._control_rows
+        if cached is not None and cached[0] < batch_id:
+            prev_rows = cached[1]
+        else:
+            prev = self.control(before=batch_id)
+            prev_rows = [] if prev is None else [tuple(r) for r in prev.collect()]
+        for topic, off, ts, n in prev_rows:
+            merged[topic] = [off, ts, n]
+        for topic, (off, ts, n) in batch.items():
+            m = merged.get(topic)
+            if m is None:
+                merged[topic] = [off, ts, n]
+            else:
+                m[0] = off if m[0] is None else max(m[0], off)
+                m[1] = ts if m[1] is None else max(m[1], ts)
+                m[2] = (m[2] or 0) + n
+        rows = [(t, *v) for t, v in sorted(merged.items())]
         (self.spark.createDataFrame(rows, CONTROL_DDL).coalesce(1).write.mode("overwrite")
          .parquet(f"{self.root}/_control/v={batch_id}"))
-        self._control_rows = (batch_id, [tuple(r) for r in rows])
+        self._control_rows = (batch_id, rows)
         for t in typed.values():
             t.unpersist()
         parsed.unpersist()
-        return {r["topic"]: r["event_count"] for r in batch_rows}
+        return {t: v[2] for t, v in batch.items()}
 
-    def _apply_table(self, route: schemas.Route, typed: DataFrame, batch_id: int) -> None:
+    def _apply_table(self, route: schemas.Route, typed: DataFrame, batch_id: int,
+                     touched: list[int]) -> None:
         table, B = route.table, self.buckets
-        ev = typed.filter(F.col("key").isNotNull()).withColumn("bucket", bucket_of(F.col("key"), B))
-        # Buckets this batch touches (<= B values); skipped events still count as touching.
-        touched = sorted(r["bucket"] for r in ev.groupBy("bucket").count().collect())
+        ev = typed.filter(F.col("key").isNotNull())
         if not touched:
             return      # nothing for this table: the previous manifest stays current
         prev_version, prev_entries = self._entries(table, before=batch_id)
