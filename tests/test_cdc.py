@@ -113,3 +113,21 @@ def test_explicit_null_wins_and_defaults(spark):
     got = state_dict(cdc.apply_changes(events_df(spark, log), {TOPIC: ROUTE})["pedidos"])
     assert got[1]["status"] is None and got[1]["desconto"] == 5
     assert got[2]["desconto"] == 0          # replica DEFAULT 0 on insert
+
+
+def test_snapshot_sink_quarantine_and_control_per_batch(spark, tmp_path):
+    import os
+    root = str(tmp_path / uuid.uuid4().hex)
+    sink = cdc.SnapshotSink(spark, root, buckets=4, routes={TOPIC: ROUTE})
+    clean = [(0, json.dumps({"id": 1, "status": "a"})), (1, json.dumps({"id": 2, "status": "b"}))]
+    dirty = [(2, json.dumps({"id": 1, "status": "c"})), (3, "{bad json"),
+             (4, json.dumps({"id": 3, "desconto": "abc"})), (5, json.dumps({"id": 2, "__op": "d"}))]
+    assert sink.write_batch(events_df(spark, clean), 0) == {TOPIC: 2}
+    assert not os.path.exists(f"{root}/_quarantine/v=0")      # no rejects, no quarantine version
+    assert sink.write_batch(events_df(spark, dirty), 1) == {TOPIC: 2}
+    q = spark.read.parquet(f"{root}/_quarantine/v=1").collect()
+    assert sorted(r["reason"] for r in q) == ["bad_value", "invalid_json"]
+    ctl = {r["topic"]: (r["last_offset"], r["event_count"]) for r in sink.control().collect()}
+    assert ctl[TOPIC] == (5, 4)
+    assert state_dict(sink.state("pedidos")) == {1: {"status": "c", "desconto": 0,
+                                                     "observacoes": None, "canal_venda": None}}
