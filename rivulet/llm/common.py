@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import gc
 import uuid
 
 import numpy as np
@@ -40,10 +41,16 @@ def shared_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
     Cuts lineage: a lost executor later recomputes from these files only.  The
     path is new on every call, so a retried query never reads a half-written one.
+    The finished job's shuffle files go when the driver collects its garbage; that
+    is asked for here rather than left to the next periodic collection.
     """
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    schema = df.schema
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def blocks_of_groups(batches, keys: tuple[str, ...], rows: int = 1 << 17):

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import chat, packing
+from rivulet.llm import chat, near_dedup, packing, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op4_packing": packing.op4_packing,
+    "op6_near_dedup": near_dedup.op6_near_dedup,
     "op10_chat_format": chat.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_suffix_dedup": suffix_dedup.ORACLE_SQL,
+    "op6_near_dedup": near_dedup.ORACLE_SQL,
     "op10_chat_format": chat.ORACLE_SQL,
 }
