@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import chat, near_dedup, packing, suffix_dedup
+from rivulet.llm import chat, decontaminate, html_extract, language_id, near_dedup, packing, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_packing": packing.op4_packing,
     "op6_near_dedup": near_dedup.op6_near_dedup,
+    "op7_language_id": language_id.op7_language_id,
+    "op8_toxicity": toxicity.op8_toxicity,
+    "op9_html_extract": html_extract.op9_html_extract,
     "op10_chat_format": chat.query,
 }
 
