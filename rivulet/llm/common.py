@@ -5,7 +5,10 @@ from __future__ import annotations
 import base64
 import functools
 import gc
+import os
+import tempfile
 import uuid
+import zipfile
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +21,26 @@ from rivulet.session import checkpoint_dir
 NULL_ID = -(1 << 63)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give executors this package, once a context: they may not have it on their path."""
+    context = spark.sparkContext
+    if getattr(context, "_rivulet_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="rivulet-code-"), "rivulet_package.zip")  # read by the driver, which serves it
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+    context._rivulet_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a table, whatever else it carries."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 

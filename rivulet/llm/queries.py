@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import chat, decontaminate, html_extract, language_id, near_dedup, packing, suffix_dedup, toxicity
+from rivulet.llm import (chat, decontaminate, html_extract, language_id, lm_score, near_dedup, neighbours, packing,
+                         suffix_dedup, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
+    "op2_lm_score": lm_score.op2_lm_score,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_packing": packing.op4_packing,
+    "op5_neighbours": neighbours.op5_neighbours,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op7_language_id": language_id.op7_language_id,
     "op8_toxicity": toxicity.op8_toxicity,
