@@ -44,12 +44,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
-def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text) with null ids as NULL_ID and null texts as empty."""
-    return df.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-    )
+def id_text(df: DataFrame, rest: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text) with null ids as NULL_ID and null texts as empty; other columns as one struct, ``rest``."""
+    columns = [F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"),
+               F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")]
+    if rest:
+        columns.append(F.struct(*(F.col(f"`{c}`") for c in rest)).alias("rest"))
+    return df.select(*columns)
 
 
 def restore_id(column: str = "doc_id"):

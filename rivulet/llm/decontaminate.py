@@ -263,21 +263,44 @@ def find_passages(spark: SparkSession, documents: DataFrame, benchmark: DataFram
                   recall: float = RECALL, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Hits (doc_id, item_id, begin, end, edits, item_words); begin and end count the text's UTF-8 bytes."""
     docs = documents.selectExpr("cast(doc_id as long) as doc_id", "cast(text as string) as text")
+    out = None
+    for index in _indices(benchmark, percent, recall, block_bytes):
+        hits = docs.mapInArrow(_search(index), HITS)
+        out = hits if out is None else out.unionByName(hits)
+    return out
+
+
+def _indices(benchmark: DataFrame, percent: int, recall: float, block_bytes: int):
+    """The benchmark in blocks of bounded size, one at a time."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(2 * size / block_bytes))
-    out = None
     for k in range(blocks):
         own = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k)
-        index = Index([(r[0], r[1]) for r in own.sort("item_id", "text").collect()], percent, recall)
-        hits = docs.mapInArrow(_search(index), HITS)
-        out = hits if out is None else out.unionByName(hits)
-    return out
+        yield Index([(r[0], r[1]) for r in own.sort("item_id", "text").collect()], percent, recall)
+
+
+def _clean(index: Index):
+    search = _search(index)
+
+    def run(batches):
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), batch.column("text")], names=["doc_id", "text"])
+            hit = np.zeros(batch.num_rows, bool)
+            for found in search([texts]):
+                hit[found.column("doc_id").to_numpy()] = True
+            yield batch.filter(pa.array(~hit))
+    return run
 
 
-def contaminated(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The doc_ids (null included) that hold a passage, once each."""
-    return find_passages(spark, documents, benchmark).select("doc_id").distinct()
+def drop_contaminated(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
+                      recall: float = RECALL, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The documents without a passage, all columns as they were; a scan, whatever the ids."""
+    rows = documents.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, text string"
+    for index in _indices(benchmark, percent, recall, block_bytes):
+        rows = rows.mapInArrow(_clean(index), schema)
+    return rows.select("row.*")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

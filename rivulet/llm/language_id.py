@@ -213,11 +213,15 @@ def _predict(model: Model, width: int = 1000):
 
 
 def identify(documents: DataFrame, model: Model) -> DataFrame:
-    """The documents with lang_pred and lang_score; reads the text column only."""
-    clash = {"lang_pred", "lang_score"} & set(documents.columns)
-    given = documents.drop(*clash)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields)
-    return given.mapInArrow(_predict(model), f"{fields}, lang_pred string, lang_score double")
+    """Rows with a text column, and lang_pred and lang_score beside what they hold; only the text is read."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
+    return documents.mapInArrow(_predict(model), f"{fields}, lang_pred string, lang_score double")
+
+
+def accepted(documents: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The documents with a language the model is sure of, all columns as they were."""
+    rows = documents.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+    return identify(rows, model).filter((F.col("lang_pred") != UND) & (F.col("lang_score") >= least)).select("row.*")
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

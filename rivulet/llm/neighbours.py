@@ -207,7 +207,7 @@ def _compare(k: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        found = nearest(_matrix(right.column("v")), right.column("vec_id").to_numpy(), _matrix(left.column("v")), left.column("vec_id").to_numpy(), k)
+        found = nearest(_matrix(right.column("v")), right.column("vec_id").to_numpy(), _matrix(left.column("row_v")), left.column("row_id").to_numpy(), k)
         return pa.table({"query_id": pa.array(found[0], pa.int64()), "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(found[2], pa.float64())})
     return run
 
@@ -239,14 +239,14 @@ def search(spark: SparkSession, embeddings: DataFrame, every: int = 20, k: int =
     blocks = spark.createDataFrame([(p, -(-rows_in.get(p, 0) // BLOCK), -(-asked_in.get(p, 0) // QUERY_BLOCK)) for p in range(parts)],
                                    "p int, row_blocks int, query_blocks int").filter("row_blocks > 0 AND query_blocks > 0")
     blocks = F.broadcast(blocks)
-    spread = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), n).cast("int")
-    rows = (routed.select("vec_id", "v", part.alias("p")).join(blocks, "p")
-            .select("vec_id", "v", "p", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("row_blocks")).cast("int").alias("rb"),
-                    F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("qb")))
+    # Columns of the two sides have names of their own: both come from the same table.
+    rows = (routed.select(F.col("vec_id").alias("row_id"), F.col("v").alias("row_v"), part.alias("p")).join(blocks, "p")
+            .select("row_id", "row_v", F.col("p").alias("row_p"), F.pmod(F.xxhash64("row_id", "row_v", F.lit(1)), F.col("row_blocks")).cast("int").alias("row_rb"),
+                    F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("row_qb")))
     wanted = (to_part.join(blocks, "p")
-              .select("vec_id", "v", "p", spread(F.col("query_blocks"), 2).alias("qb"),
+              .select("vec_id", "v", "p", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.col("query_blocks")).cast("int").alias("qb"),
                       F.explode(F.sequence(F.lit(0), F.col("row_blocks") - 1)).alias("rb")))
-    found = rows.groupBy("p", "rb", "qb").cogroup(wanted.groupBy("p", "rb", "qb")).applyInArrow(
+    found = rows.groupBy("row_p", "row_rb", "row_qb").cogroup(wanted.groupBy("p", "rb", "qb")).applyInArrow(
         _compare(k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
