@@ -7,11 +7,13 @@ aggregate over the model and returns one report row per check::
 
 Failures never stop the run (severity ``warn``, D4).  A check on a column the
 model does not have reports ``error`` with NULL failures instead of raising.
-All not-null checks of one model share one scan (conditional counts); all
-unique checks of one model share one grouped count over (column, value) pairs
-(map-side combined, so a hot value is pre-counted per task); relationships
-count child rows per key, then left-anti join the distinct keys against the
-parent.
+All not-null, range and length checks of one model are conditional counts of one
+aggregate, turned into report rows by exploding the one row it gives (a union of
+selections would be pruned to one column each and scan the model once a check);
+all unique checks of one model are one grouped count over (column, value) pairs
+(map-side combined, so a hot value is pre-counted per task), and their counts
+come from one row too; relationships count child rows per key, then left-anti
+join the distinct keys against the parent.
 """
 
 from __future__ import annotations
@@ -19,9 +21,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.sources.tables import MISSING_TABLE
+
 
 @dataclass(frozen=True)
 class Check:
@@ -123,8 +128,8 @@ def failures_of(check: Check, resolve: Callable[[str], DataFrame]) -> DataFrame
     if check.column not in df.columns:
         return None
     c = F.col(check.column)
-    if check.kind == "not_null":
-        return df.agg(F.count(F.when(c.isNull(), 1)).alias("failures"))
+    if check.kind in ("not_null", "range", "max_length"):
+        return df.agg(F.count(F.when(_violates(check), 1)).alias("failures"))
     if check.kind == "unique":
         dup = df.filter(c.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         return dup.agg(F.count(F.lit(1)).alias("failures"))
@@ -138,15 +143,6 @@ def failures_of(check: Check, resolve: Callable[[str], DataFrame]) -> DataFrame
         p = parent.select(F.col(check.field).alias("__k")).filter(F.col("__k").isNotNull())
         orphans = per_key.join(p, F.col("__c") == F.col("__k"), "left_anti")
         return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
-    if check.kind == "range":
-        bad = F.lit(False)
-        if check.low is not None:
-            bad = bad | (c < check.low)
-        if check.high is not None:
-            bad = bad | (c > check.high)
-        return df.agg(F.count(F.when(bad, 1)).alias("failures"))
-    if check.kind == "max_length":
-        return df.agg(F.count(F.when(F.length(c) > check.max_len, 1)).alias("failures"))
     raise ValueError(f"unknown check kind {check.kind}")
 
 
@@ -154,25 +150,22 @@ def run_checks(spark: SparkSession, checks: Iterable[Check],
                resolve: Callable[[str], DataFrame]) -> DataFrame:
     """Report frame for ``checks`` (lazy: one union of small aggregates)."""
     checks = list(checks)
-    rows = []
-    # Not-null checks of a model in one pass.
-    by_model: dict[str, list[Check]] = {}
+    frames: list[DataFrame] = []
+    single: dict[str, list[Check]] = {}
+    unique: dict[str, list[Check]] = {}
     for ch in checks:
-        if ch.kind == "not_null" and ch.column in resolve(ch.model).columns:
-            by_model.setdefault(ch.model, []).append(ch)
-    for model, group in by_model.items():
-        cols = sorted({ch.column for ch in group})
-        counts = resolve(model).agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in cols])
-        for ch in group:
-            rows.append(_report_row(spark, ch, counts.select(F.col(ch.column).alias("failures"))))
-    # Unique checks of a model in one aggregation over (column, value) pairs:
-    # one scan of the model instead of one per column.  Values are compared as
-    # text within one column, which is exact for the key types checked here.
-    uniq: dict[str, list[Check]] = {}
-    for ch in checks:
-        if ch.kind == "unique" and ch.column in resolve(ch.model).columns:
-            uniq.setdefault(ch.model, []).append(ch)
-    for model, group in uniq.items():
+        if ch.kind not in ("not_null", "unique", "range", "max_length"):
+            frames.append(_report_row(spark, ch, failures_of(ch, resolve)))
+        elif ch.column not in resolve(ch.model).columns:
+            frames.append(_report_row(spark, ch, None))
+        else:
+            (unique if ch.kind == "unique" else single).setdefault(ch.model, []).append(ch)
+    for model, group in single.items():
+        frames.append(_report_rows(group, resolve(model).agg(
+            F.array(*[F.count(F.when(_violates(ch), 1)) for ch in group]).alias("counts"))))
+    for model, group in unique.items():
+        # Values are compared as text within one column, which is exact for the
+        # key types checked here.
         cols = sorted({ch.column for ch in group})
         pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val"))
                                     for c in cols]))
@@ -180,36 +173,61 @@ def run_checks(spark: SparkSession, checks: Iterable[Check],
                .filter(F.col("val").isNotNull())
                .groupBy("col", "val").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
                .groupBy("col").agg(F.count(F.lit(1)).alias("dups")))
-        counts = dup.agg(*[F.coalesce(F.max(F.when(F.col("col") == c, F.col("dups"))), F.lit(0))
-                           .alias(c) for c in cols])
-        for ch in group:
-            rows.append(_report_row(spark, ch, counts.select(F.col(ch.column).alias("failures"))))
-    for ch in checks:
-        if ch.kind == "not_null" and ch.model in by_model and ch in by_model[ch.model]:
-            continue
-        if ch.kind == "unique" and ch.model in uniq and ch in uniq[ch.model]:
-            continue
-        rows.append(_report_row(spark, ch, failures_of(ch, resolve)))
-    out = rows[0]
-    for r in rows[1:]:
+        frames.append(_report_rows(group, dup.agg(F.array(*[
+            F.coalesce(F.max(F.when(F.col("col") == ch.column, F.col("dups"))), F.lit(0)) for ch in group]).alias("counts"))))
+    out = frames[0]
+    for r in frames[1:]:
         out = out.unionByName(r)
     return out
 
 
+def _violates(check: Check) -> Column:
+    """A row that fails a not-null, range or length check."""
+    c = F.col(check.column)
+    if check.kind == "not_null":
+        return c.isNull()
+    if check.kind == "max_length":
+        return F.length(c) > check.max_len
+    bad = F.lit(False)
+    if check.low is not None:
+        bad = bad | (c < check.low)
+    if check.high is not None:
+        bad = bad | (c > check.high)
+    return bad
+
+
+def _report_rows(group: list[Check], counts: DataFrame) -> DataFrame:
+    """Report rows of checks whose failures are the one row's array ``counts``, in order."""
+    names = F.array(*[F.struct(F.lit(ch.name).alias("test"), F.lit(ch.model).alias("model"),
+                               F.lit(ch.column).alias("column"), F.lit(ch.severity).alias("severity"))
+                      for ch in group])
+    row = counts.select(F.explode(F.arrays_zip(names.alias("check"), F.col("counts").alias("failures"))).alias("r"))
+    return row.select("r.check.test", "r.check.model", "r.check.column", F.col("r.failures").cast("long").alias("failures"),
+                      F.when(F.col("r.failures") == 0, "pass").otherwise(F.col("r.check.severity")).alias("status"))
+
+
 def schema_contract(spark: SparkSession, expected: Iterable[str],
                     resolve: Callable[[str], DataFrame], minimum: int = 2) -> DataFrame:  # D8
-    """Which expected tables exist, their columns, and whether at least ``minimum`` exist."""
-    rows = []
+    """Which expected tables exist, their columns and rows, and whether at least ``minimum`` exist."""
+    rows, counts = [], None
     for name in expected:
         try:
-            cols = resolve(name).columns
-            rows.append((name, True, len(cols), ",".join(cols)))
-        except Exception:  # missing table
+            df = resolve(name)
+            rows.append((name, True, len(df.columns), ",".join(df.columns)))
+            n = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table"), "n_rows")
+            counts = n if counts is None else counts.unionByName(n)
+        except (AnalysisException, KeyError) as missing:
+            if isinstance(missing, AnalysisException) and missing.getCondition() not in MISSING_TABLE:
+                raise
             rows.append((name, False, 0, None))
     ok = sum(1 for r in rows if r[1]) >= minimum
-    return spark.createDataFrame([r + (ok,) for r in rows],
-                                 "table string, present boolean, n_columns int, columns string, "
-                                 "contract_ok boolean")
+    # One row a table name: bounded by ``expected``, so the contract side is broadcast.
+    contract = spark.createDataFrame([r + (ok,) for r in rows],
+                                     "table string, present boolean, n_columns int, columns string, "
+                                     "contract_ok boolean")
+    if counts is None:
+        return contract.withColumn("n_rows", F.lit(None).cast("long"))
+    return contract.join(counts, "table", "left")
 
 
 def non_empty(resolve: Callable[[str], DataFrame], tables=("clientes", "pedidos")) -> DataFrame:  # D9

@@ -8,6 +8,7 @@ that key (or broadcasts a side AQE measured as small).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from rivulet import schemas
 from rivulet.functions.exprs import date_lit, ts_lit
+from rivulet.session import checkpoint_dir
 
 
 # ---------------------------------------------------------------- generated columns
@@ -85,13 +87,24 @@ def apply_defaults(df: DataFrame, table: str, as_of, defaults: Mapping | None =
 
 
 def conform(df: DataFrame, table: str, as_of, drop_rejects: bool = True) -> DataFrame:
-    """Defaults + generated columns: what the source table holds after INSERT."""
+    """Defaults + generated columns: what the source table holds after INSERT.
+
+    Rows whose INSERT would fail are not in it; ``rejects`` returns those, with
+    the reason.
+    """
     out = generated_columns(apply_defaults(df, table, as_of), table)
     if drop_rejects:
         out = out.filter(~overflow_rejects(out, table))
     return out
 
 
+def rejects(df: DataFrame, table: str, as_of) -> DataFrame:
+    """The rows that ``conform`` leaves out, with ``reason``: conform and rejects
+    together hold every row of ``df`` once."""
+    out = generated_columns(apply_defaults(df, table, as_of), table)
+    return out.filter(overflow_rejects(out, table)).withColumn("reason", F.lit("generated_value_overflow"))
+
+
 # ---------------------------------------------------------------- updates
 
 def touch_updated_at(df: DataFrame, as_of, column: str = "updated_at") -> DataFrame:  # R5
@@ -155,19 +168,50 @@ def insert_if_absent(target: DataFrame, rows: DataFrame, key: str | Iterable[str
 
 def insert_on_conflict_do_nothing(target: DataFrame, rows: DataFrame,
                                   unique_keys: Iterable[str], order: str = "id") -> DataFrame:  # R8
-    """``INSERT ... ON CONFLICT DO NOTHING`` without a conflict target: a row that
-    conflicts on *any* unique key (PK or UNIQUE column) with the table is skipped.
-
-    Conflicts among the new rows themselves are resolved per key, first row in
-    ``order`` wins (exact for rows conflicting on one key; a row losing on one
-    key while winning on another is dropped only if it loses).
+    """``INSERT ... ON CONFLICT DO NOTHING`` without a conflict target, one row at
+    a time in ``order``: a row is skipped if any of its non-NULL unique keys (PK
+    or UNIQUE column) is in the table or in a row inserted before it.
+
+    Rows are settled in rounds.  A row that comes first on all its keys among
+    the unsettled ones is inserted whatever else happens; rows that share a key
+    with it are skipped.  A skipped row frees its other keys, so the rest goes
+    another round, as many as the longest chain of conflicts.  Each round is
+    written to the shared folder: lineage does not grow with the rounds.
     """
-    fresh = rows
-    for k in unique_keys:
-        fresh = fresh.join(target.select(k).filter(F.col(k).isNotNull()), on=k, how="left_anti")
+    unique_keys = list(unique_keys)
+    fresh = rows.select(*target.columns)
     for k in unique_keys:
-        fresh = first_per_key(fresh, [k], order)
-    return target.unionByName(fresh.select(*target.columns))
+        fresh = _without_keys_of(fresh, target, k)
+    fresh = _written(fresh)
+    accepted = None
+    while True:
+        firsts = fresh
+        for i, k in enumerate(unique_keys):
+            # min is a partial aggregate: a hot key is one row per task.
+            first = (fresh.filter(F.col(k).isNotNull()).groupBy(F.col(k).alias(f"__k{i}"))
+                     .agg(F.min(order).alias(f"__first{i}")))
+            firsts = firsts.join(first, F.col(k) == F.col(f"__k{i}"), "left").filter(
+                F.col(k).isNull() | (F.col(order) == F.col(f"__first{i}")))
+        firsts = _written(firsts.select(*target.columns))
+        accepted = firsts if accepted is None else accepted.unionByName(firsts)
+        rest = fresh.join(firsts.select(order), on=order, how="left_anti")
+        for k in unique_keys:
+            rest = _without_keys_of(rest, firsts, k)
+        fresh = _written(rest.select(*target.columns))
+        if fresh.isEmpty():
+            return target.unionByName(accepted)
+
+
+def _without_keys_of(rows: DataFrame, settled: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key`` no settled row has; NULL never conflicts."""
+    return rows.join(settled.select(key).filter(F.col(key).isNotNull()), on=key, how="left_anti")
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/rules-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # ---------------------------------------------------------------- cascade
@@ -183,7 +227,9 @@ def delete_cascade(parent: DataFrame, child: DataFrame, deleted_keys: DataFrame,
 
 # ---------------------------------------------------------------- sampling
 
-def random_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """``ORDER BY RANDOM() LIMIT n`` with a seed.  ``limit`` after ``orderBy`` is a
-    top-k: every task keeps its own n best rows, so only n rows per task move."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def random_sample(df: DataFrame, n: int, seed: int = 42, key: str = "id") -> DataFrame:
+    """``ORDER BY RANDOM() LIMIT n`` with a seed: the n rows with the smallest hash
+    of (key, seed), ties by key, so the sample does not depend on partitioning.
+    ``limit`` after ``orderBy`` is a top-k: only n rows per task move."""
+    draw = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    return df.orderBy(draw, key).limit(n)

@@ -11,12 +11,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rivulet.operators.windows import lag_skew_safe
 
 
-def _one_row(**aggs) -> list:
-    return [v.alias(k) for k, v in aggs.items()]
+def _with_total(page: DataFrame) -> DataFrame:
+    """A page with ``total``, the number of rows returned.
+
+    The page is a top-k result of at most ``limit`` rows, so the window over all
+    of it stays as small.
+    """
+    return page.withColumn("total", F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))))
 
 
 def products_page(produtos: DataFrame, limit: int = 100, categoria: str = "") -> DataFrame:  # M1
@@ -46,14 +52,14 @@ def sales_page(vendas: DataFrame, limit: int = 100, data_inicio: str = "") -> Da
     v = vendas
     if data_inicio:
         v = v.filter(F.col("data_venda") >= F.lit(data_inicio).cast("timestamp_ntz"))
-    return with_amount(v).orderBy(F.col("id").desc()).limit(limit)
+    return _with_total(with_amount(v).orderBy(F.col("id").desc()).limit(limit))
 
 
 def customers_page(clientes: DataFrame, limit: int = 100, vip_only: bool = False) -> DataFrame:  # M3
     c = clientes.withColumn("vip", F.col("status") == "premium")
     if vip_only:
         c = c.filter("vip")
-    return c.orderBy("id").limit(limit).select("id", "nome", "email", "status", "vip")
+    return _with_total(c.orderBy("id").limit(limit).select("id", "nome", "email", "status", "vip"))
 
 
 def sales_summary(vendas: DataFrame, produtos: DataFrame, clientes: DataFrame) -> DataFrame:  # M4
@@ -98,7 +104,7 @@ def leads_page(leads: DataFrame, limit: int = 100, status: str = "") -> DataFram
     l = leads
     if status:
         l = l.filter(F.lower(F.col("status")) == status.lower())
-    return l.orderBy(F.col("id").desc()).limit(limit).select("id", "nome", "email", "status", "score")
+    return _with_total(l.orderBy(F.col("id").desc()).limit(limit).select("id", "nome", "email", "status", "score"))
 
 
 def campaigns_page(campanhas: DataFrame, limit: int = 50) -> DataFrame:  # M11
@@ -112,7 +118,7 @@ def activities_page(atividades: DataFrame, limit: int = 100, lead_id: int = 0) -
     a = atividades
     if lead_id and lead_id > 0:
         a = a.filter(F.col("lead_id") == lead_id)
-    return a.orderBy(F.col("id").desc()).limit(limit)
+    return _with_total(a.orderBy(F.col("id").desc()).limit(limit))
 
 
 def crm_summary(leads: DataFrame, campanhas: DataFrame, atividades: DataFrame) -> DataFrame:  # M13

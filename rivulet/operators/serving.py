@@ -100,7 +100,8 @@ def latest_item_with_customer(itens: DataFrame, pedidos: DataFrame, clientes: Da
     """Newest order item with its customer (INNER joins), ``ORDER BY id DESC LIMIT 1``."""
     i = itens.select(F.col("id").alias("item_id"), "pedido_id", "produto_id", "quantidade",
                      "preco_unitario")
-    p = pedidos.select(F.col("id").alias("pedido_id"), "cliente_id")
+    # An order without a customer matches none: it never enters the join's shuffle.
+    p = pedidos.filter(F.col("cliente_id").isNotNull()).select(F.col("id").alias("pedido_id"), "cliente_id")
     c = clientes.select(F.col("id").alias("cliente_id"), F.col("nome"))
     return (i.join(p, "pedido_id").join(c, "cliente_id")
             .orderBy(F.col("item_id").desc()).limit(1)

@@ -421,13 +421,13 @@ from f
 
 SQL["m2_sales_page"] = with_tables("vendas") + f"""
 select id, cliente_id, produto_id, quantidade, cast(preco_unitario as double) as preco_unitario,
-  cast(desconto as double) as desconto, status, data_venda, cast({_AMOUNT} as double) as valor_total
+  cast(desconto as double) as desconto, status, data_venda, cast({_AMOUNT} as double) as valor_total, least(100, count(*) over ()) as total
 from vendas where data_venda >= timestamp '1998-01-01 00:00:00'
 order by id desc limit 100
 """
 
 SQL["m3_vip_customers_page"] = with_tables("clientes") + """
-select id, nome, email, status, true as vip from clientes where status = 'premium' order by id limit 100
+select id, nome, email, status, true as vip, least(100, count(*) over ()) as total from clientes where status = 'premium' order by id limit 100
 """
 
 SQL["m4_sales_summary"] = with_tables("vendas", "produtos", "clientes") + f"""
@@ -464,7 +464,8 @@ from vendas group by cliente_id
 """
 
 SQL["m10_leads_page"] = with_tables("leads") + """
-select id, nome, email, status, score from leads where lower(status) = 'novo' order by id desc limit 100
+select id, nome, email, status, score, least(100, count(*) over ()) as total
+from leads where lower(status) = 'novo' order by id desc limit 100
 """
 
 SQL["m11_campaigns_page"] = with_tables("campanhas_marketing") + """
@@ -474,7 +475,7 @@ from campanhas_marketing order by id desc limit 5
 """
 
 SQL["m12_activities_page"] = with_tables("atividades") + """
-select * from atividades order by id desc limit 100
+select *, least(100, count(*) over ()) as total from atividades order by id desc limit 100
 """
 
 SQL["m13_crm_summary"] = with_tables("leads", "campanhas_marketing", "atividades") + """
@@ -611,15 +612,40 @@ select {_CLI_COLS} from n where not exists (select 1 from clientes c where c.ema
 """
 
 SQL["r8_insert_on_conflict_do_nothing"] = with_tables("clientes") + f"""
-, n as ({_seed_sql(20, 30)})
+, n as ({_seed_sql(20, 30)}),
+a as (
+  select * from n where not exists (select 1 from clientes c where c.id = n.id)
+    and not exists (select 1 from clientes c where c.email = n.email)
+    and not exists (select 1 from clientes c where c.cpf = n.cpf)),
+b as (
+  select * replace (id + 1000000000 as id, 'cadeia' || cast(id as varchar) || '@seed.com' as email,
+      (select '9' || c.cpf from clientes c where c.id = n.id - 1000000000) as cpf) from n),
+b_in as (select * from b where not exists (select 1 from a where a.cpf = b.cpf)),
+c as (
+  select * replace (id + 1000000000 as id, '8' || (select k.cpf from clientes k where k.id = b.id - 2000000000) as cpf) from b),
+c_in as (select * from c where not exists (select 1 from b_in where b_in.email = c.email))
 select {_CLI_COLS} from clientes
-union all
-select {_CLI_COLS} from n
-where not exists (select 1 from clientes c where c.id = n.id)
-  and not exists (select 1 from clientes c where c.email = n.email)
-  and not exists (select 1 from clientes c where c.cpf = n.cpf)
+union all select {_CLI_COLS} from a
+union all select {_CLI_COLS} from b_in
+union all select {_CLI_COLS} from c_in
+"""
+
+SQL["r10_random_sample"] = with_tables("clientes") + f"""
+select {_CLI_COLS} from clientes order by md5(cast(id as varchar) || ':7'), id limit 10
 """
 
+
+def _contract_sql() -> str:
+    from rivulet import schemas
+    from rivulet.sources.tables import DOMAIN_TABLES
+    parts = [f"select '{t}' as \"table\", true as present, {len(schemas.SCHEMAS[t].fields)} as n_columns, "
+             f"'{','.join(f.name for f in schemas.SCHEMAS[t].fields)}' as columns, true as contract_ok, "
+             f"(select count(*) from {t}) as n_rows" for t in DOMAIN_TABLES]
+    return with_tables(*DOMAIN_TABLES) + "\nunion all\n".join(parts)
+
+
+SQL["dq_schema_contract"] = _contract_sql()
+
 SQL["r9_delete_cascade"] = with_tables("pedidos", "itens_pedido") + """
 select id, pedido_id, produto_id, quantidade from itens_pedido
 where pedido_id not in (select id from pedidos where id % 50 = 0)

@@ -2,8 +2,8 @@
 
 Both aggregate on a key before anything else: Spark's partial (map-side)
 aggregation folds every task's rows per key before the shuffle, so a key that
-holds a third of all orders still ships one partial row per task.  G2 joins the
-aggregated orders (one row per customer) to the customers, never the raw orders.
+holds a third of all orders still ships one partial row per task.  Both join the
+aggregated orders to the customers, never the raw orders.
 """
 
 from __future__ import annotations
@@ -14,17 +14,24 @@ from pyspark.sql import functions as F
 from rivulet.functions import exprs as E
 
 
-def agg_valor_pedidos_por_cliente_mensal(fct_pedidos: DataFrame, ordered: bool = True) -> DataFrame:  # G1
+def agg_valor_pedidos_por_cliente_mensal(bronze_pedidos: DataFrame, bronze_clientes: DataFrame,
+                                         ordered: bool = True) -> DataFrame:  # G1
     """Monthly order value and distinct order count per customer.
 
-    ``countDistinct`` is planned as an aggregate on (group, pedido_id) first, so
-    the distinct ids of a hot customer are spread over all shuffle partitions
-    before the per-customer count.
+    The fact rows of the model (orders with a positive value) are aggregated by
+    customer id and month before anything is joined: a partial aggregate, so a
+    hot customer, or the orders without one, are a row a month and task.
+    ``countDistinct`` aggregates on (group, pedido_id) first, which spreads a hot
+    customer's ids over all shuffle partitions.  The name belongs to the id (the
+    key of clientes), so it joins the aggregated rows; NULL ids match no name.
     """
-    out = (fct_pedidos
-           .groupBy("cliente_id", "nome_cliente", "ano_pedido", "mes_pedido")
-           .agg(F.sum("valor_liquido").alias("valor_total_pedidos_mensal"),
-                F.countDistinct("pedido_id").alias("numero_de_pedidos_mensal")))
+    months = (bronze_pedidos.filter(F.col("valor_bruto") > 0)
+              .groupBy("cliente_id", F.year("data_pedido").alias("ano_pedido"), F.month("data_pedido").alias("mes_pedido"))
+              .agg(F.sum("valor_liquido").alias("valor_total_pedidos_mensal"),
+                   F.countDistinct("id").alias("numero_de_pedidos_mensal")))
+    names = bronze_clientes.select(F.col("id").alias("cliente_id"), F.col("nome").alias("nome_cliente"))
+    out = months.join(names, "cliente_id", "left").select(
+        "cliente_id", "nome_cliente", "ano_pedido", "mes_pedido", "valor_total_pedidos_mensal", "numero_de_pedidos_mensal")
     if ordered:
         # PostgreSQL sorts NULLs first in DESC order.
         out = out.orderBy(F.col("ano_pedido").desc_nulls_first(),

@@ -51,7 +51,7 @@ def _model_list(as_of_orders, as_of_leads) -> list[Model]:
         Model("silver_leads", "silver", "table", ("silver", "leads", "crm"),
               ("bronze_leads",), lambda b: S.silver_leads(b, as_of_leads)),
         Model("agg_valor_pedidos_por_cliente_mensal", "gold", "table", ("gold",),
-              ("fct_pedidos",), G.agg_valor_pedidos_por_cliente_mensal),
+              ("bronze_pedidos", "bronze_clientes"), G.agg_valor_pedidos_por_cliente_mensal),
         Model("gold_visao_geral_clientes", "gold", "table", ("gold",),
               ("silver_clientes", "silver_pedidos"), G.gold_visao_geral_clientes),
     ]

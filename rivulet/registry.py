@@ -192,7 +192,7 @@ def q9_control_by_count(spark, sf_dir):
 @register("q10_items_revenue")
 def q10_items_revenue(spark, sf_dir):
     from rivulet.operators import serving
-    return serving.items_revenue(_source(spark, sf_dir).table("itens_pedido"))
+    return serving.items_revenue(_source(spark, sf_dir).without_id("itens_pedido"))
 
 
 @register("q11_latest_item_with_customer")
@@ -229,13 +229,13 @@ def _svc(name: str, build):
 _svc("m1_products_page", lambda S, r: S.products_page(r.table("produtos"), 100, "Economy"))
 _svc("m2_sales_page", lambda S, r: S.sales_page(r.table("vendas"), 100, "1998-01-01"))
 _svc("m3_vip_customers_page", lambda S, r: S.customers_page(r.table("clientes"), 100, True))
-_svc("m4_sales_summary", lambda S, r: S.sales_summary(r.table("vendas"), r.table("produtos"),
+_svc("m4_sales_summary", lambda S, r: S.sales_summary(r.without_id("vendas"), r.table("produtos"),
                                                       r.table("clientes")))
-_svc("m5_sales_per_status", lambda S, r: S.count_by(r.table("vendas"), "status"))
-_svc("m6_units_per_product", lambda S, r: S.units_per_product(r.table("vendas")))
+_svc("m5_sales_per_status", lambda S, r: S.count_by(r.without_id("vendas"), "status"))
+_svc("m6_units_per_product", lambda S, r: S.units_per_product(r.without_id("vendas")))
 _svc("m7_sale_amounts", lambda S, r: S.with_amount(r.table("vendas")).select("id", "valor_total"))
-_svc("m8_stock_after_sales", lambda S, r: S.stock_after_sales(r.table("produtos"), r.table("vendas")))
-_svc("m9_customer_lifetime", lambda S, r: S.customer_lifetime(r.table("vendas")))
+_svc("m8_stock_after_sales", lambda S, r: S.stock_after_sales(r.table("produtos"), r.without_id("vendas")))
+_svc("m9_customer_lifetime", lambda S, r: S.customer_lifetime(r.without_id("vendas")))
 _svc("m10_leads_page", lambda S, r: S.leads_page(r.table("leads"), 100, "novo"))
 _svc("m11_campaigns_page", lambda S, r: S.campaigns_page(r.table("campanhas_marketing"), 5))
 _svc("m12_activities_page", lambda S, r: S.activities_page(r.table("atividades"), 100))
@@ -337,8 +337,17 @@ def r8_insert_on_conflict_do_nothing(spark, sf_dir):
     from rivulet import schemas
     from rivulet.operators import rules
     c = _source(spark, sf_dir).table("clientes")
-    return comparable(rules.insert_on_conflict_do_nothing(
-        c, _seed_rows(c, 20, keep_cpf_mod=30), ("id",) + schemas.UNIQUE_KEYS["clientes"]))
+    first = _seed_rows(c, 20, keep_cpf_mod=30)
+    # Chains: the second row shares its cpf with the first, the third its e-mail
+    # with the second, so it goes in exactly where the second is skipped.
+    cpf = c.select((F.col("id") + 1_000_000_000).alias("id"), F.col("cpf").alias("__cpf"))
+    email = F.concat(F.lit("cadeia"), F.col("id").cast("string"), F.lit("@seed.com"))
+
+    def link(n: int, digit: str) -> DataFrame:
+        return (first.join(cpf, "id").withColumn("email", email).withColumn("cpf", F.concat(F.lit(digit), "__cpf"))
+                .withColumn("id", F.col("id") + n * 1_000_000_000).select(*c.columns))
+    rows = first.unionByName(link(1, "9")).unionByName(link(2, "8"))
+    return comparable(rules.insert_on_conflict_do_nothing(c, rows, ("id",) + schemas.UNIQUE_KEYS["clientes"]))
 
 
 @register("r9_delete_cascade")
@@ -360,7 +369,7 @@ def r10_random_sample(spark, sf_dir):
 def r1_r3_generated_columns(spark, sf_dir):
     """Generated columns recomputed on the item table (R3) with R1 on orders."""
     src = _source(spark, sf_dir)
-    i = src.table("itens_pedido").select("pedido_id", "valor_total")
+    i = src.without_id("itens_pedido").select("pedido_id", "valor_total")
     p = src.table("pedidos").select(F.col("id").alias("pedido_id"), "valor_liquido")
     return comparable(i.groupBy("pedido_id").agg(F.sum("valor_total").alias("itens_total"))
                       .join(p, "pedido_id", "inner"))
@@ -392,7 +401,7 @@ def s4_full_refresh_copy(spark, sf_dir):
 
 @register("s9_document_ingest")
 def s9_document_ingest(spark, sf_dir):
-    """Products published as service responses of 100 items per file, read back."""
+    """Products published as service responses of 100 items, many to a file, read back."""
     from rivulet.sources.tables import read_documents
     p = _source(spark, sf_dir).table("produtos")
     item = F.struct("id", "nome", "categoria", F.col("preco_venda").cast("double").alias("preco"),
@@ -404,8 +413,9 @@ def s9_document_ingest(spark, sf_dir):
                                                 F.lit("2001-08-01T00:00:00").alias("timestamp")))
                      .alias("value")))
     path = _lake(spark) + "/produtos-api"
-    pages.repartition("page").write.partitionBy("page").text(path)
-    return read_documents(spark, path).select("id", "nome", "categoria", "preco", "estoque", "ativo")
+    pages.select("value").write.text(path)
+    schema = T.StructType([f for f in p.select(item.alias("d")).schema["d"].dataType.fields])
+    return read_documents(spark, path, schema, multi_line=False).select("id", "nome", "categoria", "preco", "estoque", "ativo")
 
 
 @register("s10_csv_seed")

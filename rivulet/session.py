@@ -67,13 +67,16 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when a session does not name one
-    (local tests) a scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``.  Only a session on one machine
+    (``local[...]``) that names none gets a scratch folder; on a cluster each
+    node would write its own, and read back a part, so there it must be set.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="rivulet-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -161,21 +161,29 @@ def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.withColumn("__item_id", F.col("l_orderkey") * 100 + F.col("line_rank"))
 
 
-def _itens_pedido(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, with_id: bool) -> DataFrame:
+    """Lineitem rows; numbering them costs a range shuffle, so only for callers that read the id."""
     from pyspark.sql import functions as F
-    return _numbered_lines(spark, sf_dir).select(
+    if with_id:
+        return _numbered_lines(spark, sf_dir)
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("__item_id", F.lit(None).cast("long"))
+
+
+def _itens_pedido(spark: SparkSession, sf_dir: str, with_id: bool = True) -> DataFrame:
+    from pyspark.sql import functions as F
+    return _lines(spark, sf_dir, with_id).select(
         F.col("__item_id").alias("id"), F.col("l_orderkey").alias("pedido_id"),
         F.col("l_partkey").alias("produto_id"), F.col("l_quantity").cast("int").alias("quantidade"),
         (F.lit(900) + F.col("l_partkey") % 100).cast("decimal(15,2)").alias("preco_unitario"),
         F.col("l_linenumber").cast("decimal(15,2)").alias("desconto_item"))
 
 
-def _vendas(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _vendas(spark: SparkSession, sf_dir: str, with_id: bool = True) -> DataFrame:
     from pyspark.sql import functions as F
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
     ln = F.col("l_linenumber")
-    return _numbered_lines(spark, sf_dir).join(o, "l_orderkey").select(
+    return _lines(spark, sf_dir, with_id).join(o, "l_orderkey").select(
         F.col("__item_id").alias("id"), F.col("o_custkey").alias("cliente_id"),
         F.col("l_partkey").alias("produto_id"), F.col("l_quantity").cast("int").alias("quantidade"),
         (F.lit(900) + F.col("l_partkey") % 100).cast("decimal(15,2)").alias("preco_unitario"),
@@ -191,10 +199,14 @@ def _vendas(spark: SparkSession, sf_dir: str) -> DataFrame:
 SKEW_SAFE_BUILDERS = {"itens_pedido": _itens_pedido, "vendas": _vendas}
 
 
-def mapped(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The raw mapping of one domain table, as a DataFrame over the parquet scan."""
+def mapped(spark: SparkSession, sf_dir: str, name: str, with_id: bool = True) -> DataFrame:
+    """The raw mapping of one domain table, as a DataFrame over the parquet scan.
+
+    ``with_id=False``: the table without its numbered ``id`` column, where it has one.
+    """
     if name in SKEW_SAFE_BUILDERS:
-        return SKEW_SAFE_BUILDERS[name](spark, sf_dir)
+        df = SKEW_SAFE_BUILDERS[name](spark, sf_dir, with_id)
+        return df if with_id else df.drop("id")
     register_base(spark, sf_dir, MAPPING_INPUTS[name])
     return spark.sql(MAPPINGS[name])
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable, Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,8 +30,10 @@ EXTRA_TABLES = ("atividades", "lead_historico", "vendas")
 class Root:
     """Resolves table names to DataFrames (``{{ source('raw_data', name) }}``)."""
 
-    def __init__(self, spark: SparkSession, loader: Callable[[str], DataFrame], name: str = "root"):
+    def __init__(self, spark: SparkSession, loader: Callable[[str], DataFrame], name: str = "root",
+                 loader_without_id: Callable[[str], DataFrame] | None = None):
         self.spark = spark
+        self._without_id = loader_without_id
         self._loader = loader
         self.name = name
         self._cache: dict[str, DataFrame] = {}
@@ -40,6 +43,10 @@ class Root:
             self._cache[name] = self._loader(name)
         return self._cache[name]
 
+    def without_id(self, name: str) -> DataFrame:
+        """The table without its ``id`` column, spared the work of making one where it is made."""
+        return self._without_id(name) if self._without_id else self.table(name).drop("id")
+
     __call__ = table
 
 
@@ -57,7 +64,11 @@ def fixture_root(spark: SparkSession, sf_dir: str) -> Root:
             return rules.conform(raw, name, as_of_for(name))
         return raw
 
-    return Root(spark, load, f"fixtures:{sf_dir}")
+    def load_without_id(name: str) -> DataFrame:
+        raw = fixtures.mapped(spark, sf_dir, name, with_id=False)
+        return (rules.conform(raw, name, as_of_for(name)) if name in schemas.SCHEMAS else raw).drop("id")
+
+    return Root(spark, load, f"fixtures:{sf_dir}", load_without_id)
 
 
 def parquet_root(spark: SparkSession, path: str) -> Root:
@@ -65,6 +76,10 @@ def parquet_root(spark: SparkSession, path: str) -> Root:
     return Root(spark, lambda n: spark.read.parquet(f"{path}/{n}"), f"parquet:{path}")
 
 
+#: Spark's error conditions for a table or path that is not there.
+MISSING_TABLE = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
+
+
 def has_rows(df: DataFrame) -> bool:
     """At least one row, reading as little as possible (``LIMIT 1``)."""
     return not df.limit(1).isEmpty()
@@ -73,11 +88,13 @@ def has_rows(df: DataFrame) -> bool:
 def choose_root(replica: Root, source: Root, probe_table: str = "clientes") -> Root:  # S3
     """Use the replica when it holds at least one ``clientes`` row, else the source."""
     try:
-        if has_rows(replica.table(probe_table)):
-            return replica
-    except Exception:  # missing replica table: fall back, as the reference does
-        pass
-    return source
+        table = replica.table(probe_table)
+    except (AnalysisException, KeyError) as missing:
+        # Only a replica table that does not exist yet means "use the source".
+        if isinstance(missing, AnalysisException) and missing.getCondition() not in MISSING_TABLE:
+            raise
+        return source
+    return replica if has_rows(table) else source
 
 
 def full_refresh_copy(root: Root, names: Iterable[str], dest: str) -> dict[str, str]:  # S4
@@ -90,12 +107,15 @@ def full_refresh_copy(root: Root, names: Iterable[str], dest: str) -> dict[str,
     return out
 
 
-def read_documents(spark: SparkSession, path: str, item_schema: T.StructType | None = None) -> DataFrame:  # S9
+def read_documents(spark: SparkSession, path: str, item_schema: T.StructType | None = None,
+                   multi_line: bool = True) -> DataFrame:  # S9
     """Ingest service responses ``{total, dados: [...], timestamp}``: one row per item.
 
-    Files are multi-line JSON documents; ``explode`` runs on the executors.
+    ``multi_line``: a document may span lines, and a file is read as one; otherwise
+    a file holds one document a line and splits.  Without ``item_schema`` Spark
+    reads everything once more to infer it.  ``explode`` runs on the executors.
     """
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", multi_line)
     if item_schema is not None:
         reader = reader.schema(T.StructType([
             T.StructField("total", T.LongType()),

@@ -317,6 +317,12 @@ def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path is there; an unreachable or unknown file system raises."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 class SnapshotSink:
     """Versioned, bucketed copy-on-write replica under ``root``.
 
@@ -345,10 +351,9 @@ class SnapshotSink:
     # -- reading
     def _manifest_version(self, table: str, before: int | None) -> int | None:
         path = f"{self.root}/{table}/_manifest"
-        try:
-            m = self.spark.read.schema("bucket int, v long").json(path)
-        except Exception:  # no manifest yet
+        if not path_exists(self.spark, path):  # no manifest yet; any other trouble raises
             return None
+        m = self.spark.read.schema("bucket int, v long").json(path)
         if before is not None:
             m = m.filter(F.col("v") < before)
         row = m.agg(F.max("v").alias("v")).first()
@@ -397,12 +402,11 @@ class SnapshotSink:
         if self._control_rows is not None and (before is None or self._control_rows[0] < before):
             return self.spark.createDataFrame(self._control_rows[1], CONTROL_DDL)
         path = f"{self.root}/_control"
-        try:
-            c = self.spark.read.schema(
-                "topic string, last_offset long, last_event timestamp, event_count long, v long"
-            ).parquet(path)
-        except Exception:
+        if not path_exists(self.spark, path):
             return None
+        c = self.spark.read.schema(
+            "topic string, last_offset long, last_event timestamp, event_count long, v long"
+        ).parquet(path)
         if before is not None:
             c = c.filter(F.col("v") < before)
         top = c.agg(F.max("v")).first()[0]
