@@ -383,6 +383,10 @@ select status, count(*) as n, cast(sum(valor_bruto) as double) as receita
 from {_PED_R} r group by status
 """
 
+for _t in ("pedidos", "produtos", "leads"):
+    SQL[f"cdc_sink_{_t}"] = SQL[f"cdc_replica_{_t}"]
+SQL["cdc_sink_control"] = SQL["cdc_control_table"]
+
 SQL["q9_control_by_count"] = f"""
 select topic, event_count, last_event from {sub('cdc_control_table')} c
 """
@@ -692,3 +696,5 @@ select topic, 0 as partition, cast({6 * _STEP} + i as bigint) as "offset", value
   ('dbserver1.public.clientes', 8, '{{"id":1,"limite_credito":"abc","__op":"u"}}', 'bad_value')
 ) t(topic, i, value, reason)
 """
+
+SQL["cdc_sink_quarantine"] = SQL["cdc_quarantine"]

@@ -99,9 +99,15 @@ def cdc_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("cdc_stream_replica_clientes")
 def cdc_stream_replica_clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same log through Structured Streaming in several micro-batches,
-    applied by the bucketed snapshot sink; must equal the one-batch fold."""
+    applied by the merge-on-read sink; must equal the one-batch fold."""
+    return comparable(_streamed_sink(spark, sf_dir).state("clientes"))
+
+
+def _streamed_sink(spark: SparkSession, sf_dir: str):
+    """The sink after the whole log has gone through a streaming query."""
     import uuid
 
+    from rivulet.schemas import CHANGE_EVENT
     from rivulet.session import checkpoint_dir
     from rivulet.streaming.changelog import change_log_steps
     from rivulet.streaming.cdc import SnapshotSink
@@ -111,13 +117,27 @@ def cdc_stream_replica_clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = f"{checkpoint_dir(spark).rstrip('/')}/cdc-{uuid.uuid4().hex}"
     steps = change_log_steps(fixture_root(spark, sf_dir))
     stage_log(steps, f"{base}/log")
-    # At most one file per step partition: about four micro-batches in all.
-    files = sum(s.rdd.getNumPartitions() for s in steps)
-    sink = SnapshotSink(spark, f"{base}/replica", buckets=16)
+    # About four micro-batches in all, with a compaction on the way.
+    files = len(spark.read.schema(CHANGE_EVENT).json(f"{base}/log").inputFiles())
+    sink = SnapshotSink(spark, f"{base}/replica", compact_every=3)
     q = start(read_changes(spark, "files", f"{base}/log", max_per_trigger=-(-files // 4)), sink,
               f"{base}/checkpoint", available_now=True)
     q.awaitTermination()
-    return comparable(sink.state("clientes"))
+    return sink
+
+
+def _sink_query(table: str) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sink = _streamed_sink(spark, sf_dir)
+        if table == "control":
+            return comparable(sink.control())
+        return sink.quarantine() if table == "quarantine" else comparable(sink.state(table))
+    run.__name__ = f"cdc_sink_{table}"
+    return run
+
+
+for _t in ("pedidos", "produtos", "leads", "control", "quarantine"):
+    register(f"cdc_sink_{_t}")(_sink_query(_t))
 
 
 # ---------------------------------------------------------------- serving (Q1-Q12)

@@ -11,8 +11,8 @@ Pipeline per micro-batch, all on executors:
    (C5, C6): for every column the last *present* value, unless a delete came
    later.  ``max`` is a partial aggregate, so a key holding a third of the
    events is pre-folded in every map task before the shuffle.
-4. ``SnapshotSink``: copy-on-write state split into hash buckets; a batch
-   rewrites only the buckets it touches and publishes a new manifest (S7, C16).
+4. ``SnapshotSink``: merge-on-read replica; a batch appends its folded keys, a
+   read merges them by the same fold, compaction rewrites now and then (S7, C16).
 """
 
 from __future__ import annotations
@@ -26,11 +26,13 @@ from pyspark.sql import types as T
 from rivulet import schemas
 from rivulet.operators import rules
 
+EPOCH_COLS = tuple(sorted(schemas.EPOCH_DAY_COLS | schemas.EPOCH_TS_COLS))
+EPOCH_KINDS = ", ".join(f"{c} variant" for c in EPOCH_COLS)
+
 TYPED_REASONS = ("bad_key", "null_key", "bad_value")
 CONTROL_DDL = "topic string, last_offset long, last_event timestamp, event_count long"
 
-NO_DELETE = -2      # sorts below every real offset and the carried-state offset
-STATE_OFFSET = -1   # carried-forward state rows, older than any event of the batch
+NO_DELETE = -1      # sorts below every real offset
 
 # Replica VARCHAR limits (longer values fail the insert).
 REPLICA_LENGTHS: dict[str, dict[str, int]] = {
@@ -59,15 +61,20 @@ def parse_events(events: DataFrame, routes: dict[str, schemas.Route] = schemas.R
     Output: topic, partition, offset, timestamp, value, table, payload
     (map<string,string>), op, reason (NULL when the event is applicable).
 
-    Each value is parsed once as a map; only enveloped events parse their
-    ``payload`` text a second time, and only values that fail to parse are
-    looked at again to tell invalid JSON from ``null`` or a non-object.
+    Each value is parsed once as a map and once as a variant (which keeps JSON
+    types); only enveloped events parse their ``payload`` text a second time, and
+    only values that fail to parse are looked at again to tell invalid JSON from
+    ``null`` or a non-object.  The parsed columns leave through a generator:
+    a projection would be merged with those above it, and parse once a use.
     """
     v = F.col("value")
     top = F.col("__top")
     enveloped = F.map_contains_key(top, "payload")
     body = top["payload"]                      # nested JSON text, or NULL
     payload = F.when(enveloped, F.from_json(body, "map<string,string>")).otherwise(top)
+    # JSON strings among the epoch columns: only numbers are epochs.
+    kinds = F.from_json(F.when(enveloped, body).otherwise(v), EPOCH_KINDS)
+    texts = F.array(*[F.when(F.schema_of_variant(F.col("__kinds")[c]) == "STRING", F.lit(c)) for c in EPOCH_COLS])
     table = _route_map(routes.values())[F.col("topic")]
     p = F.col("__payload")
     root = F.get_json_object(v, "$")            # only evaluated for unparsable values
@@ -82,36 +89,54 @@ def parse_events(events: DataFrame, routes: dict[str, schemas.Route] = schemas.R
         .when(table.isNull(), "unknown_topic")
         .when(~F.map_contains_key(p, "id"), "missing_pk")
     )
+    wire = ["topic", "partition", "offset", "timestamp", "value"]
     return (events
-            .withColumn("__top", F.from_json(v, "map<string,string>"))
-            .withColumn("__payload", payload)
-            .select("topic", "partition", "offset", "timestamp", "value",
-                    table.alias("table"), p.alias("payload"),
+            .select(*wire, _once(F.from_json(v, "map<string,string>").alias("__top")))
+            .select(*wire, "__top", _once(payload.alias("__payload"), kinds.alias("__kinds")))
+            .select(*wire, "__top", "__payload", _once(texts.alias("texts")))
+            .select(*wire, table.alias("table"), p.alias("payload"), "texts",
                     F.coalesce(p["__op"], F.lit("r")).alias("op"),
                     reason.alias("reason")))
 
 
+def _once(*columns: Column) -> Column:
+    """Generator of one row with these columns, each computed once."""
+    return F.inline(F.array(F.struct(*columns)))
+
+
 # ---------------------------------------------------------------- 2. typing
 
 NUMERIC_TEXT = r"^\s*-?[0-9]+(\.[0-9]*)?([eE][-+]?[0-9]+)?\s*$"
 
 
-def coerce(raw: Column, column: str, dtype: T.DataType, ts_unit: str = "micros") -> Column:
-    """Wire value (JSON text) -> replica column type; NULL when it does not fit."""
+DATE_TEXT = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+
+
+def coerce(raw: Column, column: str, dtype: T.DataType, ts_unit: str = "micros",
+           is_text: Column | None = None) -> Column:
+    """Wire value (JSON text) -> replica column type; NULL when it does not fit.
+
+    ``is_text``: the value is a JSON string, so it is no epoch number however it looks.
+    """
     numeric = raw.rlike(NUMERIC_TEXT)
+    if is_text is not None:
+        numeric = numeric & ~is_text
+    # A date or timestamp as text starts with a calendar date (a bare number would
+    # cast as a year).
+    calendar = F.when(raw.rlike(DATE_TEXT), raw)
     if isinstance(dtype, T.DateType):
         if column in schemas.EPOCH_DAY_COLS:
             days = raw.try_cast("double").try_cast("int")
             return F.when(numeric, F.date_add(F.lit("1970-01-01").cast("date"), days)) \
-                .otherwise(raw.try_cast("date"))
-        return raw.try_cast("date")
+                .otherwise(calendar.try_cast("date"))
+        return calendar.try_cast("date")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         target = "timestamp_ntz" if isinstance(dtype, T.TimestampNTZType) else "timestamp"
         if column in schemas.EPOCH_TS_COLS:
             n = F.round(raw.try_cast("double")).try_cast("long")
             epoch = F.timestamp_micros(n) if ts_unit == "micros" else F.timestamp_millis(n)
-            return F.when(numeric, epoch.cast(target)).otherwise(raw.try_cast(target))
-        return raw.try_cast(target)
+            return F.when(numeric, epoch.cast(target)).otherwise(calendar.try_cast(target))
+        return calendar.try_cast(target)
     if isinstance(dtype, T.DecimalType):
         return raw.try_cast(dtype)
     if isinstance(dtype, (T.IntegerType, T.LongType)):
@@ -139,8 +164,9 @@ def typed_events(parsed: DataFrame, route: schemas.Route, ts_unit: str = "micros
     cols = []
     for c in route.columns:
         raw = m[c]
+        is_text = F.coalesce(F.array_contains("texts", c), F.lit(False)) if c in EPOCH_COLS else None
         cols += [F.map_contains_key(m, c).alias(f"p_{c}"), raw.alias(f"r_{c}"),
-                 coerce(raw, c, schema[c], ts_unit).alias(f"v_{c}")]
+                 coerce(raw, c, schema[c], ts_unit, is_text).alias(f"v_{c}")]
     step = ev.select("topic", "partition", "offset", "timestamp", "value", "op",
                      F.col("reason").alias("parse_reason"), *cols)
     bad = F.lit(False)
@@ -150,35 +176,52 @@ def typed_events(parsed: DataFrame, route: schemas.Route, ts_unit: str = "micros
             bad = bad | (F.length(F.col(f"v_{c}")) > lengths[c])
     is_delete = F.col("op") == "d"
     key_raw, key_val = F.col(f"r_{route.pk}"), F.col(f"v_{route.pk}")
-    reason = (F.when(F.col("parse_reason").isNotNull(), F.col("parse_reason"))
-              .when(is_delete & key_raw.isNotNull() & key_val.isNull(), "bad_key")
-              .when(is_delete, F.lit(None))
-              .when(key_val.isNull(), "null_key")
-              .when(bad, "bad_value"))
+    reason = _reason_of(F.col("parse_reason"), is_delete, key_raw, key_val, bad)
     keep = [x for c in route.columns for x in (f"p_{c}", f"v_{c}")]
     return step.select("topic", "partition", "offset", "timestamp", "value", "op",
                        key_val.alias("key"), *keep, reason.alias("reason"))
 
 
+def _reason(route: schemas.Route, ts_unit: str) -> Column:
+    """Why a parsed event of the route's table can't apply, as one expression."""
+    schema = {f.name: f.dataType for f in schemas.SCHEMAS[route.table].fields}
+    lengths = REPLICA_LENGTHS.get(route.table, {})
+    raw = {c: F.col("payload")[c] for c in route.columns}
+    value = {c: coerce(raw[c], c, schema[c], ts_unit,
+                       F.coalesce(F.array_contains("texts", c), F.lit(False)) if c in EPOCH_COLS else None)
+             for c in route.columns}
+    bad = F.lit(False)
+    for c in route.columns:
+        bad = bad | (raw[c].isNotNull() & value[c].isNull())
+        if c in lengths:
+            bad = bad | (F.length(value[c]) > lengths[c])
+    return _reason_of(F.col("reason"), F.col("op") == "d", raw[route.pk], value[route.pk], bad)
+
+
+def _reason_of(parse_reason: Column, is_delete: Column, key_raw: Column, key: Column, bad: Column) -> Column:
+    return (F.when(parse_reason.isNotNull(), parse_reason)
+            .when(is_delete & key_raw.isNotNull() & key.isNull(), "bad_key")
+            .when(is_delete, F.lit(None))
+            .when(key.isNull(), "null_key")
+            .when(bad, "bad_value"))
+
+
 # ---------------------------------------------------------------- 3. fold
 
-def fold(applied: DataFrame, route: schemas.Route, order: str = "offset") -> DataFrame:
-    """Current state per key after applying ``applied`` events in ``order``.
+def fold_keys(applied: DataFrame, route: schemas.Route, order: str = "offset") -> DataFrame:
+    """One row per key with what its events say: ``key``, last delete and upsert
+    (``ld``, ``lu``) and per column ``s_<c>``, the last present value with its offset.
 
-    Rows carried from an earlier state enter as upserts with every column
-    present at ``STATE_OFFSET``.  A key exists iff its last upsert follows its
-    last delete; a column takes its last present value after that delete, else
-    the insert default (C6) or NULL.
+    Rows of this form merge: see ``merge_keys``.
     """
     o = F.col(order)
     # Events with a reason do not apply.  They are skipped inside the aggregate
     # rather than by a filter: a filter on the computed reason would be pushed
-    # below the projections and re-evaluate the JSON parse once per column.
+    # below the projections and re-evaluate the coercions it mentions.
     ok = F.col("reason").isNull() if "reason" in applied.columns else F.lit(True)
     is_up = ok & (F.col("op") != "d")
     is_del = ok & (F.col("op") == "d")
-    last_delete = F.max(F.when(is_del, o))
-    aggs = [last_delete.alias("__ld"), F.max(F.when(is_up, o)).alias("__lu")]
+    aggs = [F.max(F.when(is_del, o)).alias("ld"), F.max(F.when(is_up, o)).alias("lu")]
     for c in route.columns:
         if c == route.pk:
             continue
@@ -190,31 +233,39 @@ def fold(applied: DataFrame, route: schemas.Route, order: str = "offset") -> Dat
         aggs.append(F.max(F.when(is_up & F.col(f"p_{c}"),
                                  F.struct(o.alias("o"), F.col(f"v_{c}").alias("v"))))
                     .alias(f"s_{c}"))
-    st = applied.groupBy("key").agg(*aggs).filter(F.col("key").isNotNull())
-    floor = F.coalesce(F.col("__ld"), F.lit(NO_DELETE))
+    keys = applied.groupBy("key").agg(*aggs)
+    return keys.filter(F.col("key").isNotNull() & (F.col("ld").isNotNull() | F.col("lu").isNotNull()))
+
+
+def merge_keys(keys: DataFrame) -> DataFrame:
+    """Folded rows of several batches -> one per key: every part is a maximum."""
+    return keys.groupBy("key").agg(*[F.max(c).alias(c) for c in keys.columns if c != "key"])
+
+
+def rows_of_keys(keys: DataFrame, route: schemas.Route) -> DataFrame:
+    """Replica rows of folded keys: a key exists iff its last upsert follows its
+    last delete; a column takes its last present value after that delete, else
+    the insert default (C6) or NULL."""
+    floor = F.coalesce(F.col("ld"), F.lit(NO_DELETE))
     schema = schemas.SCHEMAS[route.table]
     out = []
     for f in schema.fields:
         if f.name == route.pk:
             out.append(F.col("key").cast(f.dataType).alias(f.name))
         elif f.name in route.columns:
-            s = F.col(f"s_{f.name}")
+            last = F.col(f"s_{f.name}")
             default = (F.lit(route.defaults[f.name]) if f.name in route.defaults else F.lit(None))
-            out.append(F.when(s["o"] > floor, s["v"]).otherwise(default.cast(f.dataType))
+            out.append(F.when(last["o"] > floor, last["v"]).otherwise(default.cast(f.dataType))
                        .cast(f.dataType).alias(f.name))
         else:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
-    state = st.filter(F.col("__lu") > floor).select(*out)
+    state = keys.filter(F.col("lu") > floor).select(*out)
     return rules.generated_columns(state, route.table)
 
 
-def state_as_events(state: DataFrame, route: schemas.Route) -> DataFrame:
-    """Replica rows as upserts with every whitelisted column present."""
-    cols = []
-    for c in route.columns:
-        cols += [F.lit(True).alias(f"p_{c}"), F.col(c).alias(f"v_{c}")]
-    return state.select(F.lit(STATE_OFFSET).cast("long").alias("offset"), F.lit("r").alias("op"),
-                        F.col(route.pk).alias("key"), *cols)
+def fold(applied: DataFrame, route: schemas.Route, order: str = "offset") -> DataFrame:
+    """Current state per key after applying ``applied`` events in ``order``."""
+    return rows_of_keys(fold_keys(applied, route, order), route)
 
 
 class TableStates(Mapping[str, DataFrame]):
@@ -290,252 +341,229 @@ def control_counts(events: DataFrame, routes: dict[str, schemas.Route] = schemas
     Conditional aggregates skip rejected events (no filter on the computed reason).
     """
     parsed = parse_events(events, routes)
-    out = None
+    # One pass: an event's table picks the one route that checks it.
+    checked = F.lit("unknown_topic")
     for r in routes.values():
-        t = typed_events(parsed, r, ts_unit)
-        ok = F.col("reason").isNull()
-        a = t.groupBy("topic").agg(
-            F.max(F.when(ok, F.col("offset"))).alias("last_offset"),
-            F.max(F.when(ok, F.col("timestamp"))).alias("last_event"),
-            F.count(F.when(ok, 1)).alias("event_count"))
-        out = a if out is None else out.unionByName(a)
+        checked = F.when(F.col("table") == r.table, _reason(r, ts_unit)).otherwise(checked)
+    out = (parsed.withColumn("__reason", F.coalesce(F.col("reason"), checked))
+           .groupBy("topic").agg(
+               F.max(F.when(F.col("__reason").isNull(), F.col("offset"))).alias("last_offset"),
+               F.max(F.when(F.col("__reason").isNull(), F.col("timestamp"))).alias("last_event"),
+               F.count(F.when(F.col("__reason").isNull(), 1)).alias("event_count")))
     return out.filter(F.col("event_count") > 0)
 
 
-def merge_control(old: DataFrame | None, new: DataFrame) -> DataFrame:
-    """Fold a batch's accounting into the running control table."""
-    if old is None:
-        return new
-    return old.unionByName(new).groupBy("topic").agg(
-        F.max("last_offset").alias("last_offset"), F.max("last_event").alias("last_event"),
-        F.sum("event_count").alias("event_count"))
-
-
 # ---------------------------------------------------------------- 4. snapshot sink
 
-def bucket_of(key: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the path is there; an unreachable or unknown file system raises."""
+    fs, hadoop = _filesystem(spark, path)
+    return fs.exists(hadoop)
+
+
+def _filesystem(spark: SparkSession, path: str):
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def versions_under(spark: SparkSession, path: str) -> list[int]:
+    """N of the folders ``v=N`` under a path, ascending; anything else there raises."""
+    fs, hadoop = _filesystem(spark, path)
+    if not fs.exists(hadoop):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(hadoop)]
+    out = []
+    for name in names:
+        if name.startswith((".", "_")):
+            continue
+        if not name.startswith("v=") or not name[2:].isdigit():
+            raise ValueError(f"{path} holds {name!r}, which the sink didn't write")
+        out.append(int(name[2:]))
+    return sorted(out)
 
 
 class SnapshotSink:
-    """Versioned, bucketed copy-on-write replica under ``root``.
+    """Merge-on-read replica under ``root``.
 
-    Layout per table::
+    Layout::
 
-        <root>/<table>/v=<batch>/bucket=<b>/part-*.parquet   rows of bucket b as of batch
-        <root>/<table>/_manifest/v=<batch>/part-*.json       bucket -> version it lives in
-        <root>/_control/v=<batch>/ , <root>/_quarantine/v=<batch>/
+        <root>/<table>/delta/v=<batch>/   the batch's events folded to a row per key
+        <root>/<table>/base/v=<batch>/    everything up to and including that batch
+        <root>/_control/v=<batch>/        accounting; written last, so it commits the batch
+        <root>/_quarantine/v=<batch>/     events that do not apply
 
-    A batch reads the newest manifest older than itself, so replaying a batch id
-    recomputes and overwrites the same version: replays are idempotent.  Only
-    buckets the batch touches are rewritten; the manifest (one row per bucket,
-    size bounded by ``buckets``) carries the others forward.
+    A batch appends its own keys, whatever the table's size.  A read merges the
+    newest base with the deltas after it by the fold's own maxima.  ``compact``
+    writes a new base once ``compact_every`` deltas have gathered; ``expire``
+    removes what the newest bases replace.  Both are ordinary Spark jobs whose
+    tasks are sized by the shuffle, not by a fixed number of buckets.
+
+    Only versions with a control folder count, so a batch that broke off is not
+    read, and its replay overwrites it.  A batch id below the newest commit is
+    refused: it comes from a checkpoint that does not belong to this root.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64,
+    def __init__(self, spark: SparkSession, root: str, compact_every: int = 16,
                  routes: dict[str, schemas.Route] = schemas.ROUTES, ts_unit: str = "micros"):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self.spark, self.root, self.compact_every = spark, root.rstrip("/"), compact_every
         self.routes, self.ts_unit = routes, ts_unit
-        # Last committed manifest per table and last control rows, as written by
-        # this sink (bounded by the bucket and topic counts).  Valid for batch
-        # ids after them; a replay or a restarted process reads the files.
-        self._committed: dict[str, tuple[int, dict[int, int]]] = {}
-        self._control_rows: tuple[int, list] | None = None
+        self._by_table = {r.table: r for r in routes.values()}
 
     # -- reading
-    def _manifest_version(self, table: str, before: int | None) -> int | None:
-        path = f"{self.root}/{table}/_manifest"
-        if not path_exists(self.spark, path):  # no manifest yet; any other trouble raises
-            return None
-        m = self.spark.read.schema("bucket int, v long").json(path)
-        if before is not None:
-            m = m.filter(F.col("v") < before)
-        row = m.agg(F.max("v").alias("v")).first()
-        return None if row is None else row["v"]
-
-    def _manifest(self, table: str, version: int) -> DataFrame:
-        return (self.spark.read.schema("bucket int, src long")
-                .json(f"{self.root}/{table}/_manifest/v={version}"))
-
-    def _entries(self, table: str, before: int | None) -> tuple[int | None, dict[int, int]]:
-        """(version, bucket -> source version) of the newest manifest before ``before``."""
-        cached = self._committed.get(table)
-        if cached is not None and (before is None or cached[0] < before):
-            return cached
-        version = self._manifest_version(table, before)
-        if version is None:
-            return None, {}
-        # One row per bucket: bounded by the bucket count.
-        return version, {r["bucket"]: r["src"] for r in self._manifest(table, version).collect()}
-
-    def state(self, table: str, before: int | None = None,
-              only_buckets: list[int] | None = None) -> DataFrame:
-        """Replica rows as of the newest committed batch (older than ``before``)."""
-        schema = schemas.SCHEMAS[table]
-        version, entries = self._entries(table, before)
-        if version is None:
-            return self.spark.createDataFrame([], schema)
-        pairs = [(b, src) for b, src in entries.items()
-                 if only_buckets is None or b in only_buckets]
-        if not pairs:
-            return self.spark.createDataFrame([], schema)
-        versions = sorted({src for _, src in pairs})
-        full = T.StructType(schema.fields + [T.StructField("v", T.LongType()),
-                                             T.StructField("bucket", T.IntegerType())])
+    def commits(self) -> list[int]:
+        """Committed batch ids."""
+        return versions_under(self.spark, f"{self.root}/_control")
+
+    def _key_schema(self, route: schemas.Route) -> T.StructType:
+        kinds = {f.name: f.dataType for f in schemas.SCHEMAS[route.table].fields}
+        last = [T.StructField(f"s_{c}", T.StructType([T.StructField("o", T.LongType()), T.StructField("v", kinds[c])]))
+                for c in route.columns if c != route.pk]
+        return T.StructType([T.StructField("key", kinds[route.pk]), T.StructField("ld", T.LongType()),
+                             T.StructField("lu", T.LongType()), *last])
+
+    def _keys(self, table: str, before: int | None) -> tuple[DataFrame, int]:
+        """Merged keys as of the newest commit (older than ``before``), and the deltas read."""
+        route = self._by_table[table]
+        commits = [v for v in self.commits() if before is None or v < before]
         base = f"{self.root}/{table}"
-        df = (self.spark.read.schema(full).option("basePath", base)
-              .parquet(*[f"{base}/v={v}" for v in versions]))
-        cond = None
-        for v in versions:
-            bs = [b for b, src in pairs if src == v]
-            c = (F.col("v") == v) & F.col("bucket").isin(bs)
-            cond = c if cond is None else cond | c
-        return df.filter(cond).select(*[f.name for f in schema.fields])
+        bases = [v for v in versions_under(self.spark, f"{base}/base") if v in commits]
+        newest = bases[-1] if bases else -1
+        deltas = [v for v in versions_under(self.spark, f"{base}/delta") if v in commits and v > newest]
+        paths = [f"{base}/delta/v={v}" for v in deltas] + ([f"{base}/base/v={newest}"] if bases else [])
+        schema = self._key_schema(route)
+        if not paths:
+            return self.spark.createDataFrame([], schema), 0
+        return merge_keys(self.spark.read.schema(schema).parquet(*paths)), len(deltas)
+
+    def state(self, table: str, before: int | None = None) -> DataFrame:
+        """Replica rows as of the newest committed batch (older than ``before``)."""
+        return rows_of_keys(self._keys(table, before)[0], self._by_table[table])
 
     def control(self, before: int | None = None) -> DataFrame | None:
-        if self._control_rows is not None and (before is None or self._control_rows[0] < before):
-            return self.spark.createDataFrame(self._control_rows[1], CONTROL_DDL)
-        path = f"{self.root}/_control"
-        if not path_exists(self.spark, path):
-            return None
-        c = self.spark.read.schema(
-            "topic string, last_offset long, last_event timestamp, event_count long, v long"
-        ).parquet(path)
-        if before is not None:
-            c = c.filter(F.col("v") < before)
-        top = c.agg(F.max("v")).first()[0]
-        if top is None:
-            return None
-        return c.filter(F.col("v") == top).drop("v")
+        """Accounting per topic as of the newest commit (older than ``before``)."""
+        commits = [v for v in self.commits() if before is None or v < before]
+        return self.spark.read.schema(CONTROL_DDL).parquet(f"{self.root}/_control/v={commits[-1]}") if commits else None
+
+    def totals(self) -> dict[str, int]:
+        """Applied events per topic since the first batch (C14), from the control table."""
+        control = self.control()
+        return {} if control is None else {r["topic"]: r["event_count"] for r in control.collect()}
+
+    def quarantine(self) -> DataFrame | None:
+        """Events of committed batches that did not apply."""
+        commits = self.commits()
+        paths = [f"{self.root}/_quarantine/v={v}" for v in versions_under(self.spark, f"{self.root}/_quarantine") if v in commits]
+        ddl = "topic string, partition int, offset long, value string, reason string"
+        return self.spark.read.schema(ddl).parquet(*paths) if paths else None
 
     # -- writing
     def _batch_stats(self, parsed: DataFrame, typed: dict[str, DataFrame]) -> list:
-        """One job over the persisted batch: per (table, topic, bucket) the applied
-        count, last offset and last event, and the rejected count.
+        """One job over the persisted batch: per (table, topic) the applied count,
+        last offset and last event, the rejected count and whether a key is named.
 
-        Rows are bounded by tables x topics x buckets, not by the batch size.
-        Parse-level rejects come from ``parsed`` (their table may be unknown);
-        value-level rejects from the typed rows.
+        Rows are bounded by tables x topics, not by the batch size.  Parse-level
+        rejects come from ``parsed`` (their table may be unknown); value-level
+        rejects from the typed rows.
         """
         parts = [parsed.select(F.lit(None).cast("string").alias("table"), "topic",
-                               F.lit(None).cast("int").alias("bucket"),
                                F.lit(None).cast("long").alias("ok_offset"),
                                F.lit(None).cast("timestamp").alias("ok_ts"),
-                               (F.col("reason").isNotNull() & (F.col("reason") != "tombstone"))
-                               .alias("bad"))]
+                               (F.col("reason").isNotNull() & (F.col("reason") != "tombstone")).alias("bad"))]
         for table, t in typed.items():
             ok = F.col("reason").isNull()
             parts.append(t.select(F.lit(table).alias("table"), "topic",
-                                  bucket_of(F.col("key"), self.buckets).alias("bucket"),
                                   F.when(ok, F.col("offset")).alias("ok_offset"),
                                   F.when(ok, F.col("timestamp")).alias("ok_ts"),
-                                  F.coalesce(F.col("reason").isin(*TYPED_REASONS), F.lit(False))
-                                  .alias("bad")))
+                                  F.coalesce(F.col("reason").isin(*TYPED_REASONS), F.lit(False)).alias("bad")))
         rows = parts[0]
-        for p in parts[1:]:
-            rows = rows.unionByName(p)
-        return (rows.groupBy("table", "topic", "bucket")
+        for part in parts[1:]:
+            rows = rows.unionByName(part)
+        return (rows.groupBy("table", "topic")
                 .agg(F.count("ok_offset").alias("applied"), F.max("ok_offset").alias("last_offset"),
-                     F.max("ok_ts").alias("last_event"),
-                     F.count(F.when(F.col("bad"), 1)).alias("rejected"))
+                     F.max("ok_ts").alias("last_event"), F.count(F.when(F.col("bad"), 1)).alias("rejected"))
                 .collect())
 
     def write_batch(self, events: DataFrame, batch_id: int) -> dict[str, int]:
-        """Apply one micro-batch of change events; returns applied events per topic.
-
-        Events are parsed and typed once (persisted).  One statistics job gives
-        the buckets each table's events touch, the per-topic accounting and the
-        reject count; then every table folds only its touched buckets.
-        """
+        """Apply one micro-batch of change events; returns applied events per topic."""
+        commits = self.commits()
+        if commits and batch_id < commits[-1]:
+            raise ValueError(f"batch {batch_id} comes after batch {commits[-1]} at {self.root}: "
+                             "this checkpoint belongs to another root")
         parsed = parse_events(events, self.routes).persist()
-        typed = {r.table: typed_events(parsed, r, self.ts_unit).persist()
-                 for r in self.routes.values()}
-        stats = self._batch_stats(parsed, typed)
-        for route in self.routes.values():
-            # Skipped events with a key still count as touching their bucket.
-            touched = sorted({r["bucket"] for r in stats
-                              if r["table"] == route.table and r["bucket"] is not None})
-            self._apply_table(route, typed[route.table], batch_id, touched)
-        # Quarantine of this batch: parse-level and value-level rejects.
-        if sum(r["rejected"] for r in stats) > 0:
-            (rejected(parsed, typed.values()).write.mode("overwrite")
-             .parquet(f"{self.root}/_quarantine/v={batch_id}"))
-        # Accounting (C12): one row per topic, merged with the previous control
-        # rows on the driver (both bounded by the topic count).
+        typed = {r.table: typed_events(parsed, r, self.ts_unit).persist() for r in self.routes.values()}
+        try:
+            stats = self._batch_stats(parsed, typed)
+            for route in self.routes.values():
+                if any(r["applied"] for r in stats if r["table"] == route.table):
+                    (fold_keys(typed[route.table], route).write.mode("overwrite")
+                     .parquet(f"{self.root}/{route.table}/delta/v={batch_id}"))
+            if sum(r["rejected"] for r in stats) > 0:
+                (rejected(parsed, typed.values()).write.mode("overwrite")
+                 .parquet(f"{self.root}/_quarantine/v={batch_id}"))
+            counts = self._commit(stats, batch_id)
+        finally:
+            for t in typed.values():
+                t.unpersist()
+            parsed.unpersist()
+        for table in self._by_table:
+            deltas = [v for v in versions_under(self.spark, f"{self.root}/{table}/delta") if v in (*commits, batch_id)]
+            bases = versions_under(self.spark, f"{self.root}/{table}/base")
+            if len([v for v in deltas if not bases or v > bases[-1]]) >= self.compact_every:
+                self.compact(table)
+        return counts
+
+    def _commit(self, stats: list, batch_id: int) -> dict[str, int]:
+        """Accounting (C12): the batch's rows merged with those before it, a row a topic."""
         batch: dict[str, list] = {}
         for r in stats:
             if r["table"] is None or r["applied"] == 0:
                 continue
             b = batch.setdefault(r["topic"], [None, None, 0])
             b[0] = r["last_offset"] if b[0] is None else max(b[0], r["last_offset"])
-            b[1] = r["last_event"] if b[1] is None else max(b[1], r["last_event"])
+            b[1] = r["last_event"] if b[1] is None or (r["last_event"] and r["last_event"] > b[1]) else b[1]
             b[2] += r["applied"]
-        merged = {}
-        cached = self._control_rows
-        if cached is not None and cached[0] < batch_id:
-            prev_rows = cached[1]
-        else:
-            prev = self.control(before=batch_id)
-            prev_rows = [] if prev is None else [tuple(r) for r in prev.collect()]
-        for topic, off, ts, n in prev_rows:
-            merged[topic] = [off, ts, n]
-        for topic, (off, ts, n) in batch.items():
-            m = merged.get(topic)
-            if m is None:
-                merged[topic] = [off, ts, n]
-            else:
-                m[0] = off if m[0] is None else max(m[0], off)
-                m[1] = ts if m[1] is None else max(m[1], ts)
-                m[2] = (m[2] or 0) + n
+        before = self.control(before=batch_id)
+        merged = {r["topic"]: [r["last_offset"], r["last_event"], r["event_count"]] for r in (before.collect() if before is not None else ())}
+        for topic, (offset, at, n) in batch.items():
+            old = merged.get(topic, [None, None, 0])
+            merged[topic] = [offset if old[0] is None else max(old[0], offset),
+                             at if old[1] is None or (at and at > old[1]) else old[1], old[2] + n]
         rows = [(t, *v) for t, v in sorted(merged.items())]
         (self.spark.createDataFrame(rows, CONTROL_DDL).coalesce(1).write.mode("overwrite")
          .parquet(f"{self.root}/_control/v={batch_id}"))
-        self._control_rows = (batch_id, rows)
-        for t in typed.values():
-            t.unpersist()
-        parsed.unpersist()
         return {t: v[2] for t, v in batch.items()}
 
-    def _apply_table(self, route: schemas.Route, typed: DataFrame, batch_id: int,
-                     touched: list[int]) -> None:
-        table, B = route.table, self.buckets
-        ev = typed.filter(F.col("key").isNotNull())
-        if not touched:
-            return      # nothing for this table: the previous manifest stays current
-        prev_version, prev_entries = self._entries(table, before=batch_id)
-        cols = ["offset", "op", "key", "reason"] + [x for c in route.columns
-                                                   for x in (f"p_{c}", f"v_{c}")]
-        events = ev.select(*cols)
-        keep = None
-        if prev_version is not None:
-            # Rows of the touched buckets whose key the batch does not mention are
-            # written back unchanged; only the keys it mentions are re-folded.
-            old = self.state(table, before=batch_id, only_buckets=touched)
-            keys = events.select(F.col("key").alias(route.pk)).distinct()
-            keep = old.join(keys, route.pk, "left_anti")
-            redo = old.join(keys, route.pk, "left_semi")
-            events = (state_as_events(redo, route)
-                      .withColumn("reason", F.lit(None).cast("string")).select(*cols)
-                      .unionByName(events))
-        new_state = fold(events, route)
-        if keep is not None:
-            new_state = new_state.unionByName(keep.select(*new_state.columns))
-        new_state = new_state.withColumn("bucket", bucket_of(F.col(route.pk), B))
+    def compact(self, table: str) -> int | None:
+        """Write the newest commit's merged keys as a base; keys whose delete came last are left out.
+
+        Later events have greater offsets, so a deleted key needs no trace.
+        """
+        commits = self.commits()
+        if not commits:
+            return None
+        keys, deltas = self._keys(table, None)
+        if not deltas:
+            return None
+        live = keys.filter(F.col("lu") > F.coalesce(F.col("ld"), F.lit(NO_DELETE)))
+        live.write.mode("overwrite").parquet(f"{self.root}/{table}/base/v={commits[-1]}")
+        return commits[-1]
+
+    def expire(self, table: str, keep: int = 2) -> list[str]:
+        """Remove deltas and bases that the last ``keep`` bases replace; returns their paths.
+
+        For readers of the oldest kept base nothing changes.
+        """
         base = f"{self.root}/{table}"
-        (new_state.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
-         .parquet(f"{base}/v={batch_id}"))
-        # New manifest: touched buckets point at this batch, the rest are carried.
-        entries = dict(prev_entries)
-        entries.update({b: batch_id for b in touched})
-        (self.spark.createDataFrame(sorted(entries.items()), "bucket int, src long").coalesce(1)
-         .write.mode("overwrite").json(f"{base}/_manifest/v={batch_id}"))
-        self._committed[table] = (batch_id, entries)
+        bases = versions_under(self.spark, f"{base}/base")
+        if len(bases) < keep:
+            return []
+        oldest = bases[-keep]
+        gone = [f"{base}/base/v={v}" for v in bases if v < oldest] + [
+            f"{base}/delta/v={v}" for v in versions_under(self.spark, f"{base}/delta") if v <= oldest]
+        for path in gone:
+            fs, hadoop = _filesystem(self.spark, path)
+            fs.delete(hadoop, True)
+        return gone
 
     def foreach_batch(self, batch_df: DataFrame, batch_id: int) -> None:
         self.write_batch(batch_df, batch_id)

@@ -123,15 +123,8 @@ def pedidos_log(pedidos: DataFrame, ts_unit: str = "micros") -> list[DataFrame]:
 
 
 def spread(df: DataFrame, key: str = "id") -> DataFrame:
-    """Rows hash-spread by ``key`` over the cluster's cores, as a keyed producer
-    spreads them over topic partitions, when the input has fewer splits than
-    cores (a one-row-group file is read by a single task).  An input with
-    enough splits is returned as it is: no extra shuffle at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    """Rows hash-spread by ``key``, as a keyed producer spreads them over topic partitions."""
+    return df.repartition(key)
 
 
 def change_log_steps(root: Root, ts_unit: str = "micros") -> list[DataFrame]:

@@ -80,7 +80,7 @@ def test_fold_matches_replay(spark, seed):
 
 def test_snapshot_sink_batches_and_replay(spark, tmp_path):
     log = random_log(9, n=300)
-    sink = cdc.SnapshotSink(spark, str(tmp_path / uuid.uuid4().hex), buckets=4,
+    sink = cdc.SnapshotSink(spark, str(tmp_path / uuid.uuid4().hex), compact_every=2,
                             routes={TOPIC: ROUTE})
     chunks = [log[:100], log[100:210], log[210:]]
     for i, chunk in enumerate(chunks):
@@ -91,7 +91,7 @@ def test_snapshot_sink_batches_and_replay(spark, tmp_path):
     sink.write_batch(events_df(spark, chunks[-1]), len(chunks) - 1)
     assert state_dict(sink.state("pedidos")) == want
     # A new sink over the same folder (a restarted query) reads the files.
-    again = cdc.SnapshotSink(spark, sink.root, buckets=4, routes={TOPIC: ROUTE})
+    again = cdc.SnapshotSink(spark, sink.root, compact_every=2, routes={TOPIC: ROUTE})
     assert state_dict(again.state("pedidos")) == want
     ctl = {r["topic"]: r["event_count"] for r in again.control().collect()}
     applied = sum(1 for _, v in log if "id" in json.loads(v).get("payload", json.loads(v)))
@@ -118,7 +118,7 @@ def test_explicit_null_wins_and_defaults(spark):
 def test_snapshot_sink_quarantine_and_control_per_batch(spark, tmp_path):
     import os
     root = str(tmp_path / uuid.uuid4().hex)
-    sink = cdc.SnapshotSink(spark, root, buckets=4, routes={TOPIC: ROUTE})
+    sink = cdc.SnapshotSink(spark, root, compact_every=2, routes={TOPIC: ROUTE})
     clean = [(0, json.dumps({"id": 1, "status": "a"})), (1, json.dumps({"id": 2, "status": "b"}))]
     dirty = [(2, json.dumps({"id": 1, "status": "c"})), (3, "{bad json"),
              (4, json.dumps({"id": 3, "desconto": "abc"})), (5, json.dumps({"id": 2, "__op": "d"}))]
