@@ -13,26 +13,25 @@ pair at the threshold keeps on meeting in one child a level.  Nodes of at most
 independent trees miss a pair at similarity 0.8 with a chance of about 0.16 **
 TREES where one level suffices (3e-10) and 0.36 ** TREES at three levels (5e-6).
 
-What keeps large groups linear:
+What keeps work and rows linear:
 
 - Equal sets are one class, represented by its smallest doc_id; only classes
   enter trees.
-- First every class is compared with the smallest class it met in a first-level
-  node (the most similar one by its minwise sketch, where it met several): one
-  comparison for a class.  Confirmed links make first components.
-- A node whose documents all lie in one component needs no comparison and no
-  branch, so a dense group of copies ends here, whatever its size.  Elsewhere
-  only pairs across components are compared.
-- Pairs whose minwise sketches agree on too few positions (at the threshold: a
-  chance under 1e-8) skip the exact comparison.
+- A small node is compared by minwise sketches, one matrix a node.  It sends on
+  a spanning forest of the pairs that agree in ``NEED`` positions (a pair at the
+  threshold fails that with a chance of about 1e-6), never the pairs themselves.
+- Forests of all nodes connect into groups.  A group's full sets meet in one
+  task, each document once, which counts the shared shingles of every pair by an
+  inverted index and sends on a spanning forest of the links.  Documents of a
+  group over ``LEAF`` meet node by node instead, so no task holds more.
 
 Sketches never confirm a link.  Sets are compared as 64-bit shingle hashes.
 
 Defined results: null text is empty; a text without words has n_shingles 0, its
 own component and no link; fewer words than a shingle make one shingle; ties and
 repeated rows: rows with one doc_id are returned each, with one component; a
-null doc_id orders before all others; an empty table gives no row; other columns
-are ignored.
+null doc_id orders before all others, rows with null count as one document of
+several texts; an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,13 +41,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import id_text, restore_id, shared_table, table
+from rivulet.llm.common import blocks_of_groups, id_text, restore_id, segments, shared_table, table
 from rivulet.llm.components import components
 from rivulet.llm.shingles import shingle_set
 
-POSITIONS, TREES, LEAF, DEEPEST = 64, 12, 24, 40
+POSITIONS, TREES, LEAF, DEEPEST = 64, 12, 3000, 100
 #: Of 64 sketch positions, how many must agree; a pair at similarity 0.8 has 51 +- 3.2.
-NEED = 30
+NEED = 34
 
 _RNG = np.random.Generator(np.random.PCG64(66))
 _ODD = _RNG.integers(0, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -89,39 +88,76 @@ def _features(words: int):
     return run
 
 
-def _compare(words: int, percent: int):
-    """Pairs with both texts; keeps those whose full sets are similar enough."""
-    def run(batches):
-        last, last_set = None, None
-        for batch in batches:
-            keep = []
-            for i in range(batch.num_rows):
-                a = batch.column("a")[i].as_py()
-                if a != last:
-                    last, last_set = a, shingle_set(batch.column("text_a")[i].as_buffer(), words)
-                other = shingle_set(batch.column("text_b")[i].as_buffer(), words)
-                both = len(np.intersect1d(last_set, other, assume_unique=True))
-                keep.append(100 * both >= percent * (len(last_set) + len(other) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    return run
+def forest(label: np.ndarray, x: int, partners: np.ndarray) -> list[int]:
+    """Partners that connect x to something new; labels of what they connect become one."""
+    if not len(partners):
+        return []
+    names, first = np.unique(label[partners], return_index=True)
+    new = names != label[x]
+    if new.any():
+        label[np.isin(label, np.append(names, label[x]))] = min(names[0], label[x])
+    return partners[first[new]].tolist()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links among pairs (a, b) of doc_ids; b's text joins first, so a hot a only meets ids and texts of its pairs."""
-    text_b = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    text_a = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    return (pairs.join(text_b, "b").join(text_a, "a").select("a", "b", "text_a", "text_b")
-            .mapInArrow(_compare(words, percent), "a long, b long").distinct())
+def _likely(percent: int):
+    """Small nodes, sorted by node: a spanning forest of each node's likely pairs."""
+    def run(batches):
+        for block in blocks_of_groups(batches, ("node",), rows=20_000):
+            node, rep, size = (block.column(n).to_numpy() for n in ("node", "rep", "n_shingles"))
+            values = block.column("sketch").combine_chunks().flatten().to_numpy().reshape(-1, POSITIONS)
+            columns = np.ascontiguousarray(values.T)
+            head = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+            found = []
+            for a, z in zip(head.tolist(), [*head[1:].tolist(), len(node)], strict=True):
+                label = np.arange(z - a)
+                for at in range(a, z, 256):
+                    end = min(at + 256, z)
+                    agree = np.zeros((end - at, end - a), np.int8)
+                    for column in columns:
+                        agree += column[at:end, None] == column[a:end]
+                    agree = agree >= NEED
+                    agree &= 100 * np.minimum(size[at:end, None], size[a:end]) >= percent * np.maximum(size[at:end, None], size[a:end])
+                    for x in np.flatnonzero(agree.sum(axis=1) > 1).tolist():
+                        own = at - a + x
+                        found += [(node[a], rep[a + y], rep[at + x]) for y in forest(label, own, np.flatnonzero(agree[x, :own]))]
+            names, left, right = zip(*found, strict=True) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(left, pa.int64()), pa.array(right, pa.int64())],
+                                             names=["node", "a", "b"])
+    return run
 
 
-def _similar(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, agree) that sizes and sketches allow to be links."""
-    def side(name):
-        return classes.select(F.col("rep").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"sketch_{name}"))
-    agree = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return (pairs.join(side("b"), "b").join(side("a"), "a")
-            .filter(F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"))
-            .select("a", "b", agree.alias("agree")).filter(F.col("agree") >= NEED * POSITIONS // 64))
+def similar_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of sets that are similar enough: exact, by an inverted index."""
+    size = np.array([len(s) for s in sets], np.int64)
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, name = np.unique(flat, return_inverse=True)
+    order = np.argsort(name, kind="stable")
+    posting, begin = owner[order], np.searchsorted(name[order], np.arange(name.max() + 2))
+    ends = np.cumsum(size)
+    label, out = np.arange(len(sets)), []
+    for x in range(1, len(sets)):
+        own = name[ends[x] - size[x]:ends[x]]
+        shared = np.bincount(posting[segments(begin[own], begin[own + 1] - begin[own])], minlength=len(sets))[:x]
+        partners = np.flatnonzero(100 * shared >= percent * (size[:x] + size[x] - shared))
+        out += [(y, x) for y in forest(label, x, partners)]
+    return out
+
+
+def _confirm(words: int, percent: int):
+    """Sorted by key: (key, rep, text) to links (a, b) that connect what all links of a key connect."""
+    def run(batches):
+        for block in blocks_of_groups(batches, ("key",), rows=500):
+            key, rep = block.column("key").to_numpy(), block.column("rep").to_numpy()
+            texts = block.column("text").combine_chunks()
+            head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            found = []
+            for a, z in zip(head.tolist(), [*head[1:].tolist(), len(key)], strict=True):
+                sets = [shingle_set(texts[i].as_buffer(), words) for i in range(a, z)]
+                found += [(rep[a + x], rep[a + y]) for x, y in similar_forest(sets, percent)]
+            left, right = zip(*found, strict=True) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+    return run
 
 
 def _children(node, sketch_col, percent: int):
@@ -133,43 +169,35 @@ def _children(node, sketch_col, percent: int):
     return F.array_distinct(F.when(branches, F.array(child(pick), child(second))).otherwise(F.array(child(pick))))
 
 
-def links(spark: SparkSession, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+def links(spark: SparkSession, docs: DataFrame, classes: DataFrame, words: int, percent: int, leaf: int = LEAF) -> DataFrame:
     """Edges (a, b) whose components are those of all links; classes: (rep, n_shingles, sketch)."""
     roots = F.flatten(F.array(*(_children(F.lit(1000 + t).cast("long"), F.col("sketch"), percent) for t in range(TREES))))
-    members = classes.select("rep", F.explode(roots).alias("node"))
-    met = members.groupBy("node").agg(F.count("*").alias("size"), F.min("rep").alias("a")).filter("size > 1")
-    nodes = shared_table(spark, members.join(met, "node").select("node", "rep", "size", "a"), "nodes")
-
-    # One comparison for each class: the most similar of the smallest classes it met.
-    star = (_similar(nodes.filter("rep <> a").select("a", F.col("rep").alias("b")).distinct(), classes, percent)
-            .groupBy("b").agg(F.max(F.struct("agree", (-F.col("a")).alias("a"))).alias("best"))
-            .select((-F.col("best.a")).alias("a"), "b"))
-    first = shared_table(spark, _confirmed(shared_table(spark, star, "pairs"), docs, words, percent), "links")
-    root = components(spark, first)
-
-    level = nodes.select("node", "rep").join(root.withColumnRenamed("vertex", "rep"), "rep", "left").select(
-        "node", "rep", F.coalesce("root", "rep").alias("root"))
-    found = []
+    level = classes.select("rep", F.explode(roots).alias("node"))
+    likely = None
     for depth in range(DEEPEST + 1):
-        mixed = level.groupBy("node").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter(
-            "lo <> hi").select("node", "size")
-        level = shared_table(spark, level.join(mixed, "node"), "level")
-        small = level if depth == DEEPEST else level.filter(F.col("size") <= LEAF)
-        leaves = small.groupBy("node").agg(F.collect_list(F.struct("rep", "root")).alias("m"))
-        across = (leaves.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
-                  .filter("x.rep < y.rep AND x.root <> y.root")
-                  .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
-        found.append(shared_table(spark, _similar(across, classes, percent).select("a", "b"), "pairs"))
-        large = level.filter(F.col("size") > LEAF)
+        met = level.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
+        level = shared_table(spark, level.join(met, "node").select("node", "rep", "size"), "nodes")
+        small = level if depth == DEEPEST else level.filter(F.col("size") <= leaf)
+        found = shared_table(spark, (
+            small.select("node", "rep").join(classes, "rep").select("node", "rep", "n_shingles", "sketch")
+            .repartition("node").sortWithinPartitions("node", "rep").mapInArrow(_likely(percent), "node long, a long, b long")), "likely")
+        likely = found if likely is None else likely.unionByName(found)
+        large = level.filter(F.col("size") > leaf)
         if depth == DEEPEST or large.isEmpty():
             break
         level = (large.join(classes.select("rep", "sketch"), "rep")
-                 .select("rep", "root", F.explode(_children(F.col("node"), F.col("sketch"), percent)).alias("node")))
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
-    second = _confirmed(shared_table(spark, pairs.distinct(), "pairs"), docs, words, percent)
-    return first.unionByName(second)
+                 .select("rep", F.explode(_children(F.col("node"), F.col("sketch"), percent)).alias("node")))
+
+    root = components(spark, likely.select("a", "b"))
+    groups = root.select(F.col("vertex").alias("rep"), F.col("root").alias("key")).unionByName(
+        root.select(F.col("root").alias("rep"), F.col("root").alias("key")).distinct())
+    groups = groups.join(groups.groupBy("key").agg(F.count("*").alias("size")), "key")
+    by_node = likely.select("node", F.explode(F.array("a", "b")).alias("rep")).distinct()
+    members = (groups.filter(F.col("size") <= leaf).select("key", "rep").unionByName(
+        by_node.join(groups.filter(F.col("size") > leaf).select("rep"), "rep").select(F.xxhash64("node").alias("key"), "rep")))
+    members = shared_table(spark, members, "members")
+    return (docs.select(F.col("doc_id").alias("rep"), "text").join(members, "rep").select("key", "rep", "text")
+            .repartition("key").sortWithinPartitions("key", "rep").mapInArrow(_confirm(words, percent), "a long, b long"))
 
 
 def near_duplicates(spark: SparkSession, documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
