@@ -232,7 +232,8 @@ def score(spark: SparkSession, documents: DataFrame, labels: DataFrame, fit_rows
     docs = id_text(documents)
     given = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(
         "doc_id IS NOT NULL AND toxic IN (0, 1)")
-    lexicon, toxic, other = learn_lexicon(docs.join(given, "doc_id").select("text", "toxic"), lexicon_size)
+    # The join moves texts whatever the size of the labels: the same plan at every size.
+    lexicon, toxic, other = learn_lexicon(docs.join(given.hint("merge"), "doc_id").select("text", "toxic"), lexicon_size)
     features = shared_table(spark, docs.mapInArrow(_features(Grammar(lexicon)), "doc_id long, features array<double>"), "features")
     share = toxic / max(1, toxic + other)
     if not lexicon:
