@@ -103,7 +103,8 @@ def test_chances_of_all_ids_sum_to_one():
         chance, opening = model.attend(ids, lengths)
         _, last, rows, before = model.classes.features(ids, lengths)
         at = max(0, cut + 1 - attention.CONTEXT)
-        by_class = model.attention.class_chances(model.attention.forward(last[None, at:])[0][-1:], rows[-1:])[0]
+        weights, total = model.attention.class_weights(model.attention.forward(last[None, at:])[0][-1:], rows[-1:])
+        by_class = weights[0] / total[0]
         alone = by_class[model.classes.own] * model.inside[before[-1]]
         assert abs(alone.sum() - 1) < 1e-3 and abs(alone[lm_score.opens_word()].sum() - opening[-1]) < 1e-3
         for i in range(0, end + 1):
