@@ -7,6 +7,7 @@ import functools
 import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 
@@ -70,11 +71,22 @@ def shared_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     schema = df.schema
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    release(spark)
     return spark.read.schema(schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the finished job's shuffle files removed.
+
+    The first collection only finds the plan unreachable, the second one what the
+    plan held; the pause lets Spark's cleaner see the first.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
+
+
 def blocks_of_groups(batches, keys: tuple[str, ...], rows: int = 1 << 17):
     """Arrow tables of about ``rows`` rows that never split a run of equal keys.
 
