@@ -54,6 +54,19 @@ def id_text(df: DataFrame, rest: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*columns)
 
 
+def told_apart(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` of ``id_text`` with ``copy``: 0, or the text's hash where a doc_id has several texts.
+
+    (doc_id, copy) names a text whatever its doc_id.  The ids with several texts are
+    written first, so that Spark knows how few they are and need not shuffle texts for them.
+    """
+    print_ = F.xxhash64("text")
+    several = shared_table(spark, docs.groupBy("doc_id").agg(F.min(print_).alias("low"), F.max(print_).alias("high"))
+                           .filter("low <> high").select("doc_id", F.lit(True).alias("several")), "several")
+    return (docs.join(several, "doc_id", "left").withColumn("copy", F.when(F.col("several"), print_).otherwise(F.lit(0).cast("long")))
+            .drop("several"))
+
+
 def restore_id(column: str = "doc_id"):
     """The id column with NULL_ID turned back into null."""
     return F.nullif(F.col(column), F.lit(NULL_ID)).alias(column)

@@ -26,8 +26,8 @@ Defined results: null html is empty; an empty page has an empty text; a null url
 is a host of its own; character references are decoded, white space inside a
 block becomes one space, blocks join in page order by one space; unclosed tags,
 comments, scripts and quotes run as browsers do; pages of equal content count
-once in their host's tree; repeated rows are returned each; a null page_id is
-kept; an empty table gives no row; other columns are ignored.
+once in their host's tree; repeated rows are returned each; pages
+of one page_id are each cut by their own host's tree; a null page_id is kept; an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -278,11 +278,11 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
 
 def _paths(batches):
-    """Page rows to (page_key, host, paths of its blocks)."""
+    """Page rows to (page_id, print, host, paths of its blocks)."""
     for batch in batches:
         found = [sorted({signed(p) for _, up, _ in parse(t)[0] for p in up}) for t in batch.column("html").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("host"), pa.array(found, pa.list_(pa.int64()))],
-                                         names=["page_id", "host", "paths"])
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("print"), batch.column("host"), pa.array(found, pa.list_(pa.int64()))],
+                                         names=["page_id", "print", "host", "paths"])
 
 
 def _text(batches):
@@ -303,16 +303,19 @@ def extract(spark: SparkSession, pages: DataFrame, least_importance: float = LEA
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#]*)", 1))
     given = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host.alias("host"),
                          F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    # Pages that share a page_id, or have none, are told apart by host and content.
+    given = given.withColumn("print", F.xxhash64("host", "html"))
     low = shared_table(spark, (
         style_tree(given.select("host", "html"))
         .filter((F.col("n_pages") >= least_pages) & ((F.col("importance") < least_importance) | (F.col("link_share") > link_share)))
         .select("host", "path")), "tree")
     # Pages that hold a low branch; on most sites few paths are low, so few rows meet.
     hosts = low.select("host").distinct()
-    on_page = (given.join(hosts, "host", "left_semi").select("page_id", "host", "html").mapInArrow(_paths, "page_id long, host string, paths array<long>")
-               .select("page_id", "host", F.explode("paths").alias("path")))
-    removed = (on_page.join(low, ["host", "path"]).groupBy("page_id").agg(F.collect_set("path").alias("removed")))
-    return (given.join(removed, given["page_id"].eqNullSafe(removed["page_id"]), "left")
+    on_page = (given.join(hosts, "host", "left_semi").select("page_id", "print", "host", "html")
+               .mapInArrow(_paths, "page_id long, print long, host string, paths array<long>")
+               .select("page_id", "print", "host", F.explode("paths").alias("path")))
+    removed = (on_page.join(low, ["host", "path"]).groupBy("page_id", "print").agg(F.collect_set("path").alias("removed")))
+    return (given.join(removed, given["page_id"].eqNullSafe(removed["page_id"]) & (given["print"] == removed["print"]), "left")
             .select(given["page_id"], "url", "html", "removed").mapInArrow(_text, "page_id long, url string, text string, n_chars long"))
 
 

@@ -29,9 +29,11 @@ Sketches never confirm a link.  Sets are compared as 64-bit shingle hashes.
 
 Defined results: null text is empty; a text without words has n_shingles 0, its
 own component and no link; fewer words than a shingle make one shingle; ties and
-repeated rows: rows with one doc_id are returned each, with one component; a
-null doc_id orders before all others, rows with null count as one document of
-several texts; an empty table gives no row; other columns are ignored.
+repeated rows: rows of one doc_id and text are returned each, with one component
+and kept alike; different texts of one doc_id are documents of their own, ordered
+by a hash; a null doc_id orders before all others; a component's id is its
+smallest doc_id, and of its documents only the first one is kept; an empty table
+gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import blocks_of_groups, id_text, restore_id, segments, shared_table, table
+from rivulet.llm.common import blocks_of_groups, id_text, restore_id, segments, shared_table, table, told_apart
 from rivulet.llm.components import components
 from rivulet.llm.shingles import shingle_set
 
@@ -53,7 +55,7 @@ _RNG = np.random.Generator(np.random.PCG64(66))
 _ODD = _RNG.integers(0, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 64, POSITIONS, dtype=np.uint64)
 
-FEATURES = "doc_id long, n_shingles long, set_a long, set_b long, sketch array<int>"
+FEATURES = "doc_id long, key long, print long, n_shingles long, set_a long, set_b long, sketch array<int>"
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
@@ -72,7 +74,7 @@ def _features(words: int):
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 size, set_a, set_b, sketches = [], [], [], []
-                for text in part.column(1):
+                for text in part.column("text"):
                     shingles = shingle_set(text.as_buffer(), words)
                     size.append(len(shingles))
                     # Two independent sums over the set identify it.
@@ -82,9 +84,9 @@ def _features(words: int):
                     set_b.append(int((odd ^ (odd >> np.uint64(29))).sum(dtype=np.uint64).view(np.int64)))
                     sketches.append(sketch(shingles) if len(shingles) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(size, pa.int64()), pa.array(set_a, pa.int64()), pa.array(set_b, pa.int64()),
+                    [part.column("doc_id"), part.column("key"), part.column("print"), pa.array(size, pa.int64()), pa.array(set_a, pa.int64()), pa.array(set_b, pa.int64()),
                      pa.array(sketches, pa.list_(pa.int32()))],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "sketch"])
+                    names=["doc_id", "key", "print", "n_shingles", "set_a", "set_b", "sketch"])
     return run
 
 
@@ -170,7 +172,7 @@ def _children(node, sketch_col, percent: int):
 
 
 def links(spark: SparkSession, docs: DataFrame, classes: DataFrame, words: int, percent: int, leaf: int = LEAF) -> DataFrame:
-    """Edges (a, b) whose components are those of all links; classes: (rep, n_shingles, sketch)."""
+    """Edges (a, b) whose components are those of all links; docs: (key, text), classes: (rep, n_shingles, sketch), rep a key."""
     roots = F.flatten(F.array(*(_children(F.lit(1000 + t).cast("long"), F.col("sketch"), percent) for t in range(TREES))))
     level = classes.select("rep", F.explode(roots).alias("node"))
     likely = None
@@ -196,28 +198,39 @@ def links(spark: SparkSession, docs: DataFrame, classes: DataFrame, words: int,
     members = (groups.filter(F.col("size") <= leaf).select("key", "rep").unionByName(
         by_node.join(groups.filter(F.col("size") > leaf).select("rep"), "rep").select(F.xxhash64("node").alias("key"), "rep")))
     members = shared_table(spark, members, "members")
-    return (docs.select(F.col("doc_id").alias("rep"), "text").join(members, "rep").select("key", "rep", "text")
+    return (docs.select(F.col("key").alias("rep"), "text").join(members, "rep").select("key", "rep", "text")
             .repartition("key").sortWithinPartitions("key", "rep").mapInArrow(_confirm(words, percent), "a long, b long"))
 
 
-def near_duplicates(spark: SparkSession, documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each document."""
-    docs = id_text(documents)
+def grouped(spark: SparkSession, documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, print, n_shingles, component_id, kept) for each document, ids as longs; print: hash of the text."""
+    # Documents are told apart by a key of one long: doc_id, or a hash where a doc_id has several texts.
+    docs = told_apart(spark, id_text(documents)).select(
+        "doc_id", F.when(F.col("copy") == 0, F.col("doc_id")).otherwise(F.xxhash64("doc_id", "copy")).alias("key"),
+        F.xxhash64("text").alias("print"), "text")
     features = shared_table(spark, docs.mapInArrow(_features(words), FEATURES), "features")
     classes = shared_table(spark, (
         features.filter("n_shingles > 0").groupBy("set_a", "set_b")
-        .agg(F.min(F.struct("doc_id", "n_shingles", "sketch")).alias("first"), F.count("*").alias("copies"))
-        .select("set_a", "set_b", "copies", F.col("first.doc_id").alias("rep"), F.col("first.n_shingles").alias("n_shingles"),
-                F.col("first.sketch").alias("sketch"))), "classes")
+        .agg(F.min(F.struct("doc_id", "key", "n_shingles", "sketch")).alias("first"), F.count("*").alias("copies"))
+        .select("set_a", "set_b", "copies", F.col("first.doc_id").alias("doc_id"), F.col("first.key").alias("rep"),
+                F.col("first.n_shingles").alias("n_shingles"), F.col("first.sketch").alias("sketch"))), "classes")
     edges = links(spark, docs, classes.select("rep", "n_shingles", "sketch"), words, percent)
     root = components(spark, edges)
+    members = (classes.select("set_a", "set_b", "copies", "doc_id", "rep").join(root, F.col("rep") == root["vertex"], "left")
+               .withColumn("root", F.coalesce("root", "rep")))
+    # Keys that are hashes don't order as doc_ids do: the first document of a component is found by both.
+    first = members.groupBy("root").agg(F.min(F.struct("doc_id", "rep")).alias("first"), F.count("*").alias("classes"))
     # Classes of one document without a link need no entry.
-    named = (classes.join(root, classes["rep"] == root["vertex"], "left")
-             .filter("copies > 1 OR root IS NOT NULL").select("set_a", "set_b", F.coalesce("root", "rep").alias("component_id")))
+    named = members.join(first, "root").filter("copies > 1 OR classes > 1").select(
+        "set_a", "set_b", F.col("first.doc_id").alias("component_id"), F.col("first.rep").alias("first_key"))
     return (features.drop("sketch").join(named, ["set_a", "set_b"], "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-            .withColumn("kept", F.col("doc_id") == F.col("component_id"))
-            .select(restore_id("doc_id"), "n_shingles", restore_id("component_id"), "kept"))
+            .select("doc_id", "print", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+                    (F.col("key") == F.coalesce("first_key", "key")).alias("kept")))
+
+
+def near_duplicates(spark: SparkSession, documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for each document."""
+    return grouped(spark, documents, words, percent).select(restore_id("doc_id"), "n_shingles", restore_id("component_id"), "kept")
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

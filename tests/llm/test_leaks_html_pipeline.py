@@ -244,3 +244,13 @@ def test_stages_with_odd_rows(spark, small):
         assert ids == {"language_id": ["1", "1", "4", "None"], "near_dedup": ["1", "2", "3", "4", "5", "None"],
                        "suffix_dedup": ["1", "1", "2", "3", "4", "5", "None"], "decontaminate": ["1", "1", "2", "3", "4", "5", "None"]}[name]
     assert stage("packing")(spark, docs, small).select(F.countDistinct("doc_id")).first()[0] == 5
+
+
+def test_pages_of_one_id_are_cut_each_by_their_own_host(spark):
+    page = lambda k: f"<body><div class='x'>same on all</div><div class='y'><p>own words {k} {k * k} of this page</p></div></body>"
+    rows = [(None, f"http://a.example/{k}", page(k)) for k in range(8)]
+    # A host with nothing to compare keeps the branch that the other host's tree drops.
+    rows += [(None, "http://b.example/0", page(99))]
+    got = {r["url"]: r["text"] for r in html_extract.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == 9 and got["http://b.example/0"].startswith("same on all")
+    assert all(not got[f"http://a.example/{k}"].startswith("same") for k in range(8))

@@ -184,3 +184,43 @@ def test_word_hashes_fold_case_and_split_on_ascii_space():
     b = word_hashes(np.frombuffer(b"the quick", np.uint8))
     assert len(a) == 4 and a[0] == b[0] and a[1] == b[1]
     assert len(shingle_set(b"", 4)) == 0 and len(sequences(a, 9)) == 1
+
+
+# -- different texts of one doc_id --
+
+def several_texts(seed=9):
+    rng = random.Random(seed)
+    prose = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    passage, base = prose(30), prose(120).split()
+    texts = [prose(10) + " " + passage + " " + prose(40), prose(60) + " " + prose(40), prose(10) + " " + passage + " " + prose(20)]
+    near = [" ".join(base), " ".join(base[:-1] + ["other"]), " ".join(["another"] + base[1:])]
+    return texts, near
+
+
+@pytest.mark.parametrize("wide", [suffix_dedup.WIDE, 0])
+@pytest.mark.parametrize("name", [None, 5])
+def test_texts_of_one_id_are_cut_each_by_their_own_repeats(spark, name, wide):
+    texts, _ = several_texts()
+    frame = spark.createDataFrame([(name, t) for t in texts] + [(9, texts[0])], "doc_id long, text string")
+    got = {(r["doc_id"], r["n_bytes"]): r for r in suffix_dedup.remove_repeats(spark, frame, wide=wide).collect()}
+    assert len(got) == 4
+    clean = got[(name, len(texts[1]))]
+    assert clean["n_removed"] == 0 and clean["text"] == texts[1]
+    # One of the two texts with the passage loses it, whichever comes first by hash; a later doc_id loses all.
+    assert got[(9, len(texts[0]))]["n_removed"] == len(texts[0])
+    lost = sorted(got[(name, len(t))]["n_removed"] for t in (texts[0], texts[2]))
+    common = max(n for n in range(len(texts[0])) if any(texts[0][a:a + n] in texts[2] for a in range(len(texts[0]) - n + 1)))
+    assert lost == [0, common]
+
+
+@pytest.mark.parametrize("name", [None, 5])
+def test_near_copies_of_one_id_are_linked(spark, name):
+    import corpus_pipeline
+
+    texts, near = several_texts()
+    frame = spark.createDataFrame([(name, t) for t in texts + near] + [(9, near[0]), (3, None)], "doc_id long, text string")
+    rows = near_dedup.near_duplicates(spark, frame).collect()
+    assert len(rows) == 8 and sum(r["kept"] for r in rows) == 5
+    assert [(r["component_id"], r["kept"]) for r in rows if r["doc_id"] == 9] == [(name, False)]
+    left = [r["text"] for r in corpus_pipeline.near_dedup_stage(spark, frame, "").collect()]
+    assert sorted(t or "" for t in left if t not in near) == sorted(["", *texts]) and sum(t in near for t in left) == 1
