@@ -224,3 +224,27 @@ def test_near_copies_of_one_id_are_linked(spark, name):
     assert [(r["component_id"], r["kept"]) for r in rows if r["doc_id"] == 9] == [(name, False)]
     left = [r["text"] for r in corpus_pipeline.near_dedup_stage(spark, frame, "").collect()]
     assert sorted(t or "" for t in left if t not in near) == sorted(["", *texts]) and sum(t in near for t in left) == 1
+
+
+def test_a_wide_string_sends_a_row_a_block():
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    line = bytes(rng.choice(b"abcdefgh") for _ in range(120))
+    texts = [bytes(rng.choice(b"abcdefgh") for _ in range(50)) + line for _ in range(300)]
+    opened = [[{"bucket": 7, "contexts": 9, "start": 40, "count": 31}]] * len(texts)
+    kinds = pa.list_(pa.struct([("bucket", pa.int64()), ("contexts", pa.int64()), ("start", pa.int32()), ("count", pa.int32())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array([0] * 300, pa.int64()), pa.array(texts, pa.binary()),
+                                        pa.array(opened, kinds)], names=["doc_id", "copy", "text", "open"])
+    rows = [r for b in suffix_dedup._fragments(3)([batch.slice(0, 150), batch.slice(150)]) for r in b.to_pylist()]
+    keys = [(r["bucket"], r["part"]) for r in rows if r["bytes"] is not None]
+    first = {}
+    for d, text in enumerate(texts):
+        for at in range(40, 71):
+            first.setdefault(text[at:at + 100], (d, at))
+    assert len(keys) == len(set(keys)) == len(first)
+    # All other places leave as settled runs: a row for each document, not for each string.
+    settled = [r for r in rows if r["bytes"] is None]
+    assert {(r["doc_id"], at) for r in settled for at in range(r["start"], r["start"] + r["count"])} == {
+        (d, at) for d, text in enumerate(texts) for at in range(40, 71) if first[text[at:at + 100]] != (d, at)}
+    assert len(settled) == 299
