@@ -13,19 +13,21 @@ Training counts pieces of all training texts: a task cuts the words of a batch
 with the public tokenizer and sends one row for each (language, piece), so what is shuffled and collected is bounded by
 languages times the vocabulary (``MOST_LANGUAGES`` checks the former).  Scoring
 only scans: distinct words of a batch go through the forward algorithm once, in
-numpy, all words of a length together.
+numpy, words of like length together, over a rolling window as long as the
+vocabulary's longest piece.
 
 Defined results: null text or text without a letter is ``und`` with score 0, so
 is any text if nothing was learned; rows with null text or language teach
 nothing; ties between languages go to the smaller name; every row is returned,
-repeated ones alike; words over ``LONGEST`` bytes are scored in parts of that
-size; a null doc_id counts as '' in the fold; an empty table gives no row; other
+repeated ones alike; a word of any length is scored whole, by pieces of any
+length; a null doc_id counts as '' in the fold; an empty table gives no row; other
 columns are ignored.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 import re
 
 import numpy as np
@@ -37,11 +39,13 @@ from pyspark.sql import functions as F
 from rivulet.llm.common import byte_encoder, byte_ranks, crc_fold, table, tokenizer_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-UND, LONGEST, SMOOTHING, MOST_LANGUAGES = "und", 48, 0.5, 1000
+UND, SMOOTHING, MOST_LANGUAGES = "und", 0.5, 1000
 #: Distinct words whose scores a task keeps between batches.
 KNOWN = 300_000
-#: Longest piece, in bytes, that a segmentation may use.
-PIECE = 12
+#: Longest piece, in bytes, that a segmentation may use: any of the vocabulary.
+PIECE = math.inf
+#: Words that go through the forward algorithm together.
+TOGETHER = 1 << 12
 _WORD = re.compile(r"[^\W\d_]+")
 _BASE, _SPREAD = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xC2B2AE3D27D4EB4F)
 _SLOTS = 22
@@ -87,10 +91,10 @@ class Model:
 
     @functools.cached_property
     def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
-        """Sorted keys of pieces up to PIECE bytes, where each slot of leading bits starts among them,
+        """Sorted keys of pieces, where each slot of leading bits starts among them,
         their probabilities (the last row is 'no piece'), the fullest slot, and the longest piece."""
         ranks = byte_ranks(tokenizer_path(VOCABULARY, self.folder))
-        pieces = [(p, i) for p, i in ranks.items() if len(p) <= PIECE]
+        pieces = list(ranks.items())
         keys = np.zeros(len(pieces), np.uint64)
         width = max(len(p) for p, _ in pieces)
         data = np.zeros((len(pieces), width), np.uint64)
@@ -112,54 +116,57 @@ class Model:
         """log10 probability (word, language), summed over all segmentations."""
         out = np.zeros((len(words), len(self.languages)))
         length = np.fromiter(map(len, words), np.int64, len(words))
-        for n in np.unique(length).tolist():
-            rows = np.flatnonzero(length == n)
-            for a in range(0, len(rows), 1 << 14):
-                part = rows[a:a + (1 << 14)]
-                data = np.frombuffer(b"".join(words[i] for i in part.tolist()), np.uint8).reshape(-1, n).astype(np.uint64)
-                out[part] = self._forward(data + np.uint64(1))
+        order = np.argsort(-length, kind="stable")
+        for a in range(0, len(words), TOGETHER):
+            part = order[a:a + TOGETHER]
+            out[part] = self._forward([words[i] for i in part.tolist()], length[part])
         return out
 
-    def _forward(self, data: np.ndarray) -> np.ndarray:
+    def _forward(self, words: list[bytes], length: np.ndarray) -> np.ndarray:
+        """Scores of words, the longest first; a step leaves out those that have ended."""
         keys, slots, chance, most, width = self.table
-        nothing = len(chance) - 1
-        count, n = data.shape
-        # Column j holds the chance of the first j bytes, over 10 ** scale.
-        forward = np.zeros((n + 1, count, len(self.languages)))
+        nothing, n = len(chance) - 1, int(length[0])
+        flat, first = np.frombuffer(b"".join(words), np.uint8), np.cumsum(length) - length
+        out = np.zeros((len(words), len(self.languages)))
+        # Slot i % ring holds the chance of the first i bytes, over 10 ** scale: as far back as a piece reaches.
+        ring = min(width, n) + 1
+        forward = np.zeros((ring, len(words), len(self.languages)))
         forward[0] = 1
-        scale = np.zeros((n + 1, count, 1))
-        own = [np.zeros(count, np.uint64) for _ in range(n)]  # hash of bytes i .. j
+        scale = np.zeros((ring, len(words), 1))
+        own = np.zeros((ring, len(words)), np.uint64)  # hash of bytes i .. j
         for j in range(n):
-            top = scale[max(0, j - width + 1):j + 1].max(axis=0)
-            for i in range(max(0, j - width + 1), j + 1):
-                own[i] = own[i] * _BASE + data[:, j]
-                key = own[i] * _SPREAD
-                slot = slots[key >> _SHIFT]
-                at = np.full(count, nothing)
-                for k in range(most):
-                    at = np.where(keys[slot + k] == key, slot + k, at)
-                rows = np.flatnonzero(at != nothing)
+            count = int(np.searchsorted(-length, -j))  # words of over j bytes
+            slot_now, slot_next, used = j % ring, (j + 1) % ring, min(j + 1, ring)
+            own[slot_now] = 0
+            hashes = own[:used, :count]
+            hashes *= _BASE
+            hashes += flat[first[:count] + j].astype(np.uint64) + np.uint64(1)
+            key = hashes * _SPREAD
+            slot = slots[key >> _SHIFT]
+            at = np.full(key.shape, nothing)
+            for m in range(most):
+                same = keys[slot + m] == key
+                at[same] = slot[same] + m
+            begins = [k for k in range(used) if k != slot_next]
+            top = scale[begins, :count].max(axis=0)
+            new = np.zeros((count, len(self.languages)))
+            for k in begins:
+                rows = np.flatnonzero(at[k] != nothing)
                 if len(rows):
-                    forward[j + 1, rows] += forward[i, rows] * (chance[at[rows]] * 10.0 ** (scale[i, rows] - top[rows]))
-            high = forward[j + 1].max(axis=1, keepdims=True)
-            forward[j + 1] /= high
-            scale[j + 1] = top + np.log10(high)
-        return np.log10(np.maximum(forward[n], 1e-300)) + scale[n]
+                    new[rows] += forward[k, rows] * (chance[at[k, rows]] * 10.0 ** (scale[k, rows] - top[rows]))
+            high = new.max(axis=1, keepdims=True)
+            forward[slot_next, :count] = new / high
+            scale[slot_next, :count] = top + np.log10(high)
+            ended = slice(int(np.searchsorted(-length, -j - 1)), count)  # words of j + 1 bytes
+            out[ended] = np.log10(np.maximum(forward[slot_next, ended], 1e-300)) + scale[slot_next, ended]
+        return out
 
     def _distinct_scores(self, words: list[str]) -> np.ndarray:
         """log10 probability (word, language); words seen before come from a bounded store."""
         if len(self.known) > KNOWN:
             self.known.clear()
         new = [w for w in words if w not in self.known]
-        parts, owner = [], []
-        for k, word in enumerate(new):
-            data = (" " + word).encode()
-            for at in range(0, len(data), LONGEST):
-                parts.append(data[at:at + LONGEST])
-                owner.append(k)
-        scores = np.zeros((len(new), len(self.languages)))
-        if new:
-            np.add.at(scores, owner, self.word_scores(parts))
+        scores = self.word_scores([(" " + w).encode() for w in new])
         self.known.update(zip(new, scores, strict=True))
         return np.array([self.known[w] for w in words])
 

@@ -272,3 +272,24 @@ def test_shifted_stays_in_its_text(lengths):
     out = lm_score._shifted(values, starts, 2, -1)
     for s, n in zip(starts.tolist(), lengths.tolist()):
         assert out[s:s + min(2, n)].tolist() == [-1] * min(2, n) and out[s + 2:s + n].tolist() == values[s:s + n][:-2].tolist()
+
+
+def test_long_pieces_and_long_words_are_segmented_in_all_ways():
+    ranks = byte_ranks(tokenizer_path(language_id.VOCABULARY))
+    rng = np.random.default_rng(7)
+    model = language_id.Model(["a", "b"], rng.integers(0, 50, (len(ranks), 2)).astype(float))
+    longest = max(map(len, ranks))
+    words = ["international", "relationship", "x", "und", "слово" * 11, "日本語の文章" * 9, "internationalrelationship" * 12]
+    for word, got in zip(words, model._distinct_scores(words), strict=True):
+        data = (" " + word).encode()
+        total = [np.ones(2)] + [np.zeros(2) for _ in data]
+        scale = 0
+        for j in range(1, len(data) + 1):
+            for i in range(max(0, j - longest), j):
+                if data[i:j] in ranks:
+                    total[j] = total[j] + total[i] * model.chance[ranks[data[i:j]]]
+            if total[j].max() < 1e-100:  # all chances so far over one power of ten
+                total = [t * 1e80 for t in total]
+                scale += 80
+        assert np.allclose(got, np.log10(total[-1]) - scale, rtol=1e-9)
+    assert any(len(p) > 12 for p in ranks if b" international".startswith(p))
