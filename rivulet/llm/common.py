@@ -72,19 +72,21 @@ def restore_id(column: str = "doc_id"):
     return F.nullif(F.col(column), F.lit(NULL_ID)).alias(column)
 
 
-def shared_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def shared_table(spark: SparkSession, df: DataFrame, name: str, free: bool = True) -> DataFrame:
     """Write ``df`` as Parquet into the cluster's shared folder and read it back.
 
     Cuts lineage: a lost executor later recomputes from these files only.  The
     path is new on every call, so a retried query never reads a half-written one.
     The finished job's shuffle files go when the driver collects its garbage; that
-    is asked for here rather than left to the next periodic collection.
+    is asked for here rather than left to the next periodic collection, unless ``free``
+    is off, for jobs that shuffle little.
     """
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     schema = df.schema
     del df
-    release(spark)
+    if free:
+        release(spark)
     return spark.read.schema(schema).parquet(path)
 
 
