@@ -4,10 +4,11 @@ A sample of the pieces proposes: phrases that are frequent in it, at a lowered
 threshold, length by length.  A pass over all texts then counts what was proposed
 together with its negative border: every phrase that was not proposed but whose two
 parts (without its last, without its first word) were; at length one, every other
-word.  A border phrase that turns out frequent breaks the proposal: another pass
-counts the phrases that it newly makes possible, and so on until a pass finds no new
-one.  Every phrase that is frequent then has been counted, as all its parts are
-frequent too, whatever the sample was.
+word.  A border phrase that turns out frequent breaks the proposal: an expansion pass
+counts the phrases that it newly makes possible, and, as their counts are not known
+yet, also the longer ones that these would make possible.  That closes it: by
+induction on the length, every frequent phrase has been counted, as its parts are
+frequent or were counted in the same pass, whatever the sample was.
 
 Passes count by 64-bit hashes; which phrases a task sends is decided by a bitmap of at
 most ``BITMAP`` bits, the only thing broadcast.  Two phrases with one hash and false
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rivulet.llm.common import shared_table, table
-from rivulet.llm.shingles import scramble
+from rivulet.llm.shingles import scramble, span_hashes
 
 #: Words of the longest phrase, occurrences of a frequent one, percent of a phrase's
 #: occurrences at which a longer one replaces it, phrases listed a language.
@@ -47,7 +48,7 @@ SAMPLE = 8
 MARGIN = 2.0
 #: Most bits of a membership bitmap; bytes of text that are looked at together.
 BITMAP = 1 << 28
-BLOCK = 8 << 20
+BLOCK = 2 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -114,29 +115,38 @@ class Block:
         lang = np.repeat(lang, np.diff(np.searchsorted(begin, starts)))
         letters, offsets = _LOWER[data[kind == 0]], np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int64)
         coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
-        self.words = coded.dictionary.to_pylist()
-        pair = lang * max(1, len(self.words)) + coded.indices.to_numpy()
-        there = np.zeros(len(self.langs) * max(1, len(self.words)), bool)
+        _, at, letters_ = coded.dictionary.buffers()
+        at = np.frombuffer(at, np.int64)[:len(coded.dictionary) + 1] if len(begin) else np.zeros(1, np.int64)
+        words = span_hashes(np.frombuffer(letters_, np.uint8)[:at[-1]] if at[-1] else np.zeros(0, np.uint8), at[:-1], at[1:])
+        pair = lang * max(1, len(words)) + coded.indices.to_numpy()
+        there = np.zeros(len(self.langs) * max(1, len(words)), bool)
         there[pair] = True
         self.code = (np.cumsum(there) - 1)[pair]
-        self.lang_of, self.word_of = np.divmod(np.flatnonzero(there), max(1, len(self.words)))
-        words = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words], np.uint64)
+        self.lang_of, word_of = np.divmod(np.flatnonzero(there), max(1, len(words)))
         names = np.array([xxhash.xxh3_64_intdigest(n.encode(), 1) for n in self.langs], np.uint64)
-        self.hash = scramble(words[self.word_of] + names[self.lang_of] * _MIX) if len(words) else words
+        self.hash = scramble(words[word_of] + names[self.lang_of] * _MIX) if len(words) else words
+        self._letters, self._lengths = letters, end - begin
 
-    def phrase(self, at: int, k: int) -> str:
-        return b" ".join(self.words[self.word_of[c]] for c in self.code[at:at + k]).decode()
+    def phrases_at(self, places: np.ndarray, k: int) -> pa.Array:
+        """The k words at each place, one space between them."""
+        ends = np.cumsum(self._lengths + 1)
+        joined = np.full(int(ends[-1]) if len(ends) else 0, 0x20, np.uint8)
+        inside = np.ones(len(joined), bool)
+        inside[ends - 1] = False
+        joined[inside] = self._letters
+        whole, begin, end = joined.tobytes(), (ends - self._lengths - 1)[places].tolist(), (ends - 1)[places + k - 1].tolist()
+        return pa.array([whole[a:b] for a, b in zip(begin, end)], pa.binary()).cast(pa.string())
 
-    def lang(self, at: int) -> str:
-        return self.langs[self.lang_of[self.code[at]]]
+    def langs_at(self, places: np.ndarray) -> pa.Array:
+        return pa.array(self.langs[self.lang_of[self.code[places]]].tolist(), pa.string())
 
 
-def phrases(block: Block, known: Members, counted: Members | None, longest: int):
+def phrases(block: Block, known: Members, counted: Members | None, longest: int, expand: bool = False):
     """For each length k: hashes of the block's different phrases, their counts, their first places, and which are new.
 
     A phrase of several words is looked at if both its parts are ``known``; it is new
     unless it was also looked at with ``counted`` in the place of known.  All words are
-    looked at, and new if counted is None.
+    looked at, and new if counted is None.  ``expand``: new phrases pass for known ones.
     """
     n, ids, hashes = len(block.code), block.code, block.hash
     places = np.arange(n)
@@ -149,7 +159,7 @@ def phrases(block: Block, known: Members, counted: Members | None, longest: int)
         yield k, marked, np.bincount(codes, minlength=len(hashes)), first, ~old
         if k == longest or not len(places):
             return
-        good = known(marked)
+        good = known(marked) | ~old if expand else known(marked)
         before = old & counted(marked) if counted is not None else old
         # Places of two phrases that follow each other inside a piece.
         here = places[(places + k < n) & good[codes]]
@@ -191,34 +201,37 @@ def blocks(batches, size: int = BLOCK):
 
 # ---------------------------------------------------------------- passes
 
-def frequent(spark: SparkSession, texts: DataFrame, known: DataFrame | None, least: int, longest: int) -> DataFrame:
+def frequent(spark: SparkSession, texts: DataFrame, proposal: DataFrame | None, least: int, longest: int) -> DataFrame:
     """Hashes ``h`` of all phrases with ``least`` occurrences in ``texts`` (perhaps of a few others), a phrase's length in the low bits.
 
-    ``known``: the proposal; without one, each length is proposed by the one before.
+    With a proposal: a pass over it and its border, and one more if the border has
+    frequent phrases.  Without one, a pass a length, each proposed by those before.
     """
     context = spark.sparkContext
-    found, bits, past = None, context.broadcast(members(known) if known is not None else b""), None
+    known, past, found = proposal, None, None
+    bits = context.broadcast(members(known) if known is not None else b"")
     while True:
-        def count(batches, bits=bits, past=past):
+        expand = proposal is not None and past is not None
+
+        def count(batches, bits=bits, past=past, expand=expand):
             now, before = Members(bits.value), Members(past.value) if past is not None else None
             for block in blocks(batches):
-                each = [(h[new], c[new]) for _, h, c, _, new in phrases(block, now, before, longest)]
+                each = [(h[new], c[new]) for _, h, c, _, new in phrases(block, now, before, longest, expand)]
                 hashes, counts = (np.concatenate(x) for x in zip(*each))
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], names=["h", "c"])
         rows = texts.mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= least)
         new = shared_table(spark, rows.select("h"), "phrases-found")
+        found = new if found is None else shared_table(spark, found.unionByName(new).distinct(), "phrases-known", free=False)
         # Frequent phrases that were not proposed, and can be part of a longer one.
-        border = new.filter((F.col("h").bitwiseAND(7)) < longest)
+        border = new.filter(F.col("h").bitwiseAND(7) < longest)
         if known is not None:
             border = border.join(known, "h", "left_anti")
-        found = new if found is None else found.unionByName(new).distinct()
         if past is not None:
             past.destroy()
-        if border.isEmpty():
+        if expand or border.isEmpty():
             bits.destroy()
             return found
-        known = found = shared_table(spark, found, "phrases-known", free=False)
-        bits, past = context.broadcast(members(known)), bits
+        known, bits, past = found, context.broadcast(members(found)), bits
 
 
 def sampled(texts: DataFrame, share: int) -> DataFrame:
@@ -242,6 +255,10 @@ def sampled(texts: DataFrame, share: int) -> DataFrame:
 COUNTED = "lang string, phrase string, k int, f long"
 
 
+def _counted(lang: pa.Array, phrase: pa.Array, k: int, f: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([lang, phrase, pa.array(np.full(len(f), k, np.int32)), pa.array(f.astype(np.int64))], names=["lang", "phrase", "k", "f"])
+
+
 def exact_counts(spark: SparkSession, texts: DataFrame, hashes: DataFrame, longest: int) -> DataFrame:
     """(lang, phrase, k, f) of all phrases whose hash is among ``hashes``; k = 0: all words of the language."""
     bits = spark.sparkContext.broadcast(members(hashes))
@@ -249,19 +266,13 @@ def exact_counts(spark: SparkSession, texts: DataFrame, hashes: DataFrame, longe
     def count(batches):
         known = Members(bits.value)
         for block in blocks(batches):
-            out = {"lang": [], "phrase": [], "k": [], "f": []}
             for k, h, counts, first, _ in phrases(block, known, None, longest):
                 if k == 1:
                     totals = np.bincount(block.lang_of, counts, len(block.langs)).astype(np.int64)
-                    for lang, total in zip(block.langs, totals.tolist()):
-                        for name, value in zip(out, (lang, "", 0, total)):
-                            out[name].append(value)
+                    yield _counted(pa.array(block.langs.tolist(), pa.string()), pa.array([""] * len(totals)), 0, totals)
                 keep = np.flatnonzero(known(h))
-                out["lang"] += [block.lang(i) for i in first[keep]]
-                out["phrase"] += [block.phrase(i, k) for i in first[keep]]
-                out["k"] += [k] * len(keep)
-                out["f"] += counts[keep].tolist()
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32()), ("f", pa.int64())]))
+                places = first[keep]
+                yield _counted(block.langs_at(places), block.phrases_at(places, k), k, counts[keep])
     return texts.mapInArrow(count, COUNTED).groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f"))
 
 
