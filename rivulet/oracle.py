@@ -387,6 +387,26 @@ for _t in ("pedidos", "produtos", "leads"):
     SQL[f"cdc_sink_{_t}"] = SQL[f"cdc_replica_{_t}"]
 SQL["cdc_sink_control"] = SQL["cdc_control_table"]
 
+# Claims on order numbers: which one holds is told by the order's id alone.
+SQL["cdc_unique_pedidos"] = with_tables("pedidos") + """
+select id, case when id % 22 = 0 then numero_pedido || '-b' else numero_pedido end as numero_pedido,
+  case when id % 13 <> 0 then status end as status
+from pedidos where id % 13 <> 0 or id % 22 = 0
+union all
+select id + 2000000000, numero_pedido, 'claim 2' from pedidos where id % 22 = 0 and id % 13 <> 0
+union all
+select id + 3000000000, numero_pedido, 'claim 3' from pedidos where id % 11 = 0 and id % 13 = 0
+"""
+
+SQL["cdc_unique_violations"] = with_tables("pedidos") + f"""
+select 'dbserver1.public.pedidos' as topic, cast((id + n * 1000000000) % 4 as integer) as partition,
+  step * {_STEP} + id + n * 1000000000 as "offset", 'unique_violation' as reason
+from pedidos, (values (1, 3), (2, 5), (3, 7)) as c(n, step)
+where id % 11 = 0 and case n when 1 then id % 13 <> 0 when 2 then id % 13 = 0 or id % 22 <> 0 else id % 13 <> 0 end
+"""
+
+SQL["cdc_replica_key_range"] = f"select * from {sub('cdc_replica_pedidos')} where id between 1000 and 5000"
+
 SQL["q9_control_by_count"] = f"""
 select topic, event_count, last_event from {sub('cdc_control_table')} c
 """

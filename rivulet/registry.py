@@ -103,8 +103,8 @@ def cdc_stream_replica_clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(_streamed_sink(spark, sf_dir).state("clientes"))
 
 
-def _streamed_sink(spark: SparkSession, sf_dir: str):
-    """The sink after the whole log has gone through a streaming query."""
+def _streamed_sink(spark: SparkSession, sf_dir: str, log=None, **options):
+    """The sink after the whole log (of ``log(root)``) has gone through a streaming query."""
     import uuid
 
     from rivulet.schemas import CHANGE_EVENT
@@ -115,11 +115,11 @@ def _streamed_sink(spark: SparkSession, sf_dir: str):
 
     ensure_conf(spark)
     base = f"{checkpoint_dir(spark).rstrip('/')}/cdc-{uuid.uuid4().hex}"
-    steps = change_log_steps(fixture_root(spark, sf_dir))
+    steps = (log or change_log_steps)(fixture_root(spark, sf_dir))
     stage_log(steps, f"{base}/log")
     # About four micro-batches in all, with a compaction on the way.
     files = len(spark.read.schema(CHANGE_EVENT).json(f"{base}/log").inputFiles())
-    sink = SnapshotSink(spark, f"{base}/replica", compact_every=3)
+    sink = SnapshotSink(spark, f"{base}/replica", compact_every=3, **options)
     q = start(read_changes(spark, "files", f"{base}/log", max_per_trigger=-(-files // 4)), sink,
               f"{base}/checkpoint", available_now=True)
     q.awaitTermination()
@@ -140,6 +140,32 @@ for _t in ("pedidos", "produtos", "leads", "control", "quarantine"):
     register(f"cdc_sink_{_t}")(_sink_query(_t))
 
 
+@register("cdc_unique_pedidos")
+def cdc_unique_pedidos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders after a log with claims on each other's numbers, in several micro-batches with the UNIQUE column enforced."""
+    from rivulet.streaming.changelog import unique_log_steps
+    sink = _streamed_sink(spark, sf_dir, unique_log_steps, unique=True)
+    return sink.state("pedidos").select("id", "numero_pedido", "status")
+
+
+@register("cdc_unique_violations")
+def cdc_unique_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log in one batch: the claims that are rejected."""
+    from functools import reduce
+
+    from rivulet.streaming.cdc import quarantine
+    from rivulet.streaming.changelog import unique_log_steps
+    ensure_conf(spark)
+    log = reduce(DataFrame.unionByName, unique_log_steps(fixture_root(spark, sf_dir)))
+    return quarantine(log, unique=True).select("topic", "partition", "offset", "reason")
+
+
+@register("cdc_replica_key_range")
+def cdc_replica_key_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of a range of keys, from the runs that may hold one only."""
+    return comparable(_streamed_sink(spark, sf_dir).state("pedidos", keys=(1000, 5000)))
+
+
 # ---------------------------------------------------------------- serving (Q1-Q12)
 
 def _source(spark: SparkSession, sf_dir: str):

@@ -12,11 +12,14 @@ Pipeline per micro-batch, all on executors:
    later.  ``max`` is a partial aggregate, so a key holding a third of the
    events is pre-folded in every map task before the shuffle.
 4. ``SnapshotSink``: merge-on-read replica; a batch appends its folded keys, a
-   read merges them by the same fold, compaction rewrites now and then (S7, C16).
+   read merges them by the same fold, levels of like-sized runs are merged (S7, C16).
 """
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,11 +32,19 @@ from rivulet.operators import rules
 EPOCH_COLS = tuple(sorted(schemas.EPOCH_DAY_COLS | schemas.EPOCH_TS_COLS))
 EPOCH_KINDS = ", ".join(f"{c} variant" for c in EPOCH_COLS)
 
-TYPED_REASONS = ("bad_key", "null_key", "bad_value")
+TYPED_REASONS = ("bad_key", "null_key", "bad_value", "unique_violation")
 CONTROL_DDL = "topic string, last_offset long, last_event timestamp, event_count long"
 
 NO_DELETE = -1      # sorts below every real offset
 
+MANIFEST = re.compile(r"v=(\d+)\.(\d+)\.json")
+
+# The replica's UNIQUE columns besides the primary key.
+ENFORCED: dict[str, str] = {
+    "produtos": "codigo_produto",
+    "pedidos": "numero_pedido",
+}
+
 # Replica VARCHAR limits (longer values fail the insert).
 REPLICA_LENGTHS: dict[str, dict[str, int]] = {
     "clientes": {"nome": 200, "email": 200, "telefone": 30, "cpf": 20, "status": 30,
@@ -268,6 +279,16 @@ def fold(applied: DataFrame, route: schemas.Route, order: str = "offset") -> Dat
     return rows_of_keys(fold_keys(applied, route, order), route)
 
 
+def checked_events(parsed: DataFrame, route: schemas.Route, ts_unit: str = "micros", unique: bool = False,
+                   held: DataFrame | None = None) -> DataFrame:
+    """``typed_events``, with the table's UNIQUE column enforced if asked for (``held``: folded keys before the events)."""
+    typed = typed_events(parsed, route, ts_unit)
+    if not unique or route.table not in ENFORCED:
+        return typed
+    from rivulet.streaming.unique import enforce
+    return enforce(typed, route, held)
+
+
 class TableStates(Mapping[str, DataFrame]):
     """table -> folded state, each plan built on first access.
 
@@ -275,10 +296,10 @@ class TableStates(Mapping[str, DataFrame]):
     analysing) the typed projections and folds of the others.
     """
 
-    def __init__(self, events: DataFrame, routes: dict[str, schemas.Route], ts_unit: str):
+    def __init__(self, events: DataFrame, routes: dict[str, schemas.Route], ts_unit: str, unique: bool = False):
         self._all = routes
         self._routes = {r.table: r for r in routes.values()}
-        self._events, self._ts_unit = events, ts_unit
+        self._events, self._ts_unit, self._unique = events, ts_unit, unique
         self._parsed: DataFrame | None = None
         self._states: dict[str, DataFrame] = {}
 
@@ -287,7 +308,7 @@ class TableStates(Mapping[str, DataFrame]):
             route = self._routes[table]
             if self._parsed is None:
                 self._parsed = parse_events(self._events, self._all)
-            self._states[table] = fold(typed_events(self._parsed, route, self._ts_unit), route)
+            self._states[table] = fold(checked_events(self._parsed, route, self._ts_unit, self._unique), route)
         return self._states[table]
 
     def __iter__(self):
@@ -298,9 +319,12 @@ class TableStates(Mapping[str, DataFrame]):
 
 
 def apply_changes(events: DataFrame, routes: dict[str, schemas.Route] = schemas.ROUTES,
-                  ts_unit: str = "micros") -> Mapping[str, DataFrame]:
-    """Batch form: fold a whole change log into one state per table (lazily per table)."""
-    return TableStates(events, routes, ts_unit)
+                  ts_unit: str = "micros", unique: bool = False) -> Mapping[str, DataFrame]:
+    """Batch form: fold a whole change log into one state per table (lazily per table).
+
+    ``unique``: events that break a UNIQUE column of the replica do not apply.
+    """
+    return TableStates(events, routes, ts_unit, unique)
 
 
 def rows_where(df: DataFrame, cond: Column, cols: list[str]) -> DataFrame:
@@ -328,10 +352,10 @@ def rejected(parsed: DataFrame, typed: Iterable[DataFrame]) -> DataFrame:
 
 
 def quarantine(events: DataFrame, routes: dict[str, schemas.Route] = schemas.ROUTES,
-               ts_unit: str = "micros") -> DataFrame:
+               ts_unit: str = "micros", unique: bool = False) -> DataFrame:
     """Events that do not apply, with the reason."""
     parsed = parse_events(events, routes)
-    return rejected(parsed, [typed_events(parsed, r, ts_unit) for r in routes.values()])
+    return rejected(parsed, [checked_events(parsed, r, ts_unit, unique) for r in routes.values()])
 
 
 def control_counts(events: DataFrame, routes: dict[str, schemas.Route] = schemas.ROUTES,
@@ -376,9 +400,10 @@ def versions_under(spark: SparkSession, path: str) -> list[int]:
     for name in names:
         if name.startswith((".", "_")):
             continue
-        if not name.startswith("v=") or not name[2:].isdigit():
+        version = re.fullmatch(r"v=(\d+)(-[0-9a-f]+)?", name)
+        if not version:
             raise ValueError(f"{path} holds {name!r}, which the sink didn't write")
-        out.append(int(name[2:]))
+        out.append(int(version[1]))
     return sorted(out)
 
 
@@ -387,32 +412,95 @@ class SnapshotSink:
 
     Layout::
 
-        <root>/<table>/delta/v=<batch>/   the batch's events folded to a row per key
-        <root>/<table>/base/v=<batch>/    everything up to and including that batch
-        <root>/_control/v=<batch>/        accounting; written last, so it commits the batch
-        <root>/_quarantine/v=<batch>/     events that do not apply
-
-    A batch appends its own keys, whatever the table's size.  A read merges the
-    newest base with the deltas after it by the fold's own maxima.  ``compact``
-    writes a new base once ``compact_every`` deltas have gathered; ``expire``
-    removes what the newest bases replace.  Both are ordinary Spark jobs whose
-    tasks are sized by the shuffle, not by a fixed number of buckets.
-
-    Only versions with a control folder count, so a batch that broke off is not
-    read, and its replay overwrites it.  A batch id below the newest commit is
-    refused: it comes from a checkpoint that does not belong to this root.
+        <root>/<table>/delta/v=<batch>/    a run: the batch's events folded to a row per key
+        <root>/<table>/base/v=<batch>-.../ a run merged from several
+        <root>/_control/v=<batch>/         accounting as of the batch
+        <root>/_quarantine/v=<batch>/      the batch's events that do not apply
+        <root>/_manifest/v=<batch>.<n>.json  what is live; the n-th after that batch
+        <root>/_staging/                   what is being written
+
+    Every folder is written under ``_staging`` and renamed when its job is done, and
+    none is ever written again.  A manifest names all live runs with their key range;
+    its rename is the commit, of a batch or of a compaction.  What no manifest names is
+    not read, so a job that breaks off anywhere leaves the last answer.  A batch that is
+    committed is not applied again; one that broke off is, beside its own remains.  A
+    batch id below the newest commit is refused: it comes from a checkpoint that does
+    not belong to this root.  One writer at a time.
+
+    A batch appends its own keys, whatever the table's size.  A read merges the live
+    runs by the fold's own maxima.  ``compact_every`` runs of a level are merged into
+    one of the next (a run whose keys no other one of its level has moves up as it
+    is), so a row is written again once a level: the levels grow with the logarithm of
+    the table.  ``compact`` merges everything, ``expire`` removes what is not live.
     """
 
     def __init__(self, spark: SparkSession, root: str, compact_every: int = 16,
-                 routes: dict[str, schemas.Route] = schemas.ROUTES, ts_unit: str = "micros"):
+                 routes: dict[str, schemas.Route] = schemas.ROUTES, ts_unit: str = "micros",
+                 unique: bool = False):
         self.spark, self.root, self.compact_every = spark, root.rstrip("/"), compact_every
-        self.routes, self.ts_unit = routes, ts_unit
+        self.routes, self.ts_unit, self.unique = routes, ts_unit, unique
         self._by_table = {r.table: r for r in routes.values()}
 
+    # -- manifests
+    def _manifests(self) -> list[tuple[int, int]]:
+        """(batch, n) of the manifests, ascending."""
+        versions_under(self.spark, f"{self.root}/_control")     # raises if others write here
+        fs, folder = _filesystem(self.spark, f"{self.root}/_manifest")
+        if not fs.exists(folder):
+            return []
+        names = [MANIFEST.fullmatch(s.getPath().getName()) for s in fs.listStatus(folder)]
+        return sorted((int(m[1]), int(m[2])) for m in names if m)
+
+    def _manifest(self, before: int | None = None) -> dict:
+        """The newest manifest (of a batch older than ``before``), or an empty one."""
+        found = [m for m in self._manifests() if before is None or m[0] < before]
+        if not found:
+            return {"batch": -1, "n": -1, "runs": {}, "quarantine": [], "control": None, "applied": {}}
+        return self._load(*found[-1])
+
+    def _load(self, batch: int, n: int) -> dict:
+        fs, path = _filesystem(self.spark, f"{self.root}/_manifest/v={batch}.{n}.json")
+        stream = fs.open(path)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _publish(self, manifest: dict) -> None:
+        """Make a manifest the newest one, in one rename."""
+        staged = f"{self.root}/_staging/{uuid.uuid4().hex}.json"
+        fs, path = _filesystem(self.spark, staged)
+        stream = fs.create(path, False)
+        try:
+            stream.write(bytearray(json.dumps(manifest).encode()))
+        finally:
+            stream.close()
+        self._move(staged, f"_manifest/v={manifest['batch']}.{manifest['n']}.json", fresh=True)
+
+    def _move(self, staged: str, place: str, fresh: bool = False) -> str:
+        """Rename a finished file or folder to ``place`` under the root; a folder's name is changed if it is taken."""
+        fs, source = _filesystem(self.spark, staged)
+        _, target = _filesystem(self.spark, f"{self.root}/{place}")
+        if fs.exists(target):
+            if fresh:
+                raise FileExistsError(f"{self.root}/{place}: another writer was faster")
+            place = f"{place}-{uuid.uuid4().hex[:12]}"
+            _, target = _filesystem(self.spark, f"{self.root}/{place}")
+        fs.mkdirs(target.getParent())
+        if not fs.rename(source, target):
+            raise OSError(f"can't rename {staged} to {self.root}/{place}")
+        return place
+
+    def _write(self, df: DataFrame, place: str) -> str:
+        """Write a folder and give it its name once it is whole; returns where it is, under the root."""
+        staged = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        df.write.parquet(staged)
+        return self._move(staged, place)
+
     # -- reading
     def commits(self) -> list[int]:
         """Committed batch ids."""
-        return versions_under(self.spark, f"{self.root}/_control")
+        return sorted({batch for batch, _ in self._manifests()})
 
     def _key_schema(self, route: schemas.Route) -> T.StructType:
         kinds = {f.name: f.dataType for f in schemas.SCHEMAS[route.table].fields}
@@ -421,28 +509,29 @@ class SnapshotSink:
         return T.StructType([T.StructField("key", kinds[route.pk]), T.StructField("ld", T.LongType()),
                              T.StructField("lu", T.LongType()), *last])
 
-    def _keys(self, table: str, before: int | None) -> tuple[DataFrame, int]:
-        """Merged keys as of the newest commit (older than ``before``), and the deltas read."""
-        route = self._by_table[table]
-        commits = [v for v in self.commits() if before is None or v < before]
-        base = f"{self.root}/{table}"
-        bases = [v for v in versions_under(self.spark, f"{base}/base") if v in commits]
-        newest = bases[-1] if bases else -1
-        deltas = [v for v in versions_under(self.spark, f"{base}/delta") if v in commits and v > newest]
-        paths = [f"{base}/delta/v={v}" for v in deltas] + ([f"{base}/base/v={newest}"] if bases else [])
-        schema = self._key_schema(route)
-        if not paths:
-            return self.spark.createDataFrame([], schema), 0
-        return merge_keys(self.spark.read.schema(schema).parquet(*paths)), len(deltas)
-
-    def state(self, table: str, before: int | None = None) -> DataFrame:
-        """Replica rows as of the newest committed batch (older than ``before``)."""
-        return rows_of_keys(self._keys(table, before)[0], self._by_table[table])
+    def _read(self, table: str, runs: list[dict]) -> DataFrame:
+        """Merged keys of some runs."""
+        schema = self._key_schema(self._by_table[table])
+        if not runs:
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).parquet(*[f"{self.root}/{r['path']}" for r in runs])
+        return merge_keys(rows) if len(runs) > 1 else rows
+
+    def state(self, table: str, before: int | None = None, keys: tuple[int, int] | None = None) -> DataFrame:
+        """Replica rows as of the newest committed batch (older than ``before``).
+
+        ``keys``: only rows with a key from the first to the second; runs without any are not opened.
+        """
+        route, runs = self._by_table[table], self._manifest(before)["runs"].get(table, [])
+        if keys is None:
+            return rows_of_keys(self._read(table, runs), route)
+        rows = self._read(table, [r for r in runs if r["low"] <= keys[1] and r["high"] >= keys[0]])
+        return rows_of_keys(rows.filter(F.col("key").between(*keys)), route)
 
     def control(self, before: int | None = None) -> DataFrame | None:
         """Accounting per topic as of the newest commit (older than ``before``)."""
-        commits = [v for v in self.commits() if before is None or v < before]
-        return self.spark.read.schema(CONTROL_DDL).parquet(f"{self.root}/_control/v={commits[-1]}") if commits else None
+        place = self._manifest(before)["control"]
+        return self.spark.read.schema(CONTROL_DDL).parquet(f"{self.root}/{place}") if place else None
 
     def totals(self) -> dict[str, int]:
         """Applied events per topic since the first batch (C14), from the control table."""
@@ -451,8 +540,7 @@ class SnapshotSink:
 
     def quarantine(self) -> DataFrame | None:
         """Events of committed batches that did not apply."""
-        commits = self.commits()
-        paths = [f"{self.root}/_quarantine/v={v}" for v in versions_under(self.spark, f"{self.root}/_quarantine") if v in commits]
+        paths = [f"{self.root}/{place}" for place in self._manifest()["quarantine"]]
         ddl = "topic string, partition int, offset long, value string, reason string"
         return self.spark.read.schema(ddl).parquet(*paths) if paths else None
 
@@ -485,35 +573,44 @@ class SnapshotSink:
 
     def write_batch(self, events: DataFrame, batch_id: int) -> dict[str, int]:
         """Apply one micro-batch of change events; returns applied events per topic."""
-        commits = self.commits()
-        if commits and batch_id < commits[-1]:
-            raise ValueError(f"batch {batch_id} comes after batch {commits[-1]} at {self.root}: "
+        last = self._manifest()
+        if batch_id < last["batch"]:
+            raise ValueError(f"batch {batch_id} comes after batch {last['batch']} at {self.root}: "
                              "this checkpoint belongs to another root")
+        if batch_id == last["batch"]:
+            return last["applied"]
+        runs = {table: list(last["runs"].get(table, [])) for table in self._by_table}
+        quarantine = list(last["quarantine"])
         parsed = parse_events(events, self.routes).persist()
-        typed = {r.table: typed_events(parsed, r, self.ts_unit).persist() for r in self.routes.values()}
+        typed = {r.table: checked_events(parsed, r, self.ts_unit, self.unique,
+                                         self._read(r.table, runs[r.table]) if self.unique and runs[r.table] else None).persist()
+                 for r in self.routes.values()}
         try:
             stats = self._batch_stats(parsed, typed)
             for route in self.routes.values():
                 if any(r["applied"] for r in stats if r["table"] == route.table):
-                    (fold_keys(typed[route.table], route).write.mode("overwrite")
-                     .parquet(f"{self.root}/{route.table}/delta/v={batch_id}"))
+                    runs[route.table].append(self._run(fold_keys(typed[route.table], route), route.table,
+                                                       f"delta/v={batch_id}", 0, batch_id, batch_id))
             if sum(r["rejected"] for r in stats) > 0:
-                (rejected(parsed, typed.values()).write.mode("overwrite")
-                 .parquet(f"{self.root}/_quarantine/v={batch_id}"))
-            counts = self._commit(stats, batch_id)
+                quarantine.append(self._write(rejected(parsed, typed.values()), f"_quarantine/v={batch_id}"))
+            counts = self._commit(stats, batch_id, {"runs": runs, "quarantine": quarantine})
         finally:
             for t in typed.values():
                 t.unpersist()
             parsed.unpersist()
         for table in self._by_table:
-            deltas = [v for v in versions_under(self.spark, f"{self.root}/{table}/delta") if v in (*commits, batch_id)]
-            bases = versions_under(self.spark, f"{self.root}/{table}/base")
-            if len([v for v in deltas if not bases or v > bases[-1]]) >= self.compact_every:
-                self.compact(table)
+            self._merge_levels(table)
         return counts
 
-    def _commit(self, stats: list, batch_id: int) -> dict[str, int]:
-        """Accounting (C12): the batch's rows merged with those before it, a row a topic."""
+    def _run(self, keys: DataFrame, table: str, name: str, level: int, first: int, last: int) -> dict:
+        """Write folded keys as a run; its entry for the manifest, with the range of its keys."""
+        place = self._write(keys, f"{table}/{name}")
+        row = self.spark.read.schema(self._key_schema(self._by_table[table])).parquet(f"{self.root}/{place}") \
+            .agg(F.min("key"), F.max("key"), F.count(F.lit(1))).first()
+        return {"path": place, "level": level, "first": first, "last": last, "low": row[0], "high": row[1], "rows": row[2]}
+
+    def _commit(self, stats: list, batch_id: int, live: dict) -> dict[str, int]:
+        """Accounting (C12): the batch's rows merged with those before it, a row a topic; then the manifest."""
         batch: dict[str, list] = {}
         for r in stats:
             if r["table"] is None or r["applied"] == 0:
@@ -529,41 +626,85 @@ class SnapshotSink:
             merged[topic] = [offset if old[0] is None else max(old[0], offset),
                              at if old[1] is None or (at and at > old[1]) else old[1], old[2] + n]
         rows = [(t, *v) for t, v in sorted(merged.items())]
-        (self.spark.createDataFrame(rows, CONTROL_DDL).coalesce(1).write.mode("overwrite")
-         .parquet(f"{self.root}/_control/v={batch_id}"))
-        return {t: v[2] for t, v in batch.items()}
+        place = self._write(self.spark.createDataFrame(rows, CONTROL_DDL).coalesce(1), f"_control/v={batch_id}")
+        counts = {t: v[2] for t, v in batch.items()}
+        self._publish({"batch": batch_id, "n": 0, "control": place, "applied": counts, **live})
+        return counts
 
-    def compact(self, table: str) -> int | None:
-        """Write the newest commit's merged keys as a base; keys whose delete came last are left out.
+    # -- compaction
+    def _merged(self, table: str, group: list[dict], others: list[dict], level: int) -> dict:
+        """One run of a group's keys, in order of the key.
 
-        Later events have greater offsets, so a deleted key needs no trace.
+        A key whose delete came last leaves no trace, unless a run outside the group
+        may hold an older upsert of it.
         """
-        commits = self.commits()
-        if not commits:
-            return None
-        keys, deltas = self._keys(table, None)
-        if not deltas:
+        low, high = min(r["low"] for r in group), max(r["high"] for r in group)
+        first, last = min(r["first"] for r in group), max(r["last"] for r in group)
+        keys = self._read(table, group)
+        if not any(r["first"] < last and r["low"] <= high and r["high"] >= low for r in others):
+            keys = keys.filter(F.col("lu") > F.coalesce(F.col("ld"), F.lit(NO_DELETE)))
+        ordered = keys.repartitionByRange("key").sortWithinPartitions("key")
+        return self._run(ordered, table, f"base/v={last}", level, first, last)
+
+    def _merge_levels(self, table: str) -> None:
+        """Merge each level that has gathered ``compact_every`` runs into the next, from the lowest on."""
+        manifest = self._manifest()
+        runs = manifest["runs"].get(table, [])
+        level, changed = 0, False
+        while any(r["level"] >= level for r in runs):
+            own = sorted((r for r in runs if r["level"] == level), key=lambda r: r["low"])
+            if len(own) >= self.compact_every:
+                groups: list[list[dict]] = []
+                for run in own:
+                    if groups and run["low"] <= max(r["high"] for r in groups[-1]):
+                        groups[-1].append(run)
+                    else:
+                        groups.append([run])
+                rest = [r for r in runs if r["level"] != level]
+                for group in groups:
+                    others = [r for r in runs if r not in group]
+                    moved = {**group[0], "level": level + 1} if len(group) == 1 else self._merged(table, group, others, level + 1)
+                    rest += [moved] if moved["rows"] else []
+                runs, changed = rest, True
+            level += 1
+        if changed:
+            self._publish({**manifest, "n": manifest["n"] + 1, "runs": {**manifest["runs"], table: runs}})
+
+    def compact(self, table: str) -> int | None:
+        """Merge all runs of a table into one; the newest commit, or None if there was nothing to merge."""
+        manifest = self._manifest()
+        runs = manifest["runs"].get(table, [])
+        if len(runs) < 2:
             return None
-        live = keys.filter(F.col("lu") > F.coalesce(F.col("ld"), F.lit(NO_DELETE)))
-        live.write.mode("overwrite").parquet(f"{self.root}/{table}/base/v={commits[-1]}")
-        return commits[-1]
+        run = self._merged(table, runs, [], max(r["level"] for r in runs) + 1)
+        self._publish({**manifest, "n": manifest["n"] + 1, "runs": {**manifest["runs"], table: [run] if run["rows"] else []}})
+        return manifest["batch"]
 
     def expire(self, table: str, keep: int = 2) -> list[str]:
-        """Remove deltas and bases that the last ``keep`` bases replace; returns their paths.
+        """Remove a table's runs that none of the last ``keep`` manifests names, older manifests, and what broken jobs left.
 
-        For readers of the oldest kept base nothing changes.
+        For readers of a kept manifest nothing changes.  Returns the paths of the runs.
         """
-        base = f"{self.root}/{table}"
-        bases = versions_under(self.spark, f"{base}/base")
-        if len(bases) < keep:
+        found = self._manifests()
+        if not found:
             return []
-        oldest = bases[-keep]
-        gone = [f"{base}/base/v={v}" for v in bases if v < oldest] + [
-            f"{base}/delta/v={v}" for v in versions_under(self.spark, f"{base}/delta") if v <= oldest]
-        for path in gone:
-            fs, hadoop = _filesystem(self.spark, path)
-            fs.delete(hadoop, True)
-        return gone
+        kept = found[-keep:]
+        live = {r["path"] for m in kept for r in self._load(*m)["runs"].get(table, [])}
+        for batch, n in found[:-keep]:
+            self._delete(f"_manifest/v={batch}.{n}.json")
+        self._delete("_staging")
+        gone = []
+        for kind in ("delta", "base"):
+            fs, folder = _filesystem(self.spark, f"{self.root}/{table}/{kind}")
+            names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+            gone += [f"{table}/{kind}/{name}" for name in names if f"{table}/{kind}/{name}" not in live]
+        for place in gone:
+            self._delete(place)
+        return [f"{self.root}/{place}" for place in gone]
+
+    def _delete(self, place: str) -> None:
+        fs, path = _filesystem(self.spark, f"{self.root}/{place}")
+        fs.delete(path, True)
 
     def foreach_batch(self, batch_df: DataFrame, batch_id: int) -> None:
         self.write_batch(batch_df, batch_id)

@@ -146,3 +146,30 @@ def change_log(root: Root, ts_unit: str = "micros") -> DataFrame:
     for s in steps[1:]:
         out = out.unionByName(s)
     return out
+
+
+CLAIM = 10 ** 9
+
+
+def unique_log_steps(root: Root) -> list[DataFrame]:
+    """A log of ``pedidos`` whose rows claim order numbers of others, one DataFrame per step.
+
+    Orders are loaded (1) and some deleted (2); new rows claim the numbers of every 11th
+    order (3); some orders give theirs up (4); more rows claim the same numbers (5); the
+    first claimers go (6), and a third set claims them (7).
+    """
+    k = F.col("id")
+    orders = spread(root.table("pedidos"))
+
+    def rows(n: int) -> DataFrame:
+        return orders.filter(k % 11 == 0).select((k + n * CLAIM).alias("id"), "numero_pedido")
+
+    def claim(n: int, step: int) -> DataFrame:
+        return _partial(rows(n), "pedidos", step, F.lit(True), [F.col("numero_pedido"), F.lit(f"claim {n}").alias("status")], "c")
+    return pedidos_log(orders) + [
+        claim(1, 3),
+        _partial(orders, "pedidos", 4, k % 22 == 0, [F.concat("numero_pedido", F.lit("-b")).alias("numero_pedido")], "u"),
+        claim(2, 5),
+        _partial(rows(1), "pedidos", 6, F.lit(True), [], "d"),
+        claim(3, 7),
+    ]

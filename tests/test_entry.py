@@ -3,7 +3,7 @@ and a sample of queries equals its DuckDB oracle on sf0.001."""
 import duckdb
 
 import __spark_entry__ as E
-from conftest import SF001
+from main_paths import SF001
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 

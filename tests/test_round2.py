@@ -12,7 +12,7 @@ from rivulet import schemas
 from rivulet.operators import quality, rules, windows
 from rivulet.sources.tables import Root, choose_root, fixture_root
 from rivulet.streaming import cdc, replication
-from conftest import SF001
+from main_paths import SF001
 from test_cdc import ROUTE, TOPIC, events_df, random_log, replay, state_dict
 
 
