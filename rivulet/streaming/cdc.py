@@ -589,8 +589,8 @@ class SnapshotSink:
             stats = self._batch_stats(parsed, typed)
             for route in self.routes.values():
                 if any(r["applied"] for r in stats if r["table"] == route.table):
-                    runs[route.table].append(self._run(fold_keys(typed[route.table], route), route.table,
-                                                       f"delta/v={batch_id}", 0, batch_id, batch_id))
+                    run = self._run(fold_keys(typed[route.table], route), route.table, f"delta/v={batch_id}", 0, batch_id, batch_id)
+                    runs[route.table] += [run] if run["rows"] else []       # deletes without a key leave no rows
             if sum(r["rejected"] for r in stats) > 0:
                 quarantine.append(self._write(rejected(parsed, typed.values()), f"_quarantine/v={batch_id}"))
             counts = self._commit(stats, batch_id, {"runs": runs, "quarantine": quarantine})

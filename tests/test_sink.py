@@ -46,6 +46,13 @@ def test_a_write_that_breaks_off_leaves_the_last_answer(spark, tmp_path, monkeyp
     assert state_dict(sink_at(spark, tmp_path / "s").state("pedidos")) == replay(log)
 
 
+def test_a_batch_of_deletes_without_keys_leaves_no_run(spark, tmp_path):
+    sink = sink_at(spark, tmp_path / "s", compact_every=2)
+    sink.write_batch(events_df(spark, [(0, '{"id":1,"status":"a"}')]), 0)
+    assert sink.write_batch(events_df(spark, [(1, '{"id":null,"__op":"d"}')]), 1) == {TOPIC: 1}
+    assert [r["first"] for r in sink._manifest()["runs"]["pedidos"]] == [0] and sink.state("pedidos").count() == 1
+
+
 def test_folders_that_no_commit_names_are_not_read(spark, tmp_path):
     log = random_log(12, n=60)
     sink = sink_at(spark, tmp_path / "s")
@@ -58,22 +65,22 @@ def test_folders_that_no_commit_names_are_not_read(spark, tmp_path):
 
 
 def test_rows_are_rewritten_once_a_level(spark, tmp_path):
-    """Eight batches with two runs a level: what merges write grows with the logarithm."""
+    """Four batches with two runs a level: what merges write grows with the logarithm."""
     rnd = random.Random(4)
     sink, log, written = sink_at(spark, tmp_path / "s", compact_every=2), [], 0
-    for batch in range(8):
+    for batch in range(4):
         part = [(10 * batch + i, json.dumps({"id": rnd.randint(1, 40), "status": f"s{batch}"})) for i in range(10)]
         log += part
         before = {r["path"] for r in sink._manifest()["runs"].get("pedidos", [])}
         sink.write_batch(events_df(spark, part), batch)
         runs = sink._manifest()["runs"]["pedidos"]
-        assert len(runs) <= 4 and len({r["level"] for r in runs}) == len(runs)      # one a level at most
+        assert len(runs) <= 3 and len({r["level"] for r in runs}) == len(runs)      # one a level at most
         touched = len(before - {r["path"] for r in runs})
         assert touched <= bin(batch ^ (batch + 1)).count("1") - 1 or touched == 0
         written += sum(r["rows"] for r in runs if r["path"] not in before)
     assert state_dict(sink.state("pedidos")) == replay(log)
-    assert written <= 8 * 10 * 3
-    assert [r["level"] for r in sink._manifest()["runs"]["pedidos"]] == [3]
+    assert written <= 4 * 10 * 3
+    assert [r["level"] for r in sink._manifest()["runs"]["pedidos"]] == [2]
 
 
 def test_runs_without_common_keys_move_up_unwritten(spark, tmp_path):
