@@ -399,8 +399,8 @@ select id + 3000000000, numero_pedido, 'claim 3' from pedidos where id % 11 = 0
 """
 
 SQL["cdc_unique_violations"] = with_tables("pedidos") + f"""
-select 'dbserver1.public.pedidos' as topic, cast((id + n * 1000000000) % 4 as integer) as partition,
-  step * {_STEP} + id + n * 1000000000 as "offset", 'unique_violation' as reason
+select 'dbserver1.public.pedidos' as topic, cast((id + n * 1000000000::bigint) % 4 as integer) as partition,
+  step * {_STEP} + id + n * 1000000000::bigint as "offset", 'unique_violation' as reason
 from pedidos, (values (1, 3), (2, 5), (3, 7)) as c(n, step)
 where id % 11 = 0 and case n when 1 then id % 13 <> 0 when 2 then id % 13 = 0 or id % 22 <> 0 else id % 13 <> 0 end
 """
