@@ -487,6 +487,8 @@ select cliente_id, count(*) as total_compras, cast(sum({_AMOUNT}) as double) as
 from vendas group by cliente_id
 """
 
+SQL["m9_customer_lifetime_stream"] = SQL["m9_customer_lifetime"]
+
 SQL["m10_leads_page"] = with_tables("leads") + """
 select id, nome, email, status, score, least(100, count(*) over ()) as total
 from leads where lower(status) = 'novo' order by id desc limit 100

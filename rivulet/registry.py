@@ -295,6 +295,24 @@ _svc("m17_last_contact", lambda S, r: S.last_contact(r.table("leads"), r.table("
 _svc("m18_funnel_check", lambda S, r: S.funnel_check(r.table("lead_historico")))
 
 
+@register("m9_customer_lifetime_stream")
+def m9_customer_lifetime_stream(spark, sf_dir):
+    """M9 as a streaming aggregate over the sales in files: about three micro-batches, a stop, and the rest."""
+    from rivulet.streaming import lifetime
+    sales = _source(spark, sf_dir).without_id("vendas")
+    base = _lake(spark)
+    # Every sale once: which half a row falls in follows from its own values.
+    half = F.pmod(F.xxhash64(*sales.columns), F.lit(2))
+    for part in (0, 1):
+        sales.filter(half == part).write.mode("append").parquet(f"{base}/vendas")
+        files = len(spark.read.schema(sales.schema).parquet(f"{base}/vendas").inputFiles())
+        stream = lifetime.read_sales(spark, f"{base}/vendas", sales.schema, max_per_trigger=-(-files // 2))
+        query = lifetime.start(stream, f"{base}/totals", f"{base}/checkpoint")
+        query.awaitTermination()
+        query.stop()
+    return comparable(lifetime.totals(spark, f"{base}/totals"))
+
+
 # ---------------------------------------------------------------- data quality (D1-D9), O1, O2
 
 @register("dq_declared_tests")
