@@ -8,6 +8,8 @@ top-k are broken by the key so the result is deterministic.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -96,17 +98,34 @@ def items_revenue(itens: DataFrame) -> DataFrame:  # Q10
                      .alias("receita_total"))
 
 
-def latest_item_with_customer(itens: DataFrame, pedidos: DataFrame, clientes: DataFrame) -> DataFrame:  # Q11
-    """Newest order item with its customer (INNER joins), ``ORDER BY id DESC LIMIT 1``."""
-    i = itens.select(F.col("id").alias("item_id"), "pedido_id", "produto_id", "quantidade",
-                     "preco_unitario")
+def latest_item_with_customer(items_above: Callable[[int], DataFrame], orders: DataFrame, pedidos: DataFrame,
+                              clientes: DataFrame, ids_per_order: int, n: int = 1) -> DataFrame:  # Q11
+    """Newest ``n`` order items with their customer (INNER joins), ``ORDER BY id DESC LIMIT n``.
+
+    An item's id is its order's key times ``ids_per_order`` plus its place among the
+    order's items, so only items of the greatest keys are numbered and joined:
+    ``items_above(key)`` gives those of orders above a key.  No order has more items than
+    there are items, so those of orders further down than items / ids_per_order keys
+    can't come before one of the greatest order.  If fewer than n rows survive the joins
+    above the threshold, or the last of them could come after one below it, the
+    threshold goes down by twice as much.  ``orders``: the items' order keys.
+    """
     # An order without a customer matches none: it never enters the join's shuffle.
     p = pedidos.filter(F.col("cliente_id").isNotNull()).select(F.col("id").alias("pedido_id"), "cliente_id")
     c = clientes.select(F.col("id").alias("cliente_id"), F.col("nome"))
-    return (i.join(p, "pedido_id").join(c, "cliente_id")
-            .orderBy(F.col("item_id").desc()).limit(1)
-            .select("item_id", "pedido_id", "nome", "produto_id",
-                    (F.col("quantidade") * F.col("preco_unitario")).cast("double").alias("valor_total")))
+    key = F.col("pedido_id")
+    least, greatest, items = orders.agg(F.min(key), F.max(key), F.count(key)).first()
+    width = items // ids_per_order + 1
+    while True:
+        above = (greatest or 0) - width
+        i = items_above(above).select(F.col("id").alias("item_id"), "pedido_id", "produto_id", "quantidade", "preco_unitario")
+        top = (i.join(p.filter(key > above), "pedido_id").join(c, "cliente_id").orderBy(F.col("item_id").desc()).limit(n)
+               .select("item_id", "pedido_id", "nome", "produto_id",
+                       (F.col("quantidade") * F.col("preco_unitario")).cast("double").alias("valor_total")))
+        rows = top.collect()        # n rows
+        if least is None or above < least or len(rows) == n and rows[-1]["item_id"] > above * ids_per_order + items:
+            return top.sparkSession.createDataFrame(rows, top.schema)
+        width *= 2
 
 
 def stack_metrics(metrics: dict[str, DataFrame]) -> DataFrame:  # Q12

@@ -244,9 +244,10 @@ def q10_items_revenue(spark, sf_dir):
 @register("q11_latest_item_with_customer")
 def q11_latest_item_with_customer(spark, sf_dir):
     from rivulet.operators import serving
+    from rivulet.sources import fixtures
     src = _source(spark, sf_dir)
-    return serving.latest_item_with_customer(src.table("itens_pedido"), src.table("pedidos"),
-                                             src.table("clientes"))
+    return serving.latest_item_with_customer(lambda key: fixtures.items_above(spark, sf_dir, key), src.without_id("itens_pedido"),
+                                             src.table("pedidos"), src.table("clientes"), fixtures.IDS_PER_ORDER)
 
 
 @register("q12_stacked_metrics")

@@ -150,28 +150,35 @@ LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_qu
               "l_shipdate", "l_tax", "l_discount")
 
 
-def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Item ids: the order's key times this, plus the item's place in the order.
+IDS_PER_ORDER = 100
+
+
+def _numbered_lines(spark: SparkSession, sf_dir: str, above: int | None = None) -> DataFrame:
     """Lineitem rows with their rank inside the order (``row_number`` of the SQL
-    mapping), computed so that one huge order does not land in a single task."""
+    mapping), computed so that one huge order does not land in a single task.
+    ``above``: only those of orders with a greater key."""
     from pyspark.sql import functions as F
 
     from rivulet.operators.windows import row_number_skew_safe
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    if above is not None:
+        li = li.filter(F.col("l_orderkey") > above)
     n = row_number_skew_safe(li, "l_orderkey", LINE_ORDER, "line_rank")
-    return n.withColumn("__item_id", F.col("l_orderkey") * 100 + F.col("line_rank"))
+    return n.withColumn("__item_id", F.col("l_orderkey") * IDS_PER_ORDER + F.col("line_rank"))
 
 
-def _lines(spark: SparkSession, sf_dir: str, with_id: bool) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, with_id: bool, above: int | None = None) -> DataFrame:
     """Lineitem rows; numbering them costs a range shuffle, so only for callers that read the id."""
     from pyspark.sql import functions as F
     if with_id:
-        return _numbered_lines(spark, sf_dir)
+        return _numbered_lines(spark, sf_dir, above)
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("__item_id", F.lit(None).cast("long"))
 
 
-def _itens_pedido(spark: SparkSession, sf_dir: str, with_id: bool = True) -> DataFrame:
+def _itens_pedido(spark: SparkSession, sf_dir: str, with_id: bool = True, above: int | None = None) -> DataFrame:
     from pyspark.sql import functions as F
-    return _lines(spark, sf_dir, with_id).select(
+    return _lines(spark, sf_dir, with_id, above).select(
         F.col("__item_id").alias("id"), F.col("l_orderkey").alias("pedido_id"),
         F.col("l_partkey").alias("produto_id"), F.col("l_quantity").cast("int").alias("quantidade"),
         (F.lit(900) + F.col("l_partkey") % 100).cast("decimal(15,2)").alias("preco_unitario"),
@@ -211,6 +218,11 @@ def mapped(spark: SparkSession, sf_dir: str, name: str, with_id: bool = True) ->
     return spark.sql(MAPPINGS[name])
 
 
+def items_above(spark: SparkSession, sf_dir: str, key: int) -> DataFrame:
+    """``itens_pedido`` of the orders with a greater key; the filter reaches the scan."""
+    return _itens_pedido(spark, sf_dir, True, key)
+
+
 def oracle_cte(names: list[str] | tuple[str, ...], generated: bool = True) -> str:
     """``WITH`` clause defining the named domain tables for a DuckDB oracle query."""
     parts = []
