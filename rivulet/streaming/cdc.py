@@ -428,10 +428,11 @@ class SnapshotSink:
     not belong to this root.  One writer at a time.
 
     A batch appends its own keys, whatever the table's size.  A read merges the live
-    runs by the fold's own maxima.  ``compact_every`` runs of a level are merged into
-    one of the next (a run whose keys no other one of its level has moves up as it
-    is), so a row is written again once a level: the levels grow with the logarithm of
-    the table.  ``compact`` merges everything, ``expire`` removes what is not live.
+    runs by the fold's own maxima.  Once a level has ``compact_every`` runs, those whose
+    key ranges overlap are merged into one of the next level, so a row is written again
+    once a level, and levels grow with the logarithm of the table.  Runs without common
+    keys stay as they are.  ``compact`` merges everything, ``expire`` removes what is
+    not live.
     """
 
     def __init__(self, spark: SparkSession, root: str, compact_every: int = 16,
@@ -647,7 +648,7 @@ class SnapshotSink:
         return self._run(ordered, table, f"base/v={last}", level, first, last)
 
     def _merge_levels(self, table: str) -> None:
-        """Merge each level that has gathered ``compact_every`` runs into the next, from the lowest on."""
+        """Merge the overlapping runs of each level that has gathered ``compact_every`` into the next, from the lowest on."""
         manifest = self._manifest()
         runs = manifest["runs"].get(table, [])
         level, changed = 0, False
@@ -660,12 +661,11 @@ class SnapshotSink:
                         groups[-1].append(run)
                     else:
                         groups.append([run])
-                rest = [r for r in runs if r["level"] != level]
                 for group in groups:
-                    others = [r for r in runs if r not in group]
-                    moved = {**group[0], "level": level + 1} if len(group) == 1 else self._merged(table, group, others, level + 1)
-                    rest += [moved] if moved["rows"] else []
-                runs, changed = rest, True
+                    if len(group) > 1:
+                        others = [r for r in runs if r not in group]
+                        run = self._merged(table, group, others, level + 1)
+                        runs, changed = others + ([run] if run["rows"] else []), True
             level += 1
         if changed:
             self._publish({**manifest, "n": manifest["n"] + 1, "runs": {**manifest["runs"], table: runs}})

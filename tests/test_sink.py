@@ -83,12 +83,12 @@ def test_rows_are_rewritten_once_a_level(spark, tmp_path):
     assert [r["level"] for r in sink._manifest()["runs"]["pedidos"]] == [2]
 
 
-def test_runs_without_common_keys_move_up_unwritten(spark, tmp_path):
+def test_runs_without_common_keys_are_not_rewritten(spark, tmp_path):
     sink = sink_at(spark, tmp_path / "s", compact_every=2)
     for batch in range(4):
         sink.write_batch(events_df(spark, [(10 * batch + i, json.dumps({"id": 100 * batch + i, "status": "x"})) for i in range(5)]), batch)
     runs = sink._manifest()["runs"]["pedidos"]
-    assert len(runs) == 4 and {r["level"] for r in runs} == {2} and not os.path.exists(tmp_path / "s/pedidos/base")
+    assert len(runs) == 4 and {r["level"] for r in runs} == {0} and not os.path.exists(tmp_path / "s/pedidos/base")
     assert sorted(r["id"] for r in sink.state("pedidos", keys=(102, 201)).collect()) == [102, 103, 104, 200, 201]
 
 
