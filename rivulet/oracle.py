@@ -407,6 +407,30 @@ where id % 11 = 0 and case n when 1 then id % 13 <> 0 when 2 then id % 13 = 0 or
 
 SQL["cdc_replica_key_range"] = f"select * from {sub('cdc_replica_pedidos')} where id between 1000 and 5000"
 
+# Offsets of the change log, by step; a: the event applies.
+_OFFSETS = with_tables("clientes", "pedidos", "produtos", "leads") + f"""
+, ev(t, p, step, o, a) as (
+  select 'clientes', id % 4, step, step * {_STEP} + id, true
+  from clientes, (values (1, 1), (2, 3), (3, 7), (4, 17), (5, 34), (7, 5)) as s(step, every) where id % every = 0
+  union all select 'pedidos', id % 4, step, step * {_STEP} + id, true from pedidos, (values (1, 1), (2, 13)) as s(step, every) where id % every = 0
+  union all select 'produtos', id % 4, 1, {_STEP} + id, true from produtos
+  union all select 'leads', id % 4, 1, {_STEP} + id, true from leads
+  union all select case i when 7 then 'outra' else 'clientes' end, 0, 6, {6 * _STEP} + i, i = 10 from range(11) as r(i))
+"""
+
+SQL["cdc_sink_partitions"] = _OFFSETS + """
+select 'dbserver1.public.' || t as topic, cast(p as integer) as partition, cast(max(o) as bigint) as last_offset,
+  max(timestamp '2001-08-01 00:00:00' + to_minutes(step)) as last_event, count(*) as event_count,
+  count(case when step = 2 then 1 end) as repeats
+from ev where a group by t, p
+"""
+
+SQL["cdc_offset_coverage"] = _OFFSETS + """
+select 'dbserver1.public.' || t as topic, cast(p as integer) as partition, cast(min(o) as bigint) as first_offset, cast(max(o) as bigint) as last_offset,
+  count(*) as seen, cast(max(o) - min(o) + 1 - count(*) as bigint) as missing, count(case when o > before + 1 then 1 end) as gaps
+from (select *, lag(o) over (partition by t, p order by o) as before from ev) group by t, p
+"""
+
 SQL["q9_control_by_count"] = f"""
 select topic, event_count, last_event from {sub('cdc_control_table')} c
 """

@@ -166,6 +166,26 @@ def cdc_replica_key_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(_streamed_sink(spark, sf_dir).state("pedidos", keys=(1000, 5000)))
 
 
+def _replayed_steps(root):
+    """The change log, its second step delivered once more at the end."""
+    from rivulet.streaming.changelog import change_log_steps
+    steps = change_log_steps(root)
+    return steps + [steps[1]]
+
+
+@register("cdc_sink_partitions")
+def cdc_sink_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounting per topic and partition after a log that delivers a step twice: repeats are counted, not applied."""
+    return comparable(_streamed_sink(spark, sf_dir, _replayed_steps, track_offsets=True).partitions())
+
+
+@register("cdc_offset_coverage")
+def cdc_offset_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets of the log a partition: consumed, missing between the first and the last, and in how many gaps."""
+    from rivulet.streaming import offsets
+    return offsets.coverage(offsets.ledger(_log(spark, sf_dir)))
+
+
 # ---------------------------------------------------------------- serving (Q1-Q12)
 
 def _source(spark: SparkSession, sf_dir: str):

@@ -28,12 +28,13 @@ from pyspark.sql import types as T
 
 from rivulet import schemas
 from rivulet.operators import rules
+from rivulet.streaming import offsets
 
 EPOCH_COLS = tuple(sorted(schemas.EPOCH_DAY_COLS | schemas.EPOCH_TS_COLS))
 EPOCH_KINDS = ", ".join(f"{c} variant" for c in EPOCH_COLS)
 
 TYPED_REASONS = ("bad_key", "null_key", "bad_value", "unique_violation")
-CONTROL_DDL = "topic string, last_offset long, last_event timestamp, event_count long"
+CONTROL_DDL = "topic string, partition int, last_offset long, last_event timestamp, event_count long, repeats long"
 
 NO_DELETE = -1      # sorts below every real offset
 
@@ -359,9 +360,11 @@ def quarantine(events: DataFrame, routes: dict[str, schemas.Route] = schemas.ROU
 
 
 def control_counts(events: DataFrame, routes: dict[str, schemas.Route] = schemas.ROUTES,
-                   ts_unit: str = "micros") -> DataFrame:
+                   ts_unit: str = "micros", by: tuple[str, ...] = ("topic",)) -> DataFrame:
     """Per-topic accounting of applied events (C12): count, last offset, last event.
 
+    ``by``: ``("topic", "partition")`` for a row a partition; offsets only have an order within one.
+
     Conditional aggregates skip rejected events (no filter on the computed reason).
     """
     parsed = parse_events(events, routes)
@@ -370,7 +373,7 @@ def control_counts(events: DataFrame, routes: dict[str, schemas.Route] = schemas
     for r in routes.values():
         checked = F.when(F.col("table") == r.table, _reason(r, ts_unit)).otherwise(checked)
     out = (parsed.withColumn("__reason", F.coalesce(F.col("reason"), checked))
-           .groupBy("topic").agg(
+           .groupBy(*by).agg(
                F.max(F.when(F.col("__reason").isNull(), F.col("offset"))).alias("last_offset"),
                F.max(F.when(F.col("__reason").isNull(), F.col("timestamp"))).alias("last_event"),
                F.count(F.when(F.col("__reason").isNull(), 1)).alias("event_count")))
@@ -414,7 +417,8 @@ class SnapshotSink:
 
         <root>/<table>/delta/v=<batch>/    a run: the batch's events folded to a row per key
         <root>/<table>/base/v=<batch>-.../ a run merged from several
-        <root>/_control/v=<batch>/         accounting as of the batch
+        <root>/_control/v=<batch>/         accounting per topic and partition as of the batch
+        <root>/_offsets/v=<batch>/         with ``track_offsets``: the offsets of a batch or of several
         <root>/_quarantine/v=<batch>/      the batch's events that do not apply
         <root>/_manifest/v=<batch>.<n>.json  what is live; the n-th after that batch
         <root>/_staging/                   what is being written
@@ -433,13 +437,20 @@ class SnapshotSink:
     once a level, and levels grow with the logarithm of the table.  Runs without common
     keys stay as they are.  ``compact`` merges everything, ``expire`` removes what is
     not live.
+
+    ``track_offsets``: the sink keeps which offsets of each topic and partition it consumed
+    (``offsets.ledger``).  Events that come again are counted as repeats and not applied,
+    also when a compaction has dropped the delete that followed them; ``coverage`` and
+    ``gaps`` tell what is missing.  A batch only opens the ledger runs whose offsets reach
+    into its own, so a stream in order opens the last one.
     """
 
     def __init__(self, spark: SparkSession, root: str, compact_every: int = 16,
                  routes: dict[str, schemas.Route] = schemas.ROUTES, ts_unit: str = "micros",
-                 unique: bool = False):
+                 unique: bool = False, track_offsets: bool = False):
         self.spark, self.root, self.compact_every = spark, root.rstrip("/"), compact_every
         self.routes, self.ts_unit, self.unique = routes, ts_unit, unique
+        self.track_offsets = track_offsets
         self._by_table = {r.table: r for r in routes.values()}
 
     # -- manifests
@@ -529,11 +540,37 @@ class SnapshotSink:
         rows = self._read(table, [r for r in runs if r["low"] <= keys[1] and r["high"] >= keys[0]])
         return rows_of_keys(rows.filter(F.col("key").between(*keys)), route)
 
-    def control(self, before: int | None = None) -> DataFrame | None:
-        """Accounting per topic as of the newest commit (older than ``before``)."""
+    def partitions(self, before: int | None = None) -> DataFrame | None:
+        """Accounting per topic and partition as of the newest commit (older than ``before``)."""
         place = self._manifest(before)["control"]
         return self.spark.read.schema(CONTROL_DDL).parquet(f"{self.root}/{place}") if place else None
 
+    def control(self, before: int | None = None) -> DataFrame | None:
+        """Accounting per topic: ``partitions`` summed up; ``last_offset`` is the greatest of any partition."""
+        rows = self.partitions(before)
+        if rows is None:
+            return None
+        return (rows.groupBy("topic").agg(F.max("last_offset").alias("last_offset"), F.max("last_event").alias("last_event"),
+                                          F.sum("event_count").alias("event_count"))
+                .filter(F.col("event_count") > 0))
+
+    def consumed(self) -> DataFrame:
+        """The ledger of all committed batches, a row a block."""
+        return offsets.merge(self._ledger(self._manifest().get("offsets", [])))
+
+    def coverage(self) -> DataFrame:
+        """A row a partition: offsets consumed and missing (``offsets.coverage``)."""
+        return offsets.coverage(self.consumed())
+
+    def gaps(self) -> DataFrame:
+        """The missing offsets as intervals (``offsets.gaps``)."""
+        return offsets.gaps(self.consumed())
+
+    def _ledger(self, runs: list[dict]) -> DataFrame:
+        if not runs:
+            return self.spark.createDataFrame([], offsets.LEDGER_DDL)
+        return self.spark.read.schema(offsets.LEDGER_DDL).parquet(*[f"{self.root}/{r['path']}" for r in runs])
+
     def totals(self) -> dict[str, int]:
         """Applied events per topic since the first batch (C14), from the control table."""
         control = self.control()
@@ -547,27 +584,27 @@ class SnapshotSink:
 
     # -- writing
     def _batch_stats(self, parsed: DataFrame, typed: dict[str, DataFrame]) -> list:
-        """One job over the persisted batch: per (table, topic) the applied count,
-        last offset and last event, the rejected count and whether a key is named.
+        """One job over the persisted batch: per (table, topic, partition) the applied count,
+        last offset and last event, and the rejected count.
 
-        Rows are bounded by tables x topics, not by the batch size.  Parse-level
+        Rows are bounded by tables x partitions of topics, not by the batch size.  Parse-level
         rejects come from ``parsed`` (their table may be unknown); value-level
         rejects from the typed rows.
         """
-        parts = [parsed.select(F.lit(None).cast("string").alias("table"), "topic",
+        parts = [parsed.select(F.lit(None).cast("string").alias("table"), "topic", "partition",
                                F.lit(None).cast("long").alias("ok_offset"),
                                F.lit(None).cast("timestamp").alias("ok_ts"),
                                (F.col("reason").isNotNull() & (F.col("reason") != "tombstone")).alias("bad"))]
         for table, t in typed.items():
             ok = F.col("reason").isNull()
-            parts.append(t.select(F.lit(table).alias("table"), "topic",
+            parts.append(t.select(F.lit(table).alias("table"), "topic", "partition",
                                   F.when(ok, F.col("offset")).alias("ok_offset"),
                                   F.when(ok, F.col("timestamp")).alias("ok_ts"),
                                   F.coalesce(F.col("reason").isin(*TYPED_REASONS), F.lit(False)).alias("bad")))
         rows = parts[0]
         for part in parts[1:]:
             rows = rows.unionByName(part)
-        return (rows.groupBy("table", "topic")
+        return (rows.groupBy("table", "topic", "partition")
                 .agg(F.count("ok_offset").alias("applied"), F.max("ok_offset").alias("last_offset"),
                      F.max("ok_ts").alias("last_event"), F.count(F.when(F.col("bad"), 1)).alias("rejected"))
                 .collect())
@@ -582,6 +619,9 @@ class SnapshotSink:
             return last["applied"]
         runs = {table: list(last["runs"].get(table, [])) for table in self._by_table}
         quarantine = list(last["quarantine"])
+        ledger, repeats = list(last.get("offsets", [])), {}
+        if self.track_offsets:
+            events, repeats = self._unseen(events, ledger, batch_id)
         parsed = parse_events(events, self.routes).persist()
         typed = {r.table: checked_events(parsed, r, self.ts_unit, self.unique,
                                          self._read(r.table, runs[r.table]) if self.unique and runs[r.table] else None).persist()
@@ -594,7 +634,7 @@ class SnapshotSink:
                     runs[route.table] += [run] if run["rows"] else []       # deletes without a key leave no rows
             if sum(r["rejected"] for r in stats) > 0:
                 quarantine.append(self._write(rejected(parsed, typed.values()), f"_quarantine/v={batch_id}"))
-            counts = self._commit(stats, batch_id, {"runs": runs, "quarantine": quarantine})
+            counts = self._commit(stats, batch_id, {"runs": runs, "quarantine": quarantine, "offsets": ledger}, repeats)
         finally:
             for t in typed.values():
                 t.unpersist()
@@ -610,25 +650,62 @@ class SnapshotSink:
             .agg(F.min("key"), F.max("key"), F.count(F.lit(1))).first()
         return {"path": place, "level": level, "first": first, "last": last, "low": row[0], "high": row[1], "rows": row[2]}
 
-    def _commit(self, stats: list, batch_id: int, live: dict) -> dict[str, int]:
-        """Accounting (C12): the batch's rows merged with those before it, a row a topic; then the manifest."""
-        batch: dict[str, list] = {}
+    def _unseen(self, events: DataFrame, ledger: list[dict], batch_id: int) -> tuple[DataFrame, dict[tuple, int]]:
+        """The batch without events that came before, and how many did per (topic, partition); adds its offsets to ``ledger``."""
+        place = self._write(offsets.ledger(events), f"_offsets/v={batch_id}")
+        own = self.spark.read.schema(f"{offsets.LEDGER_DDL}, delivered long").parquet(f"{self.root}/{place}")
+        # A row a partition of a topic.
+        span = own.groupBy("topic", "partition").agg(F.min("block").alias("low"), F.max("block").alias("high"),
+                                                     F.sum(F.col("delivered") - F.col("seen")).alias("repeats")).collect()
+        if not span:
+            return events, {}
+        ranges = {f"{r['topic']}/{r['partition']}": [r["low"], r["high"]] for r in span}
+        repeats = {(r["topic"], r["partition"]): r["repeats"] for r in span}
+        met = [run for run in ledger if any(p in ranges and low <= ranges[p][1] and high >= ranges[p][0]
+                                            for p, (low, high) in run["blocks"].items())]
+        held = self._ledger(met) if met else None
+        if held is not None:
+            for r in offsets.already_seen(own, held).collect():
+                repeats[r["topic"], r["partition"]] += r["repeats"]
+        ledger.append({"path": place, "level": 0, "blocks": ranges})
+        self._merge_ledger(ledger, batch_id)
+        if not any(repeats.values()):
+            return events, {}
+        return offsets.fresh(events, held), {p: n for p, n in repeats.items() if n}
+
+    def _merge_ledger(self, ledger: list[dict], batch_id: int) -> None:
+        """Merge a level that has gathered ``compact_every`` runs into one of the next, from the lowest on."""
+        level = 0
+        while any(r["level"] >= level for r in ledger):
+            own = [r for r in ledger if r["level"] == level]
+            if len(own) >= self.compact_every:
+                blocks: dict[str, list] = {}
+                for run in own:
+                    for p, (low, high) in run["blocks"].items():
+                        seen = blocks.setdefault(p, [low, high])
+                        blocks[p] = [min(seen[0], low), max(seen[1], high)]
+                place = self._write(offsets.merge(self._ledger(own)), f"_offsets/v={batch_id}")
+                ledger[:] = [r for r in ledger if r["level"] != level] + [{"path": place, "level": level + 1, "blocks": blocks}]
+            level += 1
+
+    def _commit(self, stats: list, batch_id: int, live: dict, repeats: dict[tuple, int]) -> dict[str, int]:
+        """Accounting (C12): the batch's rows merged with those before it, a row a topic and partition; then the manifest."""
+        def later(a, b):
+            return b if a is None else a if b is None else max(a, b)
+        before = self.partitions(before=batch_id)
+        merged = {(r["topic"], r["partition"]): [r["last_offset"], r["last_event"], r["event_count"], r["repeats"] or 0]
+                  for r in (before.collect() if before is not None else ())}
+        counts: dict[str, int] = {}
         for r in stats:
-            if r["table"] is None or r["applied"] == 0:
-                continue
-            b = batch.setdefault(r["topic"], [None, None, 0])
-            b[0] = r["last_offset"] if b[0] is None else max(b[0], r["last_offset"])
-            b[1] = r["last_event"] if b[1] is None or (r["last_event"] and r["last_event"] > b[1]) else b[1]
-            b[2] += r["applied"]
-        before = self.control(before=batch_id)
-        merged = {r["topic"]: [r["last_offset"], r["last_event"], r["event_count"]] for r in (before.collect() if before is not None else ())}
-        for topic, (offset, at, n) in batch.items():
-            old = merged.get(topic, [None, None, 0])
-            merged[topic] = [offset if old[0] is None else max(old[0], offset),
-                             at if old[1] is None or (at and at > old[1]) else old[1], old[2] + n]
-        rows = [(t, *v) for t, v in sorted(merged.items())]
+            if r["table"] is not None and r["applied"] > 0:
+                row = merged.setdefault((r["topic"], r["partition"]), [None, None, 0, 0])
+                row[0], row[1] = later(row[0], r["last_offset"]), later(row[1], r["last_event"])
+                row[2] += r["applied"]
+                counts[r["topic"]] = counts.get(r["topic"], 0) + r["applied"]
+        for at, n in repeats.items():
+            merged.setdefault(at, [None, None, 0, 0])[3] += n
+        rows = [(*at, *row) for at, row in sorted(merged.items(), key=str)]
         place = self._write(self.spark.createDataFrame(rows, CONTROL_DDL).coalesce(1), f"_control/v={batch_id}")
-        counts = {t: v[2] for t, v in batch.items()}
         self._publish({"batch": batch_id, "n": 0, "control": place, "applied": counts, **live})
         return counts
 
@@ -681,7 +758,7 @@ class SnapshotSink:
         return manifest["batch"]
 
     def expire(self, table: str, keep: int = 2) -> list[str]:
-        """Remove a table's runs that none of the last ``keep`` manifests names, older manifests, and what broken jobs left.
+        """Remove a table's runs and the ledger's that none of the last ``keep`` manifests names, older manifests, and what broken jobs left.
 
         For readers of a kept manifest nothing changes.  Returns the paths of the runs.
         """
@@ -689,15 +766,16 @@ class SnapshotSink:
         if not found:
             return []
         kept = found[-keep:]
-        live = {r["path"] for m in kept for r in self._load(*m)["runs"].get(table, [])}
+        manifests = [self._load(*m) for m in kept]
+        live = {r["path"] for m in manifests for r in [*m["runs"].get(table, []), *m.get("offsets", [])]}
         for batch, n in found[:-keep]:
             self._delete(f"_manifest/v={batch}.{n}.json")
         self._delete("_staging")
         gone = []
-        for kind in ("delta", "base"):
-            fs, folder = _filesystem(self.spark, f"{self.root}/{table}/{kind}")
+        for place in (f"{table}/delta", f"{table}/base", "_offsets"):
+            fs, folder = _filesystem(self.spark, f"{self.root}/{place}")
             names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
-            gone += [f"{table}/{kind}/{name}" for name in names if f"{table}/{kind}/{name}" not in live]
+            gone += [f"{place}/{name}" for name in names if f"{place}/{name}" not in live]
         for place in gone:
             self._delete(place)
         return [f"{self.root}/{place}" for place in gone]
