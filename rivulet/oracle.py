@@ -722,6 +722,20 @@ select id, nome, categoria, cast(preco_venda as double) as preco, estoque_atual
 from produtos
 """
 
+SQL["s9_document_rejects"] = with_tables("produtos") + """
+, pages as (select (id - 1) // 100 as page, count(*) as items from produtos group by 1)
+select case page % 5 when 1 then 'invalid_json' when 2 then 'no_items' when 3 then 'bad_value' else 'total_below_items' end as reason, count(*) as linhas
+from pages where page % 5 <> 0 group by 1
+union all select 'loaded_items', coalesce(cast(sum(items) as bigint), 0) from pages where page % 5 = 0
+"""
+
+SQL["s10_csv_rejects"] = with_tables("clientes") + """
+select id, case when id % 13 = 0 or id % 17 = 0 then 'column_count' else 'bad_value' end as reason,
+  case when id % 13 <> 0 and id % 17 <> 0 then 'version' end as columns
+from clientes where id % 13 = 0 or id % 17 = 0 or id % 19 = 0
+union all select count(*), 'loaded', null from clientes where id % 13 <> 0 and id % 17 <> 0 and id % 19 <> 0
+"""
+
 SQL["s10_csv_seed"] = with_tables("clientes") + f"""
 select {_CLI_COLS} from clientes
 """

@@ -484,23 +484,46 @@ def s4_full_refresh_copy(spark, sf_dir):
     return out
 
 
+def _product_pages(spark, sf_dir) -> DataFrame:
+    """Products as service responses (page, value) of 100 items."""
+    p = _source(spark, sf_dir).table("produtos")
+    item = F.struct("id", "nome", "categoria", F.col("preco_venda").cast("double").alias("preco"),
+                    F.col("estoque_atual").alias("estoque"), "ativo")
+    return (p.withColumn("page", F.floor((F.col("id") - 1) / 100))
+            .groupBy("page")            # pages hold at most 100 items
+            .agg(F.count(F.lit(1)).alias("total"), F.collect_list(item).alias("dados"))
+            .select("page", F.to_json(F.struct("total", "dados",
+                                               F.lit("2001-08-01T00:00:00").alias("timestamp")))
+                    .alias("value")))
+
+
+_ITEM_DDL = "id bigint, nome string, categoria string, preco double, estoque int, ativo boolean"
+
+
 @register("s9_document_ingest")
 def s9_document_ingest(spark, sf_dir):
     """Products published as service responses of 100 items, many to a file, read back."""
     from rivulet.sources.tables import read_documents
-    p = _source(spark, sf_dir).table("produtos")
-    item = F.struct("id", "nome", "categoria", F.col("preco_venda").cast("double").alias("preco"),
-                    F.col("estoque_atual").alias("estoque"), "ativo")
-    pages = (p.withColumn("page", F.floor((F.col("id") - 1) / 100))
-             .groupBy("page")            # pages hold at most 100 items
-             .agg(F.count(F.lit(1)).alias("total"), F.collect_list(item).alias("dados"))
-             .select("page", F.to_json(F.struct("total", "dados",
-                                                F.lit("2001-08-01T00:00:00").alias("timestamp")))
-                     .alias("value")))
     path = _lake(spark) + "/produtos-api"
-    pages.select("value").write.text(path)
-    schema = T.StructType([f for f in p.select(item.alias("d")).schema["d"].dataType.fields])
-    return read_documents(spark, path, schema, multi_line=False).select("id", "nome", "categoria", "preco", "estoque", "ativo")
+    _product_pages(spark, sf_dir).select("value").write.text(path)
+    return read_documents(spark, path, T.StructType.fromDDL(_ITEM_DDL), multi_line=False) \
+        .select("id", "nome", "categoria", "preco", "estoque", "ativo")
+
+
+@register("s9_document_rejects")
+def s9_document_rejects(spark, sf_dir):
+    """The same responses, some broken: documents by reason, and the items of those that load."""
+    from rivulet.sources.tables import documents_with_rejects
+    page, value = F.col("page"), F.col("value")
+    broken = (F.when(page % 5 == 1, F.expr("left(value, length(value) - 7)"))
+              .when(page % 5 == 2, F.regexp_replace(value, '"dados":', '"data":'))
+              .when(page % 5 == 3, F.concat(F.expr("left(value, length(value) - 1)"), F.lit(',"total":"many"}')))
+              .when(page % 5 == 4, F.regexp_replace(value, '"total":[0-9]+', '"total":0')).otherwise(value))
+    path = _lake(spark) + "/produtos-api"
+    _product_pages(spark, sf_dir).select(broken.alias("value")).write.text(path)
+    items, rejects = documents_with_rejects(spark, path, T.StructType.fromDDL(_ITEM_DDL), multi_line=False)
+    return (rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("linhas"))
+            .unionByName(items.agg(F.lit("loaded_items").alias("reason"), F.count(F.lit(1)).alias("linhas"))))
 
 
 @register("s10_csv_seed")
@@ -512,3 +535,23 @@ def s10_csv_seed(spark, sf_dir):
     opts = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     c.write.options(**opts).option("header", True).csv(path)
     return comparable(read_seed(spark, path, schema=schemas.CLIENTES, options=opts))
+
+
+@register("s10_csv_rejects")
+def s10_csv_rejects(spark, sf_dir):
+    """Customers as CSV lines, some broken: the rejected rows with reason, and how many load."""
+    from rivulet import schemas
+    from rivulet.sources.tables import seed_with_rejects
+    c = _source(spark, sf_dir).table("clientes")
+    k, line = F.col("id"), F.col("line")
+    rows = c.select(k, F.to_csv(F.struct(*c.columns)).alias("line"))
+    broken = (F.when(k % 13 == 0, F.concat(line, F.lit(",extra")))
+              .when(k % 17 == 0, F.regexp_extract(line, "^[^,]*,[^,]*", 0))
+              .when(k % 19 == 0, F.concat(F.regexp_extract(line, "^(.*),[^,]*$", 1), F.lit(",many")))
+              .otherwise(line))
+    path = _lake(spark) + "/raw_seeds/clientes"
+    rows.select(broken.alias("value")).write.text(path)
+    good, rejects = seed_with_rejects(spark, path, schema=schemas.CLIENTES, options={"header": "false"})
+    first = F.regexp_extract("record", "^[0-9]+", 0).cast("long")
+    return (rejects.select(first.alias("id"), "reason", "columns")
+            .unionByName(good.agg(F.count(F.lit(1)).alias("id"), F.lit("loaded").alias("reason"), F.lit(None).cast("string").alias("columns"))))

@@ -107,6 +107,9 @@ def full_refresh_copy(root: Root, names: Iterable[str], dest: str) -> dict[str,
     return out
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_documents(spark: SparkSession, path: str, item_schema: T.StructType | None = None,
                    multi_line: bool = True) -> DataFrame:  # S9
     """Ingest service responses ``{total, dados: [...], timestamp}``: one row per item.
@@ -114,29 +117,97 @@ def read_documents(spark: SparkSession, path: str, item_schema: T.StructType | N
     ``multi_line``: a document may span lines, and a file is read as one; otherwise
     a file holds one document a line and splits.  Without ``item_schema`` Spark
     reads everything once more to infer it.  ``explode`` runs on the executors.
+    Documents that can't be loaded give no row: ``documents_with_rejects`` tells which.
     """
-    reader = spark.read.option("multiLine", multi_line)
     if item_schema is not None:
-        reader = reader.schema(T.StructType([
-            T.StructField("total", T.LongType()),
-            T.StructField("dados", T.ArrayType(item_schema)),
-            T.StructField("timestamp", T.StringType()),
-        ]))
-    docs = reader.json(path)
+        return documents_with_rejects(spark, path, item_schema, multi_line)[0]
+    docs = spark.read.option("multiLine", multi_line).json(path)
     return (docs.select(F.col("timestamp").alias("response_ts"), F.explode("dados").alias("d"))
             .select("response_ts", "d.*"))
 
 
+def documents_with_rejects(spark: SparkSession, path: str, item_schema: T.StructType,
+                           multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Items of the documents that load, and (file, record, reason) of those that don't.
+
+    A document loads whole or not at all.  Reasons: ``invalid_json``; ``bad_value``, a
+    value that doesn't fit the schema; ``no_items``, no list of items (an empty list is
+    one); ``total_below_items``, a total smaller than the list.  A null item is a row
+    of nulls.  Both frames read the files on their own.
+    """
+    schema = T.StructType([
+        T.StructField("total", T.LongType()),
+        T.StructField("dados", T.ArrayType(item_schema)),
+        T.StructField("timestamp", T.StringType()),
+        T.StructField(CORRUPT, T.StringType()),
+    ])
+    docs = (spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).schema(schema).json(path))
+    record = F.col(CORRUPT)
+    # Every top-level column takes part in the reason, so that both frames parse all of them.
+    reason = (F.when(record.isNotNull() & F.get_json_object(record, "$").isNull(), "invalid_json")
+              .when(record.isNotNull(), "bad_value")
+              .when(F.col("dados").isNull(), "no_items")
+              .when(F.col("total") < F.size("dados"), "total_below_items"))
+    checked = docs.withColumn("reason", reason)
+    items = (checked.filter(F.col("reason").isNull())
+             .select(F.col("timestamp").alias("response_ts"), F.explode("dados").alias("d"))
+             .select("response_ts", "d.*"))
+    rejects = checked.filter(F.col("reason").isNotNull()).select(
+        F.input_file_name().alias("file"),
+        F.coalesce(record, F.to_json(F.struct("total", "dados", "timestamp"))).alias("record"), "reason")
+    return items, rejects
+
+
 def read_seed(spark: SparkSession, path: str, table: str | None = None,
               schema: T.StructType | None = None, options: dict | None = None) -> DataFrame:  # S10
     """CSV seed with a header, read with a declared schema (no inference).
-    Array columns (CSV has none) are read as text."""
-    if schema is None and table is not None:
-        schema = schemas.SCHEMAS[table]
-    if schema is not None:
-        schema = T.StructType([T.StructField(f.name, T.StringType() if isinstance(
-            f.dataType, T.ArrayType) else f.dataType, True) for f in schema.fields])
+    Array columns (CSV has none) are read as text.  Rows that don't fit the schema keep what
+    does, the rest null, as Spark reads them; ``seed_with_rejects`` keeps them out."""
+    schema = _seed_schema(table, schema)
     reader = spark.read.option("header", True).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
+
+
+def _seed_schema(table: str | None, schema: T.StructType | None) -> T.StructType | None:
+    if schema is None and table is not None:
+        schema = schemas.SCHEMAS[table]
+    if schema is None:
+        return None
+    return T.StructType([T.StructField(f.name, T.StringType() if isinstance(
+        f.dataType, T.ArrayType) else f.dataType, True) for f in schema.fields])
+
+
+def seed_with_rejects(spark: SparkSession, path: str, table: str | None = None,
+                      schema: T.StructType | None = None, options: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows of a CSV seed that fit the declared schema, and (file, record, reason, columns) of those that don't.
+
+    Reasons: ``column_count``, more or fewer fields than columns; ``bad_value``, a field
+    that its column's type can't hold (``columns``: which).  ``options`` are those of Spark's
+    CSV reader.  Both frames read the files on their own.
+    """
+    schema = _seed_schema(table, schema)
+    if schema is None:
+        raise ValueError("name a table or give a schema: without one every row fits")
+    options = options or {}
+    names = [f.name for f in schema.fields]
+    reader = (spark.read.option("header", True).options(**options).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT)
+              .schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])))
+    rows = reader.csv(path)
+    # Generators, not filters: Spark refuses to read the corrupt column alone, as a count would.
+    good = rows.select(F.inline(F.filter(F.array(F.struct(*names)), lambda _: F.col(CORRUPT).isNull())))
+    bad = rows.select(F.input_file_name().alias("file"), F.inline(F.filter(F.array(F.struct(*names, CORRUPT)), lambda r: r[CORRUPT].isNotNull())))
+    # The same record as texts: only a wrong number of fields is corrupt then.
+    texts = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField(CORRUPT, T.StringType())])
+    parse = {**{k: str(v) for k, v in options.items() if k != "header"}, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    bad = bad.withColumn("__t", F.from_csv(F.col(CORRUPT), ", ".join(f"`{f.name}` string" for f in texts), parse))
+    count = F.col(f"__t.{CORRUPT}").isNotNull()
+    wrong = F.array_compact(F.array(*[F.when(F.col(f"__t.{n}").isNotNull() & F.col(n).isNull(), F.lit(n)) for n in names]))
+    rejects = bad.select(
+        "file", F.col(CORRUPT).alias("record"),
+        F.when(count, "column_count").otherwise("bad_value").alias("reason"),
+        F.when(~count, F.array_join(wrong, ",")).alias("columns"))
+    return good, rejects
