@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from rivulet.llm import near_dedup, suffix_dedup
+from rivulet.llm.common import id_text, told_apart
 from rivulet.llm.components import components
 from rivulet.llm.queries import ORACLE_SQL, QUERIES
 from rivulet.llm.shingles import sequences, shingle_set, word_hashes
@@ -72,6 +73,30 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     assert suffix_dedup.remove_repeats(spark, frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("wide", [suffix_dedup.WIDE, 3])
+def test_repeated_rows_open_nothing_more(spark, wide):
+    """Copies of one row, null ids too: the same runs and fragments as from one row of each, and the same cuts."""
+    rng = random.Random(4)
+    prose = lambda n: " ".join(str(rng.random()) for _ in range(n))
+    passage = prose(30)
+    texts = [(d, f"{prose(15)} {passage} {prose(15)} {passage[:300]}") for d in (1, 2, 3, None, None)]
+    sizes, cuts = [], set()
+    for copies in (1, 20, 80):
+        rows = texts + [texts[0], texts[3]] * (copies - 1)
+        rng.shuffle(rows)
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+        docs = told_apart(spark, id_text(frame))
+        found, fragments = suffix_dedup._open_contexts(spark, docs, wide)
+        fragments = fragments.filter("bytes IS NOT NULL").select("bucket", "part", "doc_id", "copy", "start")
+        sizes.append((found.count(), fragments.count()))
+        cuts.add(tuple(sorted({(str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["kept_sha256"])
+                               for r in suffix_dedup.remove_repeats(spark, frame, wide=wide).collect()})))
+    # A run may be settled in its batch and again in its class; a text stands in each of the eight tasks at most.
+    assert len(cuts) == 1
+    assert all(0 < found <= 2 * sizes[0][0] and fragments <= 8 * sizes[0][1] for found, fragments in sizes), sizes
+    assert sizes[2][0] <= 2 * sizes[1][0] and sizes[2][1] <= 2 * sizes[1][1], sizes
+
+
 def test_suffix_query_equals_sql(spark, small, oracle):
     df = QUERIES["op1_suffix_dedup"](spark, small)
     assert sorted(tuple(str(x) for x in r) for r in df.collect()) == oracle(ORACLE_SQL["op1_suffix_dedup"], df.columns)
@@ -154,6 +179,14 @@ def test_near_empty_and_repeated_rows(spark):
     assert near_dedup.near_duplicates(spark, frame.limit(0)).count() == 0
 
 
+def test_repeated_rows_are_compared_once(spark):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f h")]
+    members = spark.createDataFrame([(7, 1), (7, 2), (8, 2)], "key long, rep long")
+    for copies in (1, 200):
+        docs = spark.createDataFrame(rows + rows[:1] * copies, "key long, text string").repartition(8)
+        assert sorted((r["key"], r["rep"]) for r in near_dedup._texts_of(docs, members).collect()) == [(7, 1), (7, 2), (8, 2)]
+
+
 def test_similar_forest_connects_what_links_connect():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 60, 100, dtype=np.uint64)
