@@ -198,8 +198,12 @@ def links(spark: SparkSession, docs: DataFrame, classes: DataFrame, words: int,
     members = (groups.filter(F.col("size") <= leaf).select("key", "rep").unionByName(
         by_node.join(groups.filter(F.col("size") > leaf).select("rep"), "rep").select(F.xxhash64("node").alias("key"), "rep")))
     members = shared_table(spark, members, "members")
-    return (docs.select(F.col("key").alias("rep"), "text").join(members, "rep").select("key", "rep", "text")
-            .repartition("key").sortWithinPartitions("key", "rep").mapInArrow(_confirm(words, percent), "a long, b long"))
+    return (_texts_of(docs, members).repartition("key").sortWithinPartitions("key", "rep").mapInArrow(_confirm(words, percent), "a long, b long"))
+
+
+def _texts_of(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(key, rep, text) of each member; rows of one document key have one text, and repeated ones count once."""
+    return docs.select(F.col("key").alias("rep"), "text").join(members, "rep").select("key", "rep", "text").dropDuplicates(["key", "rep"])
 
 
 def grouped(spark: SparkSession, documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
