@@ -9,10 +9,11 @@ Failures never stop the run (severity ``warn``, D4).  A check on a column the
 model does not have reports ``error`` with NULL failures instead of raising.
 All not-null, range and length checks of one model are conditional counts of one
 aggregate, turned into report rows by exploding the one row it gives (a union of
-selections would be pruned to one column each and scan the model once a check);
-all unique checks of one model are one grouped count over (column, value) pairs
-(map-side combined, so a hot value is pre-counted per task), and their counts
-come from one row too; relationships count child rows per key, then left-anti
+selections would be pruned to one column each and scan the model once a check).
+Unique checks go in two passes: one job counts 64-bit hashes of (column, value) for
+all models (map-side combined, so a hot value is pre-counted per task) and writes
+those that occur twice; only values with such a hash are compared themselves, so
+hashes that collide do not count as repeats.  Relationships count child rows per key, then left-anti
 join the distinct keys against the parent.
 """
 
@@ -25,6 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.operators.rules import written
 from rivulet.sources.tables import MISSING_TABLE
 
 
@@ -147,8 +149,9 @@ def failures_of(check: Check, resolve: Callable[[str], DataFrame]) -> DataFrame
 
 
 def run_checks(spark: SparkSession, checks: Iterable[Check],
-               resolve: Callable[[str], DataFrame]) -> DataFrame:
-    """Report frame for ``checks`` (lazy: one union of small aggregates)."""
+               resolve: Callable[[str], DataFrame], hash64: Callable[..., Column] = F.xxhash64) -> DataFrame:
+    """Report frame for ``checks``: one union of small aggregates, lazy but for the
+    first pass of the unique checks.  ``hash64`` hashes a column to a long."""
     checks = list(checks)
     frames: list[DataFrame] = []
     single: dict[str, list[Check]] = {}
@@ -163,14 +166,16 @@ def run_checks(spark: SparkSession, checks: Iterable[Check],
     for model, group in single.items():
         frames.append(_report_rows(group, resolve(model).agg(
             F.array(*[F.count(F.when(_violates(ch), 1)) for ch in group]).alias("counts"))))
+    twice = _hashes_twice(unique, resolve, hash64) if unique else None
+    # One row a model at most.
+    suspect = {r["model"] for r in twice.select("model").distinct().collect()} if unique else set()
     for model, group in unique.items():
-        # Values are compared as text within one column, which is exact for the
-        # key types checked here.
-        cols = sorted({ch.column for ch in group})
-        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val"))
-                                    for c in cols]))
-        dup = (resolve(model).select(pairs.alias("p")).select("p.col", "p.val")
-               .filter(F.col("val").isNotNull())
+        if model not in suspect:
+            frames.append(_report_rows(group, spark.range(1).select(F.array(*[F.lit(0).cast("long")] * len(group)).alias("counts"))))
+            continue
+        hashes = twice.filter(F.col("model") == model).select("col", "h")
+        # A written table: its size is known, so a small one is broadcast and only values that may repeat are shuffled.
+        dup = (_values(resolve(model), group, hash64).join(hashes, ["col", "h"], "left_semi")
                .groupBy("col", "val").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
                .groupBy("col").agg(F.count(F.lit(1)).alias("dups")))
         frames.append(_report_rows(group, dup.agg(F.array(*[
@@ -181,6 +186,24 @@ def run_checks(spark: SparkSession, checks: Iterable[Check],
     return out
 
 
+def _values(df: DataFrame, group: list[Check], hash64: Callable[..., Column]) -> DataFrame:
+    """(col, val, h) of the columns of unique checks, NULLs left out.  Values are compared
+    as text within one column, which is exact for the key types checked here."""
+    cols = sorted({ch.column for ch in group})
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val")) for c in cols]))
+    return df.select(pairs.alias("p")).select("p.col", "p.val").filter(F.col("val").isNotNull()).withColumn("h", hash64("val"))
+
+
+def _hashes_twice(unique: dict[str, list[Check]], resolve: Callable[[str], DataFrame], hash64: Callable[..., Column]) -> DataFrame:
+    """(model, col, h) of hashes that occur more than once, written to the shared folder."""
+    out = None
+    for model, group in unique.items():
+        hashes = (_values(resolve(model), group, hash64).groupBy("col", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                  .select(F.lit(model).alias("model"), "col", "h"))
+        out = hashes if out is None else out.unionByName(hashes)
+    return written(out)
+
+
 def _violates(check: Check) -> Column:
     """A row that fails a not-null, range or length check."""
     c = F.col(check.column)

@@ -166,6 +166,10 @@ def insert_if_absent(target: DataFrame, rows: DataFrame, key: str | Iterable[str
     return target.unionByName(fresh.join(existing, on=keys, how="left_anti").select(*target.columns))
 
 
+#: Rounds of single links before chains are followed as a whole.
+PLAIN_ROUNDS = 3
+
+
 def insert_on_conflict_do_nothing(target: DataFrame, rows: DataFrame,
                                   unique_keys: Iterable[str], order: str = "id") -> DataFrame:  # R8
     """``INSERT ... ON CONFLICT DO NOTHING`` without a conflict target, one row at
@@ -175,39 +179,84 @@ def insert_on_conflict_do_nothing(target: DataFrame, rows: DataFrame,
     Rows are settled in rounds.  A row that comes first on all its keys among
     the unsettled ones is inserted whatever else happens; rows that share a key
     with it are skipped.  A skipped row frees its other keys, so the rest goes
-    another round, as many as the longest chain of conflicts.  Each round is
-    written to the shared folder: lineage does not grow with the rounds.
+    another round.  After ``PLAIN_ROUNDS`` rounds whole chains are settled at once
+    (``_along_chains``): a chain of n conflicts takes log n joins.  Only rows that
+    conflict with two or more earlier unsettled ones wait, so further rounds follow
+    the longest chain of such rows.  Each round is written to the shared folder:
+    lineage does not grow with the rounds.  ``order`` names a row.
     """
     unique_keys = list(unique_keys)
     fresh = rows.select(*target.columns)
     for k in unique_keys:
         fresh = _without_keys_of(fresh, target, k)
-    fresh = _written(fresh)
-    accepted = None
+    fresh = written(fresh)
+    accepted, rounds = None, 0
     while True:
-        firsts = fresh
-        for i, k in enumerate(unique_keys):
-            # min is a partial aggregate: a hot key is one row per task.
-            first = (fresh.filter(F.col(k).isNotNull()).groupBy(F.col(k).alias(f"__k{i}"))
-                     .agg(F.min(order).alias(f"__first{i}")))
-            firsts = firsts.join(first, F.col(k) == F.col(f"__k{i}"), "left").filter(
-                F.col(k).isNull() | (F.col(order) == F.col(f"__first{i}")))
-        firsts = _written(firsts.select(*target.columns))
-        accepted = firsts if accepted is None else accepted.unionByName(firsts)
-        rest = fresh.join(firsts.select(order), on=order, how="left_anti")
+        if rounds < PLAIN_ROUNDS:
+            chosen = written(_firsts(fresh, unique_keys, order))
+        else:
+            chosen = written(fresh.join(_along_chains(fresh, unique_keys, order), on=order, how="left_semi").select(*target.columns))
+        accepted = chosen if accepted is None else accepted.unionByName(chosen)
+        rest = fresh.join(chosen.select(order), on=order, how="left_anti")
         for k in unique_keys:
-            rest = _without_keys_of(rest, firsts, k)
-        fresh = _written(rest.select(*target.columns))
+            rest = _without_keys_of(rest, chosen, k)
+        fresh, rounds = written(rest.select(*target.columns)), rounds + 1
         if fresh.isEmpty():
             return target.unionByName(accepted)
 
 
+def _firsts(fresh: DataFrame, unique_keys: list[str], order: str) -> DataFrame:
+    """Rows that come first on all their keys."""
+    firsts = fresh
+    for i, k in enumerate(unique_keys):
+        # min is a partial aggregate: a hot key is one row per task.
+        first = (fresh.filter(F.col(k).isNotNull()).groupBy(F.col(k).alias(f"__k{i}"))
+                 .agg(F.min(order).alias(f"__first{i}")))
+        firsts = firsts.join(first, F.col(k) == F.col(f"__k{i}"), "left").filter(
+            F.col(k).isNull() | (F.col(order) == F.col(f"__first{i}")))
+    return firsts.select(*fresh.columns)
+
+
+def _along_chains(fresh: DataFrame, unique_keys: list[str], order: str) -> DataFrame:
+    """(order) of the rows that go in, as far as chains of conflicts decide it.
+
+    A row with one earlier conflict goes in exactly where that one does not, so it
+    points there with a change of sign.  Pointers are doubled until each ends at a
+    row without such a pointer: one that goes in (no earlier conflict), or one with
+    several earlier conflicts, which leaves its chain open.
+    """
+    links = fresh
+    for i, k in enumerate(unique_keys):
+        keyed = fresh.filter(F.col(k).isNotNull()).select(F.col(k).alias(f"__k{i}"), F.col(order).alias("__o"))
+        first = keyed.groupBy(f"__k{i}").agg(F.min("__o").alias(f"__first{i}"))
+        second = keyed.join(first, f"__k{i}").filter(F.col("__o") > F.col(f"__first{i}")).groupBy(f"__k{i}").agg(F.min("__o").alias(f"__second{i}"))
+        links = links.join(first.join(second, f"__k{i}", "left"), F.col(k) == F.col(f"__k{i}"), "left")
+    o = F.col(order)
+    # Earlier conflicts on a key: none, the first row, or (beyond the second row) several.
+    earlier = F.array_distinct(F.array_compact(F.array(*[F.when(F.col(f"__first{i}") < o, F.col(f"__first{i}")) for i in range(len(unique_keys))])))
+    several = F.lit(False)
+    for i in range(len(unique_keys)):
+        several = several | F.coalesce(F.col(f"__second{i}") < o, F.lit(False))
+    links = written(links.select(o.alias("row"), earlier.alias("earlier"), several.alias("several")).select(
+        "row", F.when((F.size("earlier") == 1) & ~F.col("several"), F.col("earlier")[0]).alias("to"),
+        F.lit(True).alias("flip"), ((F.size("earlier") == 0)).alias("in_")))
+    ends = links.filter(F.col("to").isNull()).select(F.col("row").alias("to"), "in_")
+    moving = links.filter(F.col("to").isNotNull()).select("row", "to", "flip")
+    while not moving.join(ends, "to", "left_anti").isEmpty():
+        # A pointer at an end stays; the others jump to where their target points.
+        jump = moving.select(F.col("row").alias("to"), F.col("to").alias("__to"), F.col("flip").alias("__flip"))
+        moving = written(moving.join(jump, "to", "left").select(
+            "row", F.coalesce("__to", "to").alias("to"), (F.col("flip") != F.coalesce("__flip", F.lit(False))).alias("flip")))
+    settled = moving.join(ends, "to").filter(F.col("in_") & ~F.col("flip")).select("row").unionByName(links.filter("in_").select("row"))
+    return settled.select(F.col("row").alias(order))
+
+
 def _without_keys_of(rows: DataFrame, settled: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` no settled row has; NULL never conflicts."""
     return rows.join(settled.select(key).filter(F.col(key).isNotNull()), on=key, how="left_anti")
 
 
-def _written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder."""
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/rules-{uuid.uuid4().hex}"
     df.write.parquet(path)

@@ -624,6 +624,7 @@ def _quality_sql():
     SQL["o2_refresh_then_test"] = SQL["dq_declared_tests"]
     SQL["dq_ddl_constraints"] = checks_sql(DDL + REPLICA_LENGTH_CHECKS)
     SQL["o1_refresh_silver_gold"] = SQL["gold_visao_geral_clientes"]
+    SQL["s6_published_tables"] = SQL["dim_clientes"]
     SQL["dq_non_empty"] = with_tables("clientes", "pedidos") + """
 select (select count(*) from clientes) > 0 as has_clientes, (select count(*) from pedidos) > 0 as has_pedidos,
   (select count(*) from clientes) > 0 or (select count(*) from pedidos) > 0 as ok

@@ -378,6 +378,16 @@ def o1_refresh_silver_gold(spark, sf_dir):
     return comparable(m.ref("gold_visao_geral_clientes"))
 
 
+@register("s6_published_tables")
+def s6_published_tables(spark, sf_dir):
+    """Two refreshes into the catalog: the second one's swap is what is read."""
+    from rivulet.plans.medallion import layer_schema, refresh
+    where = _lake(spark)
+    for _ in range(2):
+        refresh(models(spark, sf_dir), ("dimension",), use_catalog=True, database_root=where)
+    return comparable(spark.table(f"{layer_schema('silver')}.dim_clientes"))
+
+
 @register("o2_refresh_then_test")
 def o2_refresh_then_test(spark, sf_dir):
     from rivulet.plans.medallion import refresh_and_test

@@ -84,6 +84,7 @@ def local_session(cores: int | str = "*", app: str = "rivulet",
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.scheduler.mode", "FAIR")  # models refreshed at a time share the cores
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("RIVULET_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
