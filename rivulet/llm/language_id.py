@@ -14,7 +14,8 @@ with the public tokenizer and sends one row for each (language, piece), so what
 languages times the vocabulary (``MOST_LANGUAGES`` checks the former).  Scoring
 only scans: distinct words of a batch go through the forward algorithm once, in
 numpy, words of like length together, over a rolling window as long as the
-vocabulary's longest piece.
+vocabulary's longest piece.  A word over ``LONG`` bytes goes alone, block by block, in
+time that follows its length.
 
 Defined results: null text or text without a letter is ``und`` with score 0, so
 is any text if nothing was learned; rows with null text or language teach
@@ -46,6 +47,8 @@ KNOWN = 300_000
 PIECE = math.inf
 #: Words that go through the forward algorithm together.
 TOGETHER = 1 << 12
+#: Words over so many bytes go alone, block by block.
+LONG, LONG_BLOCK = 2048, 1 << 16
 _WORD = re.compile(r"[^\W\d_]+")
 _BASE, _SPREAD = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xC2B2AE3D27D4EB4F)
 _SLOTS = 22
@@ -117,7 +120,10 @@ class Model:
         out = np.zeros((len(words), len(self.languages)))
         length = np.fromiter(map(len, words), np.int64, len(words))
         order = np.argsort(-length, kind="stable")
-        for a in range(0, len(words), TOGETHER):
+        alone = int((length > LONG).sum())
+        for i in order[:alone].tolist():
+            out[i] = self._forward_long(words[i])
+        for a in range(alone, len(words), TOGETHER):
             part = order[a:a + TOGETHER]
             out[part] = self._forward([words[i] for i in part.tolist()], length[part])
         return out
@@ -161,6 +167,48 @@ class Model:
             out[ended] = np.log10(np.maximum(forward[slot_next, ended], 1e-300)) + scale[slot_next, ended]
         return out
 
+    def _forward_long(self, word: bytes) -> np.ndarray:
+        """Scores of one long word.  The pieces that begin in a block are found at once, a
+        length at a time; then each position hands its chance on to the ends of its pieces."""
+        keys, slots, chance, most, width = self.table
+        nothing, n, out = len(chance) - 1, len(word), np.zeros(len(self.languages))
+        ahead = [[1.0] + [0.0] * width for _ in self.languages]  # chances of the next positions, over 10 ** scale
+        for a in range(0, n, LONG_BLOCK):
+            size = min(LONG_BLOCK, n - a)
+            data = np.frombuffer(word, np.uint8, min(size + width, n - a), a).astype(np.uint64) + np.uint64(1)
+            hashes, begin, end, piece = np.zeros(size, np.uint64), [], [], []
+            for k in range(1, min(width, len(data)) + 1):
+                count = min(size, len(data) - k + 1)
+                hashes = hashes[:count] * _BASE + data[k - 1:k - 1 + count]
+                key = hashes * _SPREAD
+                slot = slots[key >> _SHIFT]
+                at = np.full(count, nothing)
+                for m in range(most):
+                    same = keys[slot + m] == key
+                    at[same] = slot[same] + m
+                hit = np.flatnonzero(at != nothing)
+                begin.append(hit)
+                end.append(hit + k)
+                piece.append(at[hit])
+            begin = np.concatenate(begin)
+            order = np.argsort(begin, kind="stable")
+            first = np.searchsorted(begin[order], np.arange(size + 1)).tolist()
+            end, piece = np.concatenate(end)[order].tolist(), np.concatenate(piece)[order]
+            for lang in range(len(self.languages)):
+                each = chance[piece, lang].tolist()
+                total = ahead[lang] + [0.0] * size
+                for i in range(size):
+                    here = total[i]
+                    for m in range(first[i], first[i + 1]):
+                        total[end[m]] += here * each[m]
+                    if here < 1e-100:
+                        high = max(total[i + 1:i + 1 + width])
+                        if high < 1e-100:
+                            total[i + 1:i + 1 + width] = [x / high for x in total[i + 1:i + 1 + width]]
+                            out[lang] += math.log10(high)
+                ahead[lang] = total[size:size + width + 1]
+        return out + np.log10(np.maximum([x[0] for x in ahead], 1e-300))
+
     def _distinct_scores(self, words: list[str]) -> np.ndarray:
         """log10 probability (word, language); words seen before come from a bounded store."""
         if len(self.known) > KNOWN:

@@ -1,6 +1,7 @@
 """Language ID, language model, toxicity and neighbours: brute force, held-out quality, odd inputs."""
 import collections
 import itertools
+import time
 import math
 import re
 import zlib
@@ -37,6 +38,24 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(got, np.log10(total), rtol=1e-9)
 
 
+def test_one_very_long_word():
+    ranks = byte_ranks(tokenizer_path(language_id.VOCABULARY))
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 50, (len(ranks), 2)).astype(float)
+    model = language_id.Model(["a", "b"], counts)
+    # One language at a time: together, the short-word form holds the one behind at 300 decades.
+    single = [language_id.Model(["x"], counts[:, k:k + 1]) for k in range(2)]
+    letters = np.frombuffer("abcdefghij".encode(), np.uint8)
+    for data in (b"international" * 400, "слово".encode() * 600, bytes(rng.choice(letters, language_id.LONG_BLOCK + 3000))):
+        want = [m._forward([data], np.array([len(data)]))[0, 0] for m in single]
+        assert np.allclose(model._forward_long(data), want, rtol=1e-9)
+        assert (model.word_scores([data, b"x"])[0] == model._forward_long(data)).all()
+    # 5 MB without a break go through.
+    start = time.time()
+    langs, score = model.predict(["international" * 400_000, "x"])
+    assert len(langs) == 2 and np.isfinite(score).all() and time.time() - start < 120
+
+
 def test_languages_of_held_out_documents(spark):
     rows = QUERIES["op7_language_id"](spark, MIDDLE).collect()
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "lang").collect()}
