@@ -20,7 +20,8 @@ Two scans: the first sends a row for each node of a page and its content hash,
 which Spark counts for each (host, path) - equal contents add up before the
 shuffle, so a host with a third of all pages costs no task more than its
 distinct contents; the second parses each page again and drops the branches
-listed for it.  Text never travels with the counts.
+listed for it.  Text never travels with the counts.  A node's row names its parent only;
+what hangs below a node is summed up over the tree in log(depth) rounds.
 
 Defined results: null html is empty; an empty page has an empty text; a null url
 is a host of its own; character references are decoded, white space inside a
@@ -34,6 +35,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -83,11 +85,12 @@ def signed(value: int) -> int:
 
 
 class Node:
-    __slots__ = ("tag", "path", "noise", "article", "link", "parent", "children", "seen")
+    __slots__ = ("tag", "path", "noise", "article", "link", "parent", "children", "block")
 
     def __init__(self, tag, path, noise, article, link, parent):
         self.tag, self.path, self.noise, self.article, self.link, self.parent = tag, path, noise, article, link, parent
         self.children: list[str] = []
+        self.block = self if parent is None or tag in BLOCK_TAGS else parent.block  # the innermost block around
 
 
 _LABELS: dict[tuple[str, str], tuple[str, bool, bool]] = {}
@@ -122,13 +125,14 @@ def _label(tag: str, attrs: str) -> tuple[str, bool, bool]:
     return label, noise, article
 
 
-def parse(text: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[tuple[int, str]]]:
-    """Blocks (text, paths from the leaf up, characters inside links), and nodes (path, child tags) without noise.
+def parse(text: str) -> tuple[list[tuple[str, Node, int]], list[Node]]:
+    """Blocks (text, node, characters inside links), and nodes with children, without noise.
 
-    On a page that marks its article only what is inside the mark remains.
+    On a page that marks its article only what is inside the mark remains.  Nodes know
+    their parent, so a page takes memory by its tags, however deep they are.
     """
     root = Node("", 0, False, False, False, None)
-    stack, nodes = [root], [root]
+    stack, nodes, opened = [root], [root], Counter()
     blocks: list[tuple[str, Node, int, bool]] = []
     pieces: list[str] = []
     owner, linked = root, 0
@@ -147,7 +151,7 @@ def parse(text: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[tuple
         if token.start() > at and not top.noise:
             piece = html_lib.unescape(text[at:token.start()])
             if not pieces:
-                owner = next((n for n in reversed(stack) if n.tag in BLOCK_TAGS), root)
+                owner = stack[-1].block
             pieces.append(piece)
             if top.link:
                 linked += len(piece)
@@ -159,15 +163,13 @@ def parse(text: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[tuple
         if tag in BLOCK_TAGS:
             flush()
         if token["end"]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if opened[tag]:
+                _cut(stack, next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), opened)
             continue
         if tag in CLOSES_P:
-            _close(stack, ("p",), ("table", "td", "th", "button", "div", "section", "article", "body", "li", "blockquote"))
+            _close(stack, opened, ("p",), ("table", "td", "th", "button", "div", "section", "article", "body", "li", "blockquote"))
         if tag in CLOSED_BY:
-            _close(stack, CLOSED_BY[tag], SCOPES[tag])
+            _close(stack, opened, CLOSED_BY[tag], SCOPES[tag])
         parent = stack[-1]
         label, noise, article = _label(tag, token["attrs"] or "")
         parent.children.append(tag)
@@ -180,28 +182,31 @@ def parse(text: str) -> tuple[list[tuple[str, tuple[int, ...], int]], list[tuple
         if not node.noise:
             nodes.append(node)
         stack.append(node)
+        opened[tag] += 1
     if at < len(text) and not stack[-1].noise:
         if not pieces:
-            owner = next((n for n in reversed(stack) if n.tag in BLOCK_TAGS), root)
+            owner = stack[-1].block
         pieces.append(html_lib.unescape(text[at:]))
     flush()
     if any(marked for *_, marked in blocks):
         blocks = [b for b in blocks if b[3]]
-    out = []
-    for words, node, links, _ in blocks:
-        up = []
-        while node is not None:
-            up.append(node.path)
-            node = node.parent
-        out.append((words, tuple(up), links))
-    return out, [(n.path, " ".join(_runs(n.children))) for n in nodes if n.children]
+    return [b[:3] for b in blocks], [n for n in nodes if n.children]
 
 
-def _close(stack: list[Node], tags: tuple[str, ...], scopes: tuple[str, ...]) -> None:
+def _cut(stack: list[Node], k: int, opened: Counter) -> None:
+    """Close the tags from the k-th on."""
+    for node in stack[k:]:
+        opened[node.tag] -= 1
+    del stack[k:]
+
+
+def _close(stack: list[Node], opened: Counter, tags: tuple[str, ...], scopes: tuple[str, ...]) -> None:
     """Close the innermost of ``tags`` that is open inside the nearest of ``scopes``."""
+    if not any(opened[t] for t in tags):
+        return
     for k in range(len(stack) - 1, 0, -1):
         if stack[k].tag in tags:
-            del stack[k:]
+            _cut(stack, k, opened)
             return
         if stack[k].tag in scopes:
             return
@@ -219,13 +224,13 @@ def _hash(text: str) -> int:
 
 
 #: kind 0: content of a leaf; 1: presentation of a node.
-NODES = "page long, host string, kind byte, path long, up array<long>, content long, chars long, links long"
+NODES = "page long, host string, kind byte, path long, parent long, content long, chars long, links long"
 
 
 def _nodes(batches):
     """Scan side: the nodes of each page; ``page`` is a hash of all its content."""
     names = [x.split()[0] for x in NODES.split(", ")]
-    kinds = [pa.int64(), pa.string(), pa.int8(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64()]
+    kinds = [pa.int64(), pa.string(), pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
     for batch in batches:
         rows = []
         for i in range(batch.num_rows):
@@ -233,65 +238,112 @@ def _nodes(batches):
             host = batch.column("host")[i].as_py()
             page = _hash("\0".join(b for b, *_ in blocks))
             by_leaf: dict[int, list] = {}
-            for words, up, links in blocks:
-                leaf = by_leaf.setdefault(up[0], [up, [], 0, 0])
+            for words, node, links in blocks:
+                leaf = by_leaf.setdefault(node.path, [node, [], 0, 0])
                 leaf[1].append(words)
                 leaf[2] += len(words)
                 leaf[3] += links
-            rows += [(page, host, 0, signed(path), [signed(p) for p in up], _hash("\0".join(words)), chars, links)
-                     for path, (up, words, chars, links) in by_leaf.items()]
-            rows += [(page, host, 1, signed(path), None, _hash(tags), 0, 0) for path, tags in set(nodes)]
+            rows += [(page, host, 0, signed(path), _parent(node), _hash("\0".join(words)), chars, links)
+                     for path, (node, words, chars, links) in by_leaf.items()]
+            looks = {(n.path, " ".join(_runs(n.children))): n for n in nodes}
+            rows += [(page, host, 1, signed(path), _parent(node), _hash(tags), 0, 0) for (path, tags), node in looks.items()]
             if len(rows) > 50_000:
                 yield _batch(rows, names, kinds)
                 rows = []
         yield _batch(rows, names, kinds)
 
 
+def _parent(node: Node) -> int | None:
+    return None if node.parent is None else signed(node.parent.path)
+
+
 def _batch(rows, names, kinds):
     columns = list(zip(*rows, strict=True)) or [[]] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
+def style_tree(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """(host, path, importance, link_share, n_pages) of every node; pages: (host, html)."""
     nodes = pages.mapInArrow(_nodes, NODES)
     # Pages of equal content count once.
     once = nodes.groupBy("host", "kind", "path", "content", "page").agg(
-        F.first("up").alias("up"), F.max("chars").alias("chars"), F.max("links").alias("links"))
+        F.min("parent").alias("parent"), F.max("chars").alias("chars"), F.max("links").alias("links"))
     contents = once.groupBy("host", "kind", "path", "content").agg(
-        F.count("*").alias("n"), F.first("up").alias("up"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+        F.count("*").alias("n"), F.min("parent").alias("parent"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
     # Entropy of n_i / N over log N, from sums: log N - sum(n log n) / N.
     variety = contents.groupBy("host", "kind", "path").agg(
-        F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("nlogn"), F.first("up").alias("up"),
+        F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("nlogn"), F.min("parent").alias("parent"),
         F.sum("chars").alias("chars"), F.sum("links").alias("links")).withColumn(
         "variety", F.when(F.col("pages") <= 1, F.lit(1.0)).otherwise(1 - F.col("nlogn") / (F.col("pages") * F.log("pages"))))
-    below = (variety.filter("kind = 0").select("host", "variety", "chars", "links", "pages", F.explode("up").alias("path"))
-             .groupBy("host", "path").agg(
-                 (F.sum(F.col("variety") * F.col("chars")) / F.sum("chars")).alias("content"), F.count("*").alias("leaves"),
-                 (F.sum("links") / F.sum("chars")).alias("link_share"), F.max("pages").alias("n_pages")))
-    looks = variety.filter("kind = 1").select("host", "path", F.col("variety").alias("presentation"))
+    leaf = F.col("kind") == 0
+    own = variety.groupBy("host", "path").agg(
+        F.min("parent").alias("jump"), F.max(F.when(~leaf, F.col("variety"))).alias("presentation"),
+        *(F.sum(F.when(leaf, value).otherwise(F.lit(0))).alias(name) for name, value in (
+            ("weighed", F.col("variety") * F.col("chars")), ("chars", F.col("chars")), ("links", F.col("links")), ("leaves", F.lit(1)))),
+        F.max(F.when(leaf, F.col("pages")).otherwise(F.lit(0))).alias("n_pages"))
     weight = F.pow(F.lit(DECAY), F.col("leaves"))
+    content = F.col("weighed") / F.col("chars")
     # A leaf, and a node that looks the same everywhere, is as important as its content.
-    return below.join(looks, ["host", "path"], "left").select(
-        "host", "path", "link_share", "n_pages",
-        F.greatest(F.col("content"), (1 - weight) * F.coalesce("presentation", F.lit(0.0)) + weight * F.col("content")).alias("importance"))
+    return _summed_up(spark, own).filter("leaves > 0").select(
+        "host", "path", (F.col("links") / F.col("chars")).alias("link_share"), "n_pages",
+        F.greatest(content, (1 - weight) * F.coalesce("presentation", F.lit(0.0)) + weight * content).alias("importance"))
+
+
+def _summed_up(spark: SparkSession, own: DataFrame) -> DataFrame:
+    """Sums of each node and all below it.
+
+    Before the k-th round a node holds the sums of what is less than 2 ** k levels below
+    it, and ``jump`` names its ancestor that many levels up; it sends its sums there.  A
+    tree of depth d takes log d rounds, each linear in its nodes.
+    """
+    sums = ("weighed", "chars", "links", "leaves")
+    nodes = shared_table(spark, own, "sums")
+    while not (going := nodes.filter("jump IS NOT NULL")).isEmpty():
+        sent = going.groupBy("host", F.col("jump").alias("path")).agg(
+            *(F.sum(c).alias(f"{c}_sent") for c in sums), F.max("n_pages").alias("n_pages_sent"))
+        above = nodes.select("host", F.col("path").alias("jump"), F.col("jump").alias("next"))
+        nodes = shared_table(spark, (
+            nodes.join(sent, ["host", "path"], "left").join(above, ["host", "jump"], "left").select(
+                "host", "path", F.col("next").alias("jump"), "presentation",
+                *((F.col(c) + F.coalesce(f"{c}_sent", F.lit(0))).alias(c) for c in sums),
+                F.greatest("n_pages", "n_pages_sent").alias("n_pages"))), "sums", free=False)
+    return nodes
 
 
 def _paths(batches):
     """Page rows to (page_id, print, host, paths of its blocks)."""
     for batch in batches:
-        found = [sorted({signed(p) for _, up, _ in parse(t)[0] for p in up}) for t in batch.column("html").to_pylist()]
+        found = []
+        for text in batch.column("html").to_pylist():
+            paths: set[int] = set()
+            for _, node, _ in parse(text)[0]:
+                while node is not None and node.path not in paths:
+                    paths.add(node.path)
+                    node = node.parent
+            found.append(sorted(map(signed, paths)))
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("print"), batch.column("host"), pa.array(found, pa.list_(pa.int64()))],
                                          names=["page_id", "print", "host", "paths"])
 
 
+def _is_cut(node: Node, cut: dict[int, bool]) -> bool:
+    """Whether a node or one around it is removed; ``cut`` holds what is known of paths."""
+    way = []
+    while node is not None and node.path not in cut:
+        way.append(node.path)
+        node = node.parent
+    known = node is not None and cut[node.path]
+    cut.update(dict.fromkeys(way, known))
+    return known
+
+
 def _text(batches):
     for batch in batches:
         texts = []
         for page, removed in zip(batch.column("html").to_pylist(), batch.column("removed").to_pylist(), strict=True):
             gone = set(removed or ())
             blocks, _ = parse(page)
-            texts.append(" ".join(words for words, up, _ in blocks if not (gone and any(signed(p) in gone for p in up))))
+            cut = {path % (1 << 64): True for path in gone}
+            texts.append(" ".join(words for words, node, _ in blocks if not (gone and _is_cut(node, cut))))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
             names=["page_id", "url", "text", "n_chars"])
@@ -306,7 +358,7 @@ def extract(spark: SparkSession, pages: DataFrame, least_importance: float = LEA
     # Pages that share a page_id, or have none, are told apart by host and content.
     given = given.withColumn("print", F.xxhash64("host", "html"))
     low = shared_table(spark, (
-        style_tree(given.select("host", "html"))
+        style_tree(spark, given.select("host", "html"))
         .filter((F.col("n_pages") >= least_pages) & ((F.col("importance") < least_importance) | (F.col("link_share") > link_share)))
         .select("host", "path")), "tree")
     # Pages that hold a low branch; on most sites few paths are low, so few rows meet.

@@ -254,3 +254,65 @@ def test_pages_of_one_id_are_cut_each_by_their_own_host(spark):
     got = {r["url"]: r["text"] for r in html_extract.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert len(got) == 9 and got["http://b.example/0"].startswith("same on all")
     assert all(not got[f"http://a.example/{k}"].startswith("same") for k in range(8))
+
+
+def test_very_deep_and_very_long_pages(spark):
+    """Fifty thousand open tags, each with a text, and pages of one deep host whose shared branch goes."""
+    deep = "".join(f"<div>x{i} " for i in range(50_000))
+    blocks, nodes = html_extract.parse(deep)
+    assert len(blocks) == 50_000 and len(nodes) == 50_000
+    inline = "<p>" + "<span>y " * 50_000 + "</nothing>" * 50_000
+    assert len(html_extract.parse(inline)[0]) == 1
+    long = "<p>" + "word " * 400_000 + "</p>"
+    rows = [(1, "http://deep/1", deep), (2, "http://long/2", long), (3, "http://spans/3", inline)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(
+        spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == " ".join(f"x{i}" for i in range(50_000)) and got[2] == " ".join(["word"] * 400_000)
+    assert got[3] == " ".join(["y"] * 50_000)
+
+
+def test_sums_over_the_tree(spark):
+    """Importance, link shares and pages of each node against a plain walk up from every leaf."""
+    import math
+    from collections import defaultdict
+    rnd = random.Random(4)
+    pages = []
+    for i in range(12):
+        inner = "".join(f'<div class="{rnd.choice("abcd")}"><p>{rnd.choice(["same", f"own {i} {rnd.random()}"])}</p>'
+                        f'<ul><li>one</li><li><a href="#">{rnd.choice(["link", "other"])}</a></li></ul></div>' for _ in range(rnd.randint(1, 5)))
+        pages.append(f"<body><section><div class=x>{inner}</div></section></body>")
+    own, looks, up_of = defaultdict(lambda: defaultdict(dict)), defaultdict(lambda: defaultdict(set)), {}
+    for page in pages:
+        blocks, nodes = html_extract.parse(page)
+        name, leaves = html_extract._hash("\0".join(b[0] for b in blocks)), defaultdict(list)
+        for words, node, links in blocks:
+            leaves[node.path].append((words, links))
+            up = []
+            while node is not None:
+                up.append(node.path)
+                node = node.parent
+            up_of[up[0]] = up
+        for path, found in leaves.items():
+            own[path]["\0".join(w for w, _ in found)][name] = (sum(len(w) for w, _ in found), sum(k for _, k in found))
+        for node in nodes:
+            looks[node.path][" ".join(html_extract._runs(node.children))].add(name)
+
+    def variety(counts):
+        total = sum(counts)
+        return 1.0 if total <= 1 else -sum(n / total * math.log(n / total) for n in counts) / math.log(total)
+    below = defaultdict(list)
+    for path, contents in own.items():
+        chars, links = (sum(v[k] for pages_of in contents.values() for v in pages_of.values()) for k in (0, 1))
+        for p in up_of[path]:
+            below[p].append((variety([len(v) for v in contents.values()]), chars, links, sum(map(len, contents.values()))))
+    want = {}
+    for path, leaves in below.items():
+        content = sum(v * c for v, c, *_ in leaves) / sum(c for _, c, *_ in leaves)
+        weight = html_extract.DECAY ** len(leaves)
+        shape = variety([len(v) for v in looks[path].values()]) if path in looks else 0.0
+        want[html_extract.signed(path)] = (max(content, (1 - weight) * shape + weight * content),
+                                           sum(k for *_, k, _ in leaves) / sum(c for _, c, *_ in leaves), max(n for *_, n in leaves))
+    tree = html_extract.style_tree(spark, spark.createDataFrame([("h", p) for p in pages], "host string, html string")).collect()
+    assert {r["path"] for r in tree} == set(want)
+    for r in tree:
+        assert (r["importance"], r["link_share"], r["n_pages"]) == pytest.approx(want[r["path"]], abs=1e-9)
