@@ -77,6 +77,7 @@ def days_between(later, earlier) -> Column:
 
 
 # ---------------------------------------------------------------- derived columns
+# The labels and thresholds of E1-E15, G3 and G4, which results must equal.
 
 def categoria_cliente(data_cadastro, as_of) -> Column:  # E1
     c = _c(data_cadastro)
