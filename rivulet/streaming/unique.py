@@ -36,9 +36,11 @@ def _at(offset, partition):
     return F.struct(offset.cast("long").alias("offset"), partition.cast("int").alias("partition"))
 
 
-def _timeline(typed: DataFrame, column: str, held: DataFrame | None) -> DataFrame:
+def _timeline(typed: DataFrame, column: str, held: DataFrame | None, path: str) -> DataFrame:
     """(key, at, value) of the events that set or release the column of keys with contested values.
 
+    Those of all keys are written to ``path`` first: the events are parsed once.
+
     ``held``: folded keys (``fold_keys``) of the state that the events come upon; a value
     held counts as a claim at the offset that set it.
     """
@@ -51,6 +53,8 @@ def _timeline(typed: DataFrame, column: str, held: DataFrame | None) -> DataFram
         floor = F.coalesce(F.col("ld"), F.lit(NO_DELETE))
         events = events.unionByName(held.filter((F.col("lu") > floor) & (last["o"] > floor) & last["v"].isNotNull())
                                     .select("key", _at(last["o"], F.lit(-1)).alias("at"), last["v"].alias("value")))
+    events.write.parquet(path)
+    events = events.sparkSession.read.schema(events.schema).parquet(path)
     contested = (events.filter(F.col("value").isNotNull()).groupBy("value")
                  .agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low <> high").select("value"))
     keys = events.join(contested, "value", "left_semi").select("key").distinct()
@@ -61,7 +65,7 @@ def violations(typed: DataFrame, column: str, held: DataFrame | None = None) ->
     """(offset, partition) of the events that the UNIQUE column rejects."""
     spark = typed.sparkSession
     folder = f"{checkpoint_dir(spark).rstrip('/')}/unique-{uuid.uuid4().hex}"
-    rows = _timeline(typed, column, held).withColumn("ok", F.lit(True)).withColumn("was", F.lit(True))
+    rows = _timeline(typed, column, held, f"{folder}/events").withColumn("ok", F.lit(True)).withColumn("was", F.lit(True))
     by_key = Window.partitionBy("key", "ok").orderBy("at")
     before = Window.partitionBy("value").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     round_ = 0
