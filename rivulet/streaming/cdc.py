@@ -521,12 +521,16 @@ class SnapshotSink:
         return T.StructType([T.StructField("key", kinds[route.pk]), T.StructField("ld", T.LongType()),
                              T.StructField("lu", T.LongType()), *last])
 
-    def _read(self, table: str, runs: list[dict]) -> DataFrame:
-        """Merged keys of some runs."""
+    def _rows(self, table: str, runs: list[dict]) -> DataFrame:
+        """Folded keys of some runs, a row a run."""
         schema = self._key_schema(self._by_table[table])
         if not runs:
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).parquet(*[f"{self.root}/{r['path']}" for r in runs])
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{r['path']}" for r in runs])
+
+    def _read(self, table: str, runs: list[dict]) -> DataFrame:
+        """Merged keys of some runs."""
+        rows = self._rows(table, runs)
         return merge_keys(rows) if len(runs) > 1 else rows
 
     def state(self, table: str, before: int | None = None, keys: tuple[int, int] | None = None) -> DataFrame:
@@ -583,27 +587,48 @@ class SnapshotSink:
         return self.spark.read.schema(ddl).parquet(*paths) if paths else None
 
     # -- writing
-    def _batch_stats(self, parsed: DataFrame, typed: dict[str, DataFrame]) -> list:
-        """One job over the persisted batch: per (table, topic, partition) the applied count,
+    def _stage(self, df: DataFrame, folder: str) -> DataFrame:
+        """Write ``df`` into a staging folder and read it from there."""
+        path = f"{self.root}/{folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _stage_batch(self, events: DataFrame, runs: dict[str, list[dict]], folder: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+        """(rejects that belong to no table, checked events of each table), parsed once and written to ``folder``.
+
+        Files, not a cache: a batch of any size takes no executor's memory, and every
+        later step reads the columns that it needs.  A table's filter is on the topic, so
+        its scan parses its own events only.  ``value`` is kept where it may be rejected.
+        """
+        parsed = parse_events(events, self.routes)
+        stray = self._stage(parsed.filter(F.col("table").isNull() & (F.col("reason") != "tombstone")).select(*REJECT_COLS), folder)
+        checked = {}
+        for route in self.routes.values():
+            typed = typed_events(parsed, route, self.ts_unit)
+            if not self.unique or route.table not in ENFORCED:
+                checked[route.table] = self._stage(typed.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))), folder)
+                continue
+            from rivulet.streaming.unique import enforce
+            held = self._read(route.table, runs[route.table]) if runs[route.table] else None
+            checked[route.table] = self._stage(enforce(self._stage(typed, folder), route, held), folder)
+        return stray, checked
+
+    def _batch_stats(self, stray: DataFrame, checked: dict[str, DataFrame]) -> list:
+        """One job over the staged batch: per (table, topic, partition) the applied count,
         last offset and last event, and the rejected count.
 
-        Rows are bounded by tables x partitions of topics, not by the batch size.  Parse-level
-        rejects come from ``parsed`` (their table may be unknown); value-level
-        rejects from the typed rows.
+        Rows are bounded by tables x partitions of topics, not by the batch size;
+        rejects that belong to no table are one row.
         """
-        parts = [parsed.select(F.lit(None).cast("string").alias("table"), "topic", "partition",
-                               F.lit(None).cast("long").alias("ok_offset"),
-                               F.lit(None).cast("timestamp").alias("ok_ts"),
-                               (F.col("reason").isNotNull() & (F.col("reason") != "tombstone")).alias("bad"))]
-        for table, t in typed.items():
+        rows = stray.select(*[F.lit(None).cast(t).alias(c) for c, t in (
+            ("table", "string"), ("topic", "string"), ("partition", "int"), ("ok_offset", "long"), ("ok_ts", "timestamp"))],
+            F.lit(True).alias("bad"))
+        for table, t in checked.items():
             ok = F.col("reason").isNull()
-            parts.append(t.select(F.lit(table).alias("table"), "topic", "partition",
-                                  F.when(ok, F.col("offset")).alias("ok_offset"),
-                                  F.when(ok, F.col("timestamp")).alias("ok_ts"),
-                                  F.coalesce(F.col("reason").isin(*TYPED_REASONS), F.lit(False)).alias("bad")))
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part)
+            rows = rows.unionByName(t.select(F.lit(table).alias("table"), "topic", "partition",
+                                             F.when(ok, F.col("offset")).alias("ok_offset"),
+                                             F.when(ok, F.col("timestamp")).alias("ok_ts"),
+                                             (~ok & (F.col("reason") != "tombstone")).alias("bad")))
         return (rows.groupBy("table", "topic", "partition")
                 .agg(F.count("ok_offset").alias("applied"), F.max("ok_offset").alias("last_offset"),
                      F.max("ok_ts").alias("last_event"), F.count(F.when(F.col("bad"), 1)).alias("rejected"))
@@ -620,25 +645,25 @@ class SnapshotSink:
         runs = {table: list(last["runs"].get(table, [])) for table in self._by_table}
         quarantine = list(last["quarantine"])
         ledger, repeats = list(last.get("offsets", [])), {}
-        if self.track_offsets:
-            events, repeats = self._unseen(events, ledger, batch_id)
-        parsed = parse_events(events, self.routes).persist()
-        typed = {r.table: checked_events(parsed, r, self.ts_unit, self.unique,
-                                         self._read(r.table, runs[r.table]) if self.unique and runs[r.table] else None).persist()
-                 for r in self.routes.values()}
+        staging = f"_staging/{uuid.uuid4().hex}"
         try:
-            stats = self._batch_stats(parsed, typed)
+            if self.track_offsets:
+                events, repeats = self._unseen(events, ledger, batch_id, staging)
+            stray, checked = self._stage_batch(events, runs, staging)
+            stats = self._batch_stats(stray, checked)
             for route in self.routes.values():
                 if any(r["applied"] for r in stats if r["table"] == route.table):
-                    run = self._run(fold_keys(typed[route.table], route), route.table, f"delta/v={batch_id}", 0, batch_id, batch_id)
+                    run = self._run(fold_keys(checked[route.table], route), route.table, f"delta/v={batch_id}", 0, batch_id, batch_id)
                     runs[route.table] += [run] if run["rows"] else []       # deletes without a key leave no rows
             if sum(r["rejected"] for r in stats) > 0:
-                quarantine.append(self._write(rejected(parsed, typed.values()), f"_quarantine/v={batch_id}"))
+                bad = F.col("reason") != "tombstone"
+                rows = stray
+                for t in checked.values():
+                    rows = rows.unionByName(t.filter(bad).select(*REJECT_COLS))
+                quarantine.append(self._write(rows, f"_quarantine/v={batch_id}"))
             counts = self._commit(stats, batch_id, {"runs": runs, "quarantine": quarantine, "offsets": ledger}, repeats)
         finally:
-            for t in typed.values():
-                t.unpersist()
-            parsed.unpersist()
+            self._delete(staging)
         for table in self._by_table:
             self._merge_levels(table)
         return counts
@@ -650,7 +675,7 @@ class SnapshotSink:
             .agg(F.min("key"), F.max("key"), F.count(F.lit(1))).first()
         return {"path": place, "level": level, "first": first, "last": last, "low": row[0], "high": row[1], "rows": row[2]}
 
-    def _unseen(self, events: DataFrame, ledger: list[dict], batch_id: int) -> tuple[DataFrame, dict[tuple, int]]:
+    def _unseen(self, events: DataFrame, ledger: list[dict], batch_id: int, staging: str) -> tuple[DataFrame, dict[tuple, int]]:
         """The batch without events that came before, and how many did per (topic, partition); adds its offsets to ``ledger``."""
         place = self._write(offsets.ledger(events), f"_offsets/v={batch_id}")
         own = self.spark.read.schema(f"{offsets.LEDGER_DDL}, delivered long").parquet(f"{self.root}/{place}")
@@ -671,7 +696,7 @@ class SnapshotSink:
         self._merge_ledger(ledger, batch_id)
         if not any(repeats.values()):
             return events, {}
-        return offsets.fresh(events, held), {p: n for p, n in repeats.items() if n}
+        return self._stage(offsets.fresh(events, held), staging), {p: n for p, n in repeats.items() if n}
 
     def _merge_ledger(self, ledger: list[dict], batch_id: int) -> None:
         """Merge a level that has gathered ``compact_every`` runs into one of the next, from the lowest on."""
@@ -718,11 +743,12 @@ class SnapshotSink:
         """
         low, high = min(r["low"] for r in group), max(r["high"] for r in group)
         first, last = min(r["first"] for r in group), max(r["last"] for r in group)
-        keys = self._read(table, group)
+        # By ranges first: the merge keeps them, and the order of the key, so rows move once.
+        rows = self._rows(table, group).repartitionByRange("key")
+        keys = merge_keys(rows)
         if not any(r["first"] < last and r["low"] <= high and r["high"] >= low for r in others):
             keys = keys.filter(F.col("lu") > F.coalesce(F.col("ld"), F.lit(NO_DELETE)))
-        ordered = keys.repartitionByRange("key").sortWithinPartitions("key")
-        return self._run(ordered, table, f"base/v={last}", level, first, last)
+        return self._run(keys.sortWithinPartitions("key"), table, f"base/v={last}", level, first, last)
 
     def _merge_levels(self, table: str) -> None:
         """Merge the overlapping runs of each level that has gathered ``compact_every`` into the next, from the lowest on."""
