@@ -48,7 +48,7 @@ SAMPLE = 8
 MARGIN = 2.0
 #: Most bits of a membership bitmap; bytes of text that are looked at together.
 BITMAP = 1 << 28
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
