@@ -312,3 +312,39 @@ def test_long_pieces_and_long_words_are_segmented_in_all_ways():
                 scale += 80
         assert np.allclose(got, np.log10(total[-1]) - scale, rtol=1e-9)
     assert any(len(p) > 12 for p in ranks if b" international".startswith(p))
+
+
+# -- training on all texts --
+
+def test_training_windows_hold_each_position_once():
+    ids, lengths = np.arange(100, 160), np.array([1, 24, 25, 10])
+    got = lm_score.training_windows(ids, lengths)
+    assert sorted(got[:, 2:][got[:, 2:] >= 0].tolist()) == ids.tolist()
+    assert got[:, :2].tolist() == [[-1, -1], [-1, -1], [-1, -1], [147, 148], [-1, -1]]
+
+
+def test_every_training_text_is_trained_on(spark, monkeypatch):
+    """More texts than any bound, all counted in the class maps, the copies and the windows."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(lm_score, "SHARD_IDS", 20_000)
+    texts = [f"text {i} says word{i % 50} and word{i % 7} again and word{i % 7} again" for i in range(4000)]
+    rows = spark.createDataFrame([(i, t, i % 10 == 0) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
+    read = rows.repartition(3).mapInArrow(lm_score._read(None), lm_score.ROWS).localCheckpoint()
+    lengths = [len(lm_score.subwords(t)) + 1 for i, t in enumerate(texts) if i % 10]
+    assert read.filter("id IS NOT NULL").agg(F.sum("seen")).first()[0] == sum(lengths)
+    trained = []
+    step = lm_score._train
+
+    def watched(*a):
+        trained.append(a[2])
+        return step(*a)
+    monkeypatch.setattr(lm_score, "_train", watched)
+    counts = read.filter("word IS NOT NULL").groupBy("word").agg(F.sum("train").alias("c"))
+    began = lm_score.Attention(lm_score.INPUTS, np.zeros((1, lm_score.CLASSES), np.float32)).p
+    model, shared = lm_score.learn(read, counts)
+    assert trained == list(range(2 * lm_score.ROUNDS))
+    assert any(np.abs(model.attention.p[n] - began[n]).max() > 1e-4 for n in began)
+    windows = sum(-(-n // lm_score.CONTEXT) for n in lengths)
+    texts_ = read.filter("row IS NOT NULL AND NOT held_out").select("ids")
+    out = texts_.mapInArrow(lm_score._train(shared, model.fitted(), 0, 1e-3), "kind int, at long, n long").groupBy("kind").agg(F.sum("n").alias("n"))
+    assert {r["kind"]: r["n"] for r in out.collect()}[2] == windows
