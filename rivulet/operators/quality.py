@@ -14,7 +14,8 @@ Unique checks go in two passes: one job counts 64-bit hashes of (column, value)
 all models (map-side combined, so a hot value is pre-counted per task) and writes
 those that occur twice; only values with such a hash are compared themselves, so
 hashes that collide do not count as repeats.  Relationships count child rows per key, then left-anti
-join the distinct keys against the parent.
+join the distinct keys against the parent.  A model that several passes read is built
+once: its checked columns are written to the shared folder first, unless it is stored.
 """
 
 from __future__ import annotations
@@ -148,11 +149,37 @@ def failures_of(check: Check, resolve: Callable[[str], DataFrame]) -> DataFrame
     raise ValueError(f"unknown check kind {check.kind}")
 
 
-def run_checks(spark: SparkSession, checks: Iterable[Check],
-               resolve: Callable[[str], DataFrame], hash64: Callable[..., Column] = F.xxhash64) -> DataFrame:
-    """Report frame for ``checks``: one union of small aggregates, lazy but for the
-    first pass of the unique checks.  ``hash64`` hashes a column to a long."""
+def _built_once(checks: list[Check], resolve: Callable[[str], DataFrame], stored: Iterable[str]) -> Callable[[str], DataFrame]:
+    """``resolve``, with the checked columns of models that several passes read written down."""
+    passes: dict[str, set] = {}
+    columns: dict[str, set[str]] = {}
+    for ch in checks:
+        kind = ch if ch.kind == "relationships" else ch.kind == "unique"
+        passes.setdefault(ch.model, set()).add(kind)
+        columns.setdefault(ch.model, set()).add(ch.column)
+        if ch.kind == "relationships":
+            passes.setdefault(ch.to, set()).add(ch)
+            columns.setdefault(ch.to, set()).add(ch.field)
+    kept: dict[str, DataFrame] = {}
+
+    def once(name: str) -> DataFrame:
+        if name in stored or len(passes.get(name, ())) < 2:
+            return resolve(name)
+        if name not in kept:
+            df = resolve(name)
+            read = [c for c in df.columns if c in columns[name]]
+            kept[name] = written(df.select(*read)) if read else df
+        return kept[name]
+    return once
+
+
+def run_checks(spark: SparkSession, checks: Iterable[Check], resolve: Callable[[str], DataFrame],
+               hash64: Callable[..., Column] = F.xxhash64, stored: Iterable[str] = ()) -> DataFrame:
+    """Report frame for ``checks``: one union of small aggregates, lazy but for models
+    that are written and the first pass of the unique checks.  ``hash64`` hashes a column
+    to a long; ``stored``: models that are tables already, so cheap to read again."""
     checks = list(checks)
+    resolve = _built_once(checks, resolve, stored)
     frames: list[DataFrame] = []
     single: dict[str, list[Check]] = {}
     unique: dict[str, list[Check]] = {}

@@ -43,7 +43,7 @@ def _sliced(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 def _slice_summary(r: DataFrame, key: str, last_value: Column | None = None) -> DataFrame:
     """One row per non-empty slice: ``__pid, __first, __last, __n_last[, __v_last]``.
 
-    ``r`` carries ``__rn`` (row number inside the (key, slice) group), so the
+    ``r`` carries ``__rn`` (row number inside the (key, slice) group, or its rows), so the
     greatest (key, __rn) is the slice's last row and its ``__rn`` is the number
     of rows the last key has in the slice.
     """
@@ -100,10 +100,12 @@ def lag_skew_safe(df: DataFrame, key: str, order: Sequence[str], value: str, out
 def row_number_skew_safe(df: DataFrame, key: str, order: Sequence[str], out: str) -> DataFrame:
     """``row_number() over (partition by key order by order...)`` as column ``out``."""
     w = Window.partitionBy(key, "__pid").orderBy(*[F.col(c) for c in order])
-    r = _sliced(df, key, order).withColumn("__rn", F.row_number().over(w))
-    # Rows of a key up to and including each slice that ends with it.
+    s = _sliced(df, key, order)
+    r = s.withColumn("__rn", F.row_number().over(w))
+    # Rows of a key up to and including each slice that ends with it; a key's rows in a slice are counted, not sorted.
     running = F.sum("__n_last").over(Window.partitionBy("__last").orderBy("__pid"))
-    fix = _continued(_slice_summary(r, key), running)
+    counts = s.groupBy(key, "__pid").agg(F.count(F.lit(1)).alias("__rn"))
+    fix = _continued(_slice_summary(counts, key), running)
     return (_attach(r, key, fix)
             .withColumn(out, F.col("__rn") + F.coalesce(F.col("__carry"), F.lit(0)))
             .drop(*HELPERS))

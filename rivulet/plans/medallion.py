@@ -219,6 +219,7 @@ def refresh_and_test(models: Models, lake_root: str | None = None,
     written.  Raw tables resolve through the models' root."""
     from rivulet.operators import quality
 
-    refresh(models, select_tags, lake_root=lake_root)
+    at = refresh(models, select_tags, lake_root=lake_root)
     checks = quality.DECLARED if checks is None else checks
-    return quality.run_checks(models.root.spark, checks, models.ref)
+    stored = {name for name, place in at.items() if not place.startswith("view:")}
+    return quality.run_checks(models.root.spark, checks, models.ref, stored=stored)
