@@ -16,6 +16,18 @@ def spark():
     return local_session("*", app="rivulet-llm-tests", shuffle_partitions=8)
 
 
+@pytest.fixture(autouse=True)
+def nothing_kept():
+    """What a test caches or checkpoints is gone before the next one of the shared session."""
+    yield
+    from pyspark.sql import SparkSession
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session.catalog.clearCache()
+        for kept in list(session.sparkContext._jsc.getPersistentRDDs().values()):
+            kept.unpersist(True)
+
+
 @pytest.fixture(scope="session")
 def small():
     return "/root/testdata/sf0.001"
