@@ -191,6 +191,35 @@ def test_base_scores_equal_brute_force(spark):
     assert lm_score.score(spark, frame.limit(0), crc_fold("doc_id", 10) == F.lit(0)).count() == 0
 
 
+def test_word_sums_are_one_row_a_text_however_many_tasks(spark, monkeypatch):
+    from rivulet.llm.common import crc_fold
+    from pyspark.sql import functions as F
+
+    docs = [(i, " ".join(f"w{(i * k) % 97} Common" for k in range(1 + i % 40))) for i in range(150)] + [(200, None), (None, "common"), (3, "w1")]
+    made, logs = spark.sparkContext.accumulator(0), lm_score._logs
+
+    def counting(batches):
+        for batch in logs(batches):
+            made.add(batch.num_rows)
+            yield batch
+    monkeypatch.setattr(lm_score, "_logs", counting)
+    # Several batches of texts, and as many tasks as there are partitions.
+    monkeypatch.setattr(lm_score, "BATCH_ROWS", 16, raising=False)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+        got = lm_score.score(spark, frame, crc_fold("doc_id", 10) == F.lit(0)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert made.value == len(got) == len(docs)
+    words = lambda t: [*(t or "").lower().split(), ""]
+    counts = collections.Counter(w for d, t in docs if fold(d, 10) for w in words(t))
+    total, distinct = sum(counts.values()), len(counts)
+    want = [sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in words(t)) for _, t in docs]
+    assert np.allclose(sorted(r["base_score"] for r in got), sorted(want), rtol=1e-12)
+    assert sum(r["n_known"] for r in got) == sum(counts[w] > 0 for _, t in docs for w in words(t))
+
+
 # -- toxicity --
 
 def test_grammar_weighs_context():
