@@ -205,12 +205,16 @@ def test_word_sums_are_one_row_a_text_however_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(lm_score, "_logs", counting)
     # Several batches of texts, and as many tasks as there are partitions.
     monkeypatch.setattr(lm_score, "BATCH_ROWS", 16, raising=False)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for name, value in held.items():
+        spark.conf.set(name, value)
     try:
         frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
         got = lm_score.score(spark, frame, crc_fold("doc_id", 10) == F.lit(0)).collect()
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        for name in held:
+            spark.conf.unset(name)
     assert made.value == len(got) == len(docs)
     words = lambda t: [*(t or "").lower().split(), ""]
     counts = collections.Counter(w for d, t in docs if fold(d, 10) for w in words(t))
