@@ -108,21 +108,24 @@ def _streamed_sink(spark: SparkSession, sf_dir: str, log=None, **options):
     import uuid
 
     from rivulet.schemas import CHANGE_EVENT
-    from rivulet.session import checkpoint_dir
+    from rivulet.session import checkpoint_dir, release
     from rivulet.streaming.changelog import change_log_steps
-    from rivulet.streaming.cdc import SnapshotSink
+    from rivulet.streaming.cdc import SnapshotSink, delete_path
     from rivulet.streaming.replication import read_changes, stage_log, start
 
     ensure_conf(spark)
     base = f"{checkpoint_dir(spark).rstrip('/')}/cdc-{uuid.uuid4().hex}"
-    steps = (log or change_log_steps)(fixture_root(spark, sf_dir))
-    stage_log(steps, f"{base}/log")
+    stage_log((log or change_log_steps)(fixture_root(spark, sf_dir)), f"{base}/log", fmt="parquet")
+    release(spark)
     # About four micro-batches in all, with a compaction on the way.
-    files = len(spark.read.schema(CHANGE_EVENT).json(f"{base}/log").inputFiles())
-    sink = SnapshotSink(spark, f"{base}/replica", compact_every=3, **options)
-    q = start(read_changes(spark, "files", f"{base}/log", max_per_trigger=-(-files // 4)), sink,
+    files = len(spark.read.schema(CHANGE_EVENT).parquet(f"{base}/log").inputFiles())
+    # Nobody reads an older commit of this replica, so what a batch replaces goes at once.
+    sink = SnapshotSink(spark, f"{base}/replica", compact_every=3, keep=1, **options)
+    q = start(read_changes(spark, "files", f"{base}/log", max_per_trigger=-(-files // 4), fmt="parquet"), sink,
               f"{base}/checkpoint", available_now=True)
     q.awaitTermination()
+    # The whole log has been applied.
+    delete_path(spark, f"{base}/log")
     return sink
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from rivulet import schemas
 from rivulet.operators import rules
+from rivulet.session import release
 from rivulet.streaming import offsets
 
 EPOCH_COLS = tuple(sorted(schemas.EPOCH_DAY_COLS | schemas.EPOCH_TS_COLS))
@@ -393,6 +394,12 @@ def _filesystem(spark: SparkSession, path: str):
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    fs, hadoop = _filesystem(spark, path)
+    fs.delete(hadoop, True)
+
+
 def versions_under(spark: SparkSession, path: str) -> list[int]:
     """N of the folders ``v=N`` under a path, ascending; anything else there raises."""
     fs, hadoop = _filesystem(spark, path)
@@ -443,12 +450,19 @@ class SnapshotSink:
     also when a compaction has dropped the delete that followed them; ``coverage`` and
     ``gaps`` tell what is missing.  A batch only opens the ledger runs whose offsets reach
     into its own, so a stream in order opens the last one.
+
+    ``keep``: after each batch, what none of the last so many manifests names is removed
+    (``expire``), so the disk holds the table and not its history.  Readers of older
+    commits lose their files.  ``None`` leaves that to the caller.
+
+    Files are written with zstd, and a batch's shuffle files are removed at its end.
     """
 
     def __init__(self, spark: SparkSession, root: str, compact_every: int = 16,
                  routes: dict[str, schemas.Route] = schemas.ROUTES, ts_unit: str = "micros",
-                 unique: bool = False, track_offsets: bool = False):
+                 unique: bool = False, track_offsets: bool = False, keep: int | None = None):
         self.spark, self.root, self.compact_every = spark, root.rstrip("/"), compact_every
+        self.keep = keep
         self.routes, self.ts_unit, self.unique = routes, ts_unit, unique
         self.track_offsets = track_offsets
         self._by_table = {r.table: r for r in routes.values()}
@@ -506,7 +520,7 @@ class SnapshotSink:
     def _write(self, df: DataFrame, place: str) -> str:
         """Write a folder and give it its name once it is whole; returns where it is, under the root."""
         staged = f"{self.root}/_staging/{uuid.uuid4().hex}"
-        df.write.parquet(staged)
+        df.write.option("compression", "zstd").parquet(staged)
         return self._move(staged, place)
 
     # -- reading
@@ -590,7 +604,7 @@ class SnapshotSink:
     def _stage(self, df: DataFrame, folder: str) -> DataFrame:
         """Write ``df`` into a staging folder and read it from there."""
         path = f"{self.root}/{folder}/{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _stage_batch(self, events: DataFrame, runs: dict[str, list[dict]], folder: str) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -664,8 +678,12 @@ class SnapshotSink:
             counts = self._commit(stats, batch_id, {"runs": runs, "quarantine": quarantine, "offsets": ledger}, repeats)
         finally:
             self._delete(staging)
+        release(self.spark)
         for table in self._by_table:
-            self._merge_levels(table)
+            if self._merge_levels(table):
+                release(self.spark)
+            if self.keep:
+                self.expire(table, self.keep)
         return counts
 
     def _run(self, keys: DataFrame, table: str, name: str, level: int, first: int, last: int) -> dict:
@@ -750,8 +768,8 @@ class SnapshotSink:
             keys = keys.filter(F.col("lu") > F.coalesce(F.col("ld"), F.lit(NO_DELETE)))
         return self._run(keys.sortWithinPartitions("key"), table, f"base/v={last}", level, first, last)
 
-    def _merge_levels(self, table: str) -> None:
-        """Merge the overlapping runs of each level that has gathered ``compact_every`` into the next, from the lowest on."""
+    def _merge_levels(self, table: str) -> bool:
+        """Merge the overlapping runs of each level that has gathered ``compact_every`` into the next, from the lowest on; whether any were."""
         manifest = self._manifest()
         runs = manifest["runs"].get(table, [])
         level, changed = 0, False
@@ -772,6 +790,7 @@ class SnapshotSink:
             level += 1
         if changed:
             self._publish({**manifest, "n": manifest["n"] + 1, "runs": {**manifest["runs"], table: runs}})
+        return changed
 
     def compact(self, table: str) -> int | None:
         """Merge all runs of a table into one; the newest commit, or None if there was nothing to merge."""
@@ -807,8 +826,7 @@ class SnapshotSink:
         return [f"{self.root}/{place}" for place in gone]
 
     def _delete(self, place: str) -> None:
-        fs, path = _filesystem(self.spark, f"{self.root}/{place}")
-        fs.delete(path, True)
+        delete_path(self.spark, f"{self.root}/{place}")
 
     def foreach_batch(self, batch_df: DataFrame, batch_id: int) -> None:
         self.write_batch(batch_df, batch_id)
